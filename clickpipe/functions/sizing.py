@@ -1,0 +1,32 @@
+"""Broadcast only what has a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension row here is a handful of longs/ints (~40 bytes in a hashed
+# relation), so 2M rows is well under 100 MB per executor.
+DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has no more than ``max_rows`` rows.
+
+    ``limit(max_rows + 1).count()`` stops reading as soon as the bound is
+    exceeded, so the check is cheap even when the answer is "no".
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def checked_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast only when its row count is within ``max_rows``.
+
+    Beyond the bound the side is left to the planner: a sort-merge join on
+    the join key, which AQE can still convert to a broadcast join when the
+    shuffled side turns out small, and whose skewed partitions AQE splits.
+    ``max_rows=None`` leaves the decision to the planner without a check.
+    """
+    if max_rows is None:
+        return df
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
