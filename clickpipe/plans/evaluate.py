@@ -62,8 +62,8 @@ def classification_metrics(pred: DataFrame, label_col: str = TRUE_LABEL,
     r1 = F.coalesce(_safe_div(tp, tp + fn), F.lit(0.0))
     p0 = F.coalesce(_safe_div(tn, tn + fn), F.lit(0.0))
     r0 = F.coalesce(_safe_div(tn, tn + fp), F.lit(0.0))
-    f1 = (_f1(p1, r1) * (tp + fn).cast("double") / n.cast("double")
-          + _f1(p0, r0) * (tn + fp).cast("double") / n.cast("double"))
+    f1 = (_safe_div(_f1(p1, r1) * (tp + fn).cast("double"), n)
+          + _safe_div(_f1(p0, r0) * (tn + fp).cast("double"), n))
     accuracy = _safe_div(F.col("correct"), n)
     return c.select(
         "tp", "fp", "tn", "fn", "n",

@@ -60,11 +60,24 @@ def prepare(tables: Mapping[str, DataFrame], join_on: str = "document", cast: bo
     return Split(train, as_test(test))
 
 
+def training_input(train: DataFrame) -> DataFrame:
+    """The training half as the learners should see it: rebalanced.
+
+    Learners make many passes (one per tree level or optimizer iteration)
+    over their cached input, so its partitions should be even and numerous.
+    ``REBALANCE`` lets AQE cut the shuffle output into partitions of
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` whatever the scale,
+    and spreads a hot key over several partitions.
+    """
+    return train.hint("rebalance")
+
+
 def fit_pipeline(learner: Estimator | str, train: DataFrame, **learner_params) -> PipelineModel:
     """F4 + F5: fit assembler, scaler and learner on the training half."""
     est = make_learner(learner, **learner_params) if isinstance(learner, str) else learner
-    with persisted(train):
-        return build_pipeline(est).fit(train)
+    data = training_input(train)
+    with persisted(data):
+        return build_pipeline(est).fit(data)
 
 
 def score(model: PipelineModel, test: DataFrame) -> DataFrame:
