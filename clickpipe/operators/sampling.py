@@ -70,15 +70,20 @@ def exact_n_sample(df: DataFrame, fraction: float, order_cols: Sequence[str] | N
     """P1 (exact): the ``round(fraction * n)`` rows first in ``(h, order_cols)``.
 
     ``h = hash32(seed || order_cols)``.  Distributed selection, no global
-    sort and no single task over the input:
+    sort and no task that holds more than one bucket or one input partition:
 
     1. rows are bucketed by the top bits of ``h``; a histogram of bucket
-       counts (at most ``2**20`` rows) gives the bucket holding the k-th row;
-    2. buckets before it are kept by a filter; only that one bucket (about
-       ``target_bucket_rows`` rows, since ``h`` is uniform) is ranked.
-
-    ``order_cols`` should identify rows (default: all columns); rows sharing
-    one ``order_cols`` value share a bucket.
+       counts (at most ``2**20`` rows) gives the bucket holding the k-th row.
+       Buckets before it are kept by a filter.
+    2. inside that bucket, rows are grouped by order key first (a key held by
+       a third of all rows is one row here) and the keys are ranked, which
+       gives each key how many of its rows to keep.
+    3. the one key that is cut part-way has its quota split over the input
+       partitions that hold it (a running sum over per-partition counts), and
+       each partition keeps its share ordered by all columns.
+
+    ``order_cols`` defaults to all columns; with a non-unique key the rows
+    kept from the cut key are chosen by partition and then by all columns.
     """
     order_cols = list(order_cols or df.columns)
     n = df.count()
@@ -88,18 +93,42 @@ def exact_n_sample(df: DataFrame, fraction: float, order_cols: Sequence[str] | N
     if k >= n:
         return df
     bits = min(20, max(0, math.ceil(math.log2(max(1.0, n / target_bucket_rows)))))
-    shift = 32 - bits
-    keyed = df.withColumn("_h", hash32(*order_cols, salt=f"{seed}:")) \
-              .withColumn("_b", F.shiftright("_h", shift))
+    keyed = (df.withColumn("_p", F.spark_partition_id())
+               .withColumn("_h", hash32(*order_cols, salt=f"{seed}:"))
+               .withColumn("_b", F.shiftright("_h", 32 - bits)))
     hist = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     cum = hist.withColumn("_cum", F.sum("_n").over(Window.orderBy("_b")))
     edge = cum.filter(F.col("_cum") >= k).orderBy("_b").select("_b", "_cum", "_n").first()
-    b_star, before = edge["_b"], edge["_cum"] - edge["_n"]
+    b_star, need = edge["_b"], k - (edge["_cum"] - edge["_n"])
     whole = keyed.filter(F.col("_b") < b_star)
-    rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h", *order_cols))
-    part = (keyed.filter(F.col("_b") == b_star).withColumn("_r", rank)
-            .filter(F.col("_r") <= k - before).drop("_r"))
-    return whole.unionByName(part).drop("_h", "_b")
+
+    # 2. per-key quotas inside the boundary bucket
+    key_cols = ["_h"] + order_cols
+    boundary = keyed.filter(F.col("_b") == b_star)
+    before = Window.orderBy(*key_cols).rowsBetween(Window.unboundedPreceding, -1)
+    quota = (boundary.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_m"))
+             .withColumn("_q", F.least(F.col("_m"), F.greatest(
+                 F.lit(0), F.lit(need) - F.coalesce(F.sum("_m").over(before), F.lit(0)))))
+             .filter(F.col("_q") > 0))
+    full_keys = quota.filter(F.col("_q") == F.col("_m")).select(*key_cols)
+    taken = boundary.join(full_keys, key_cols, "left_semi")
+    cut = quota.filter(F.col("_q") < F.col("_m")).select(*key_cols, "_q").first()
+    if cut is not None:
+        # 3. the cut key: split its quota over input partitions
+        match = [F.col(c) == F.lit(cut[c]) for c in key_cols]
+        cond = match[0]
+        for m in match[1:]:
+            cond = cond & m
+        rows = boundary.filter(cond)
+        per_part = rows.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
+        upto = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+        shares = per_part.select("_p", F.least(F.col("_c"), F.greatest(
+            F.lit(0), F.lit(cut["_q"]) - F.coalesce(F.sum("_c").over(upto), F.lit(0)))).alias("_s"))
+        rank = F.row_number().over(Window.partitionBy("_p").orderBy(*df.columns))
+        part = (rows.join(F.broadcast(shares), "_p").withColumn("_r", rank)
+                .filter(F.col("_r") <= F.col("_s")).drop("_r", "_s"))
+        taken = taken.unionByName(part)
+    return whole.unionByName(taken).drop("_h", "_b", "_p")
 
 
 def with_split_bucket(df: DataFrame, key: str = "display_id", buckets: int = SPLIT_BUCKETS,

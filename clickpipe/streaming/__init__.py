@@ -1,0 +1 @@
+"""Streaming: the fitted pipeline and confusion counts applied to a streaming source."""

@@ -1,0 +1,46 @@
+"""Apply a fitted pipeline (F6) and the confusion counts (A1) to a stream.
+
+The fitted stages (assembler, scaler, classifier) are row-wise, so the same
+``PipelineModel.transform`` runs unchanged on a streaming DataFrame; the
+confusion counts are a plain streaming aggregate (``complete`` mode keeps
+one row of state).  No operator beyond the batch job's is introduced.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+
+from clickpipe.plans.evaluate import confusion_counts, probability_score
+
+
+def read_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
+                max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming file source with an explicit schema (no inference on streams)."""
+    reader = spark.readStream.schema(schema).format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", True)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(path)
+
+
+def score_stream(model: PipelineModel, stream: DataFrame) -> DataFrame:
+    """F6 on a stream: the scored rows with the positive-class probability."""
+    return probability_score(model.transform(stream))
+
+
+def write_scored(scored: DataFrame, path: str, checkpoint: str,
+                 columns=("display_id", "ad_id", "prediction", "score", "trueLabel")) -> StreamingQuery:
+    """Append scored rows to a parquet sink; ``checkpoint`` must be a shared folder
+    so a restarted query resumes exactly once."""
+    return (scored.select(*columns).writeStream.format("parquet").outputMode("append")
+            .option("path", path).option("checkpointLocation", checkpoint).start())
+
+
+def running_confusion(scored: DataFrame, query_name: str, checkpoint: str) -> StreamingQuery:
+    """A1 on a stream: one row of running TP/FP/TN/FN counts in a memory table."""
+    return (confusion_counts(scored).writeStream.format("memory").queryName(query_name)
+            .outputMode("complete").option("checkpointLocation", checkpoint).start())

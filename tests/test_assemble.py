@@ -60,3 +60,20 @@ def test_split_filter_reaches_scan(tables):
     # column pruning: uuid / geo_location are never read
     exec_plan = _plan(train)
     assert "geo_location" not in exec_plan and "uuid" not in exec_plan
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tables):
+    from clickpipe.sources.tables import load_table, save_bucketed
+
+    save_bucketed(tables["event"], "event_bucketed", "display_id", 8)
+    save_bucketed(tables["train"], "train_bucketed", "display_id", 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ev = load_table(spark, "event", source="catalog", table="event_bucketed")
+        tr = load_table(spark, "train", source="catalog", table="train_bucketed")
+        j = join_impressions_clicks(ev, tr)
+        plan = _plan(j)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == join_impressions_clicks(tables["event"], tables["train"]).count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

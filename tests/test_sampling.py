@@ -75,3 +75,17 @@ def test_bernoulli_sample_size(tables):
     got = bernoulli_sample(tr, 0.12, seed=123).count()
     assert abs(got - 0.12 * n) < 5 * math.sqrt(n * 0.12 * 0.88)
     assert bernoulli_sample(tr, 0.12, seed=123).count() == got
+
+
+def test_exact_n_sample_hot_duplicate_key(spark):
+    # A third of the rows share one order key: still exactly k rows, and the
+    # multiset equals the first k rows of the brute-force order.
+    rows = [(1, "hot")] * 300 + [(i, f"v{i}") for i in range(2, 602)]
+    df = spark.createDataFrame(rows, "id long, v string").repartition(4)
+    for frac in (0.1, 0.4, 0.7):
+        got = exact_n_sample(df, frac, order_cols=["id"], seed=7, target_bucket_rows=64)
+        pdf = df.toPandas()
+        want = _brute_exact_n(pdf, frac, ["id"], 7)
+        g = got.toPandas()
+        assert len(g) == round(frac * len(pdf))
+        assert sorted(g.id) == sorted(want.id)

@@ -1,0 +1,33 @@
+import os
+import tempfile
+
+from clickpipe.plans.evaluate import confusion_counts
+from clickpipe.plans.workflow import fit_pipeline, prepare, score
+from clickpipe.streaming.scoring import read_stream, running_confusion, score_stream, write_scored
+
+
+def test_stream_scoring_matches_batch(spark, tables):
+    s = prepare(tables)
+    model = fit_pipeline("lr", s.train)
+    root = tempfile.mkdtemp(prefix="clickpipe-stream-")
+    src = os.path.join(root, "in")
+    s.test.repartition(3).write.parquet(src)  # three files -> several micro-batches
+    stream = read_stream(spark, src, spark.read.parquet(src).schema, max_files_per_trigger=1)
+    scored = score_stream(model, stream)
+
+    out = write_scored(scored, os.path.join(root, "out"), os.path.join(root, "ck1"))
+    counts = running_confusion(scored, "clickpipe_confusion", os.path.join(root, "ck2"))
+    try:
+        out.processAllAvailable()
+        counts.processAllAvailable()
+    finally:
+        out.stop()
+        counts.stop()
+
+    batch = score(model, spark.read.parquet(src))
+    got = spark.read.parquet(os.path.join(root, "out"))
+    assert got.count() == batch.count()
+    assert got.select("display_id", "ad_id", "prediction", "trueLabel").exceptAll(
+        batch.select("display_id", "ad_id", "prediction", "trueLabel")).count() == 0
+    streamed = spark.table("clickpipe_confusion").first().asDict()
+    assert streamed == confusion_counts(batch).first().asDict()
