@@ -26,8 +26,8 @@ from clickpipe.plans.evaluate import (auc_roc, classification_metrics, metrics_t
                                       probability_score)
 from clickpipe.plans.features import build_pipeline  # noqa: E402
 from clickpipe.plans.models import logistic_regression  # noqa: E402
-from clickpipe.plans.tuning import cross_validate, lr_param_grid  # noqa: E402
-from clickpipe.plans.workflow import fit_and_score, persisted, prepare  # noqa: E402
+from clickpipe.plans.tuning import lr_param_grid  # noqa: E402
+from clickpipe.plans.workflow import fit_and_score, persisted, prepare, tune  # noqa: E402
 from clickpipe.session import local_session  # noqa: E402
 from clickpipe.sources.fixtures import fixture_tables  # noqa: E402
 
@@ -57,9 +57,7 @@ def q_features(spark, sf_dir):
 def q_cv(spark, sf_dir):
     s = prepare(fixture_tables(spark, sf_dir))
     lr = logistic_regression()
-    with persisted(s.train):
-        model = cross_validate(build_pipeline(lr), lr_param_grid(lr), s.train,
-                               num_folds=10, parallelism=4)
+    model = tune(build_pipeline(lr), lr_param_grid(lr), s.train, num_folds=10, parallelism=4)
     _evaluate(probability_score(model.transform(s.test)))
 
 

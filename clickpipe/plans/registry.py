@@ -24,8 +24,8 @@ from clickpipe.plans.evaluate import (auc_roc, classification_metrics, evaluatio
                                       metrics_table, rmse)
 from clickpipe.plans.features import build_pipeline
 from clickpipe.plans.models import logistic_regression
-from clickpipe.plans.tuning import cross_validate, cv_summary, lr_param_grid
-from clickpipe.plans.workflow import (compare_models, fit_and_score, prepare, rule_predictions)
+from clickpipe.plans.tuning import cv_summary, lr_param_grid
+from clickpipe.plans.workflow import compare_models, fit_and_score, prepare, rule_predictions, tune
 from clickpipe.session import shared_scratch
 from clickpipe.sources.fixtures import (DUCKDB_FIXTURE_CTES, fixture_tables,
                                         register_fixture_views)
@@ -201,14 +201,14 @@ def q_cv_grid(spark, sf_dir):
     s = prepare(fixture_tables(spark, sf_dir))
     lr = logistic_regression()
     grid = lr_param_grid(lr)
-    model = cross_validate(build_pipeline(lr), grid, s.train, metric="areaUnderROC")
+    model = tune(build_pipeline(lr), grid, s.train, metric="areaUnderROC", parallelism=4)
     return cv_summary(spark, model, "areaUnderROC")
 
 
 def q_cv_rmse_predict(spark, sf_dir):
     s = prepare(fixture_tables(spark, sf_dir))
     lr = logistic_regression()
-    model = cross_validate(build_pipeline(lr), lr_param_grid(lr), s.train, metric="rmse")
+    model = tune(build_pipeline(lr), lr_param_grid(lr), s.train, metric="rmse", parallelism=4)
     return metrics_table(model.transform(s.test))
 
 
@@ -382,4 +382,6 @@ FROM pred ORDER BY display_id, ad_id, campaign_id, "trueLabel" LIMIT 100""",
     # (its only signal), so their test confusion counts equal the rule's.
     "lr_confusion": _with(_J1, _J2, _DATA, _SPLIT, _RULE, _COUNTS, _RATES) + _METRICS,
     "stump_confusion": _with(_J1, _J2, _DATA, _SPLIT, _RULE, _COUNTS, _RATES) + _METRICS,
+    # The RMSE-selected model (ties -> first map) predicts the same rule.
+    "cv_rmse_predict": _with(_J1, _J2, _DATA, _SPLIT, _RULE, _COUNTS, _RATES) + _METRICS,
 }

@@ -80,6 +80,15 @@ def fit_pipeline(learner: Estimator | str, train: DataFrame, **learner_params) -
         return build_pipeline(est).fit(data)
 
 
+def tune(pipeline, grid: list, train: DataFrame, **cv_params):
+    """M6 on the rebalanced, persisted training half (see ``training_input``)."""
+    from clickpipe.plans.tuning import cross_validate
+
+    data = training_input(train)
+    with persisted(data):
+        return cross_validate(pipeline, grid, data, **cv_params)
+
+
 def score(model: PipelineModel, test: DataFrame) -> DataFrame:
     """scored test rows (lazy), with the positive-class probability as ``score``."""
     return probability_score(model.transform(test))
