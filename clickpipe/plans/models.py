@@ -21,7 +21,7 @@ LR_PARAMS = {"maxIter": 10, "regParam": 0.3}
 RF_PARAMS = {"impurity": "gini", "featureSubsetStrategy": "auto", "numTrees": 10,
              "maxDepth": 30, "maxBins": 128, "seed": 1234}
 
-TREE_SCALE = {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": 1024}
+TREE_SCALE = {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": 512}
 
 
 def _common(label_col: str, features_col: str) -> dict:

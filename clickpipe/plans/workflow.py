@@ -9,6 +9,7 @@ parameters and a few scalars.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -60,32 +61,46 @@ def prepare(tables: Mapping[str, DataFrame], join_on: str = "document", cast: bo
     return Split(train, as_test(test))
 
 
-def training_input(train: DataFrame) -> DataFrame:
-    """The training half as the learners should see it: rebalanced.
+# Bytes per training row as cached: six double features and the label.
+TRAIN_ROW_BYTES = 64
+TARGET_PARTITION_BYTES = 512 << 20
 
-    Learners make many passes (one per tree level or optimizer iteration)
-    over their cached input, so its partitions should be even and numerous.
-    ``REBALANCE`` lets AQE cut the shuffle output into partitions of
-    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` whatever the scale,
-    and spreads a hot key over several partitions.
+
+@contextmanager
+def training_input(train: DataFrame, target_partition_bytes: int = TARGET_PARTITION_BYTES):
+    """The training half as the learners should see it: even, sized, cached.
+
+    Learners pass over their input once per tree level or optimizer
+    iteration, and tree learners build node histograms per partition, so
+    the input should be a few large, even partitions:
+
+    1. ``REBALANCE`` lets AQE spread rows evenly (a hot key is split too);
+    2. the result is persisted ``MEMORY_AND_DISK`` and counted;
+    3. it is coalesced (no shuffle) to ``max(cores, rows * 64 B / 512 MB)``
+       partitions: one per core on small data, ~512 MB each on large data.
     """
-    return train.hint("rebalance")
+    data = train.hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = data.count()
+        cores = train.sparkSession.sparkContext.defaultParallelism
+        target = max(cores, math.ceil(rows * TRAIN_ROW_BYTES / target_partition_bytes))
+        yield data.coalesce(target) if target < data.rdd.getNumPartitions() else data
+    finally:
+        data.unpersist()
 
 
 def fit_pipeline(learner: Estimator | str, train: DataFrame, **learner_params) -> PipelineModel:
     """F4 + F5: fit assembler, scaler and learner on the training half."""
     est = make_learner(learner, **learner_params) if isinstance(learner, str) else learner
-    data = training_input(train)
-    with persisted(data):
+    with training_input(train) as data:
         return build_pipeline(est).fit(data)
 
 
 def tune(pipeline, grid: list, train: DataFrame, **cv_params):
-    """M6 on the rebalanced, persisted training half (see ``training_input``)."""
+    """M6 on the prepared training input (see ``training_input``)."""
     from clickpipe.plans.tuning import cross_validate
 
-    data = training_input(train)
-    with persisted(data):
+    with training_input(train) as data:
         return cross_validate(pipeline, grid, data, **cv_params)
 
 
@@ -111,9 +126,13 @@ def evaluate(predictions: DataFrame) -> dict[str, DataFrame]:
 def compare_models(split: Split, learners: Mapping[str, Mapping] | None = None) -> DataFrame:
     """One metrics row per learner, unioned by name."""
     learners = learners or {"dt": {}, "gbt": {}, "lr": {}, "rf": {}}
+    # Every learner scores the same test half, and each metric is another
+    # pass: write it once to the checkpoint folder instead of recomputing
+    # its joins for every learner and metric.
+    shared = Split(split.train, split.test.checkpoint(eager=True))
     rows = None
     for name, params in learners.items():
-        _, pred = fit_and_score(name, split, **params)
+        _, pred = fit_and_score(name, shared, **params)
         row = evaluation_row(pred, name)
         rows = row if rows is None else rows.unionByName(row)
     return rows
