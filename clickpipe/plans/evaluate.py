@@ -118,20 +118,23 @@ def auc_roc(pred: DataFrame, score_col: str = "score", label_col: str = TRUE_LAB
               .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")))
     distinct = scores.count()
     n_buckets = int(min(max_buckets, max(1, math.ceil(distinct / target_bucket_rows))))
-    if n_buckets > 1:
+    if n_buckets == 1:
+        # At most ``target_bucket_rows`` distinct scores: one ordered window.
+        below = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = scores.withColumn("neg_below", F.coalesce(F.sum("neg").over(below), F.lit(0)))
+    else:
         probs = [i / n_buckets for i in range(1, n_buckets)]
         cuts = sorted(set(scores.approxQuantile("s", probs, 1.0 / (4 * n_buckets))))
         splits = [-math.inf] + [c for c in cuts if math.isfinite(c)] + [math.inf]
         bucketed = Bucketizer(splits=splits, inputCol="s", outputCol="b",
                               handleInvalid="keep").transform(scores)
-    else:
-        bucketed = scores.withColumn("b", F.lit(0.0))
-    totals = bucketed.groupBy("b").agg(F.sum("neg").alias("bneg"))
-    before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("b", F.coalesce(F.sum("bneg").over(before), F.lit(0)).alias("off"))
-    within = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (bucketed.join(F.broadcast(offsets), "b")
-              .withColumn("neg_below", F.col("off") + F.coalesce(F.sum("neg").over(within), F.lit(0))))
+        totals = bucketed.groupBy("b").agg(F.sum("neg").alias("bneg"))
+        before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = totals.select("b", F.coalesce(F.sum("bneg").over(before), F.lit(0)).alias("off"))
+        within = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = (bucketed.join(F.broadcast(offsets), "b")
+                  .withColumn("neg_below",
+                              F.col("off") + F.coalesce(F.sum("neg").over(within), F.lit(0))))
     num = F.sum(F.col("pos") * (F.col("neg_below") + F.lit(0.5) * F.col("neg")))
     den = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     return ranked.agg(F.try_divide(num, den).alias("auc"))
@@ -143,13 +146,23 @@ def rmse(pred: DataFrame, label_col: str = "label", prediction_col: str = PREDIC
     return pred.agg(F.sqrt(F.avg(d * d)).alias("rmse"))
 
 
+SUMMARY_METRICS = ["accuracy", "test_error", "f1", "precision", "recall", "auc"]
+
+
 def evaluation_row(pred: DataFrame, model_name: str, score_col: str | None = "score",
                    label_col: str = TRUE_LABEL) -> DataFrame:
-    """E6 building block: one row of all metrics for one model."""
-    m = classification_metrics(pred, label_col).select(
-        F.lit(model_name).alias("model"), "accuracy", "test_error", "f1", "precision", "recall")
+    """E6 building block: one row ``(model, accuracy, test_error, f1, precision, recall, auc)``.
+
+    The one-pass metrics and the AUC are stacked into ``(metric, value)``
+    rows, unioned and pivoted back per model: one small aggregation, no join.
+    """
+    m = classification_metrics(pred, label_col)
+    pairs = ", ".join(f"'{c}', {c}" for c in SUMMARY_METRICS[:-1])
+    long = m.select(F.expr(f"stack({len(SUMMARY_METRICS) - 1}, {pairs}) AS (metric, value)"))
     if score_col is None:
-        return m.withColumn("auc", F.lit(None).cast("double"))
-    # Both sides are single-row aggregates: this join pairs one row with one row.
-    return m.withColumn("_k", F.lit(1)).join(
-        auc_roc(pred, score_col, label_col).withColumn("_k", F.lit(1)), "_k").drop("_k")
+        auc = m.select(F.lit("auc").alias("metric"), F.lit(None).cast("double").alias("value"))
+    else:
+        auc = auc_roc(pred, score_col, label_col).select(F.lit("auc").alias("metric"),
+                                                         F.col("auc").alias("value"))
+    return (long.unionByName(auc).withColumn("model", F.lit(model_name))
+            .groupBy("model").pivot("metric", SUMMARY_METRICS).agg(F.first("value")))

@@ -66,6 +66,22 @@ def q_csv_roundtrip(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- sampling
+def q_sampling_job(spark, sf_dir):
+    """Entry 3: the three inputs as CSV -> per-table sample plan -> CSV; the
+    sampled click table read back."""
+    from clickpipe.plans.workflow import run_sampling_job
+    from clickpipe.sources.schemas import TRAIN_SCHEMA
+
+    src = shared_scratch(spark, "sampling-in")
+    inputs = {}
+    for name, df in fixture_tables(spark, sf_dir).items():
+        inputs[name] = f"{src}/{name}"
+        write_csv(df, inputs[name])
+    out = run_sampling_job(spark, inputs, shared_scratch(spark, "sampling-out"),
+                           SAMPLE_PLAN_DATABRICKS, key="display_id")
+    return read_csv(spark, out["train"], schema=TRAIN_SCHEMA)
+
+
 def q_sample_bernoulli(spark, sf_dir):
     return bernoulli_sample(fixture_tables(spark, sf_dir)["train"], 0.12, seed=123)
 
@@ -222,6 +238,7 @@ QUERIES: dict[str, Query] = {
     "load_promoted_content": q_load_promoted_content,
     "preview_event": q_preview_event,
     "csv_roundtrip": q_csv_roundtrip,
+    "sampling_job": q_sampling_job,
     "sample_bernoulli": q_sample_bernoulli,
     "sample_exact_n": q_sample_exact_n,
     "sample_by_key": q_sample_by_key,
@@ -341,6 +358,7 @@ QUALIFY row_number() OVER (ORDER BY {_EXACT_N_THRESHOLD}, display_id)
     + """SELECT se.display_id, se.uuid, se.document_id, se."timestamp", se.platform, se.geo_location,
        st.clicked
 FROM se JOIN st ON se.display_id = st.display_id""",
+    "sampling_job": _with() + f"SELECT * FROM train WHERE {_KEY_HASH} < {int(round(0.12 * HASH_SPACE))}",
     "split_hash_train": _with(_J1, _J2, _DATA, _SPLIT) + "SELECT * FROM train_half",
     "split_hash_test": _with(_J1, _J2, _DATA, _SPLIT) + "SELECT * FROM test_half",
     "join_display": _with(_J1) + "SELECT * FROM j1",

@@ -89,3 +89,25 @@ def test_exact_n_sample_hot_duplicate_key(spark):
         g = got.toPandas()
         assert len(g) == round(frac * len(pdf))
         assert sorted(g.id) == sorted(want.id)
+
+
+def test_sampling_job_csv_to_csv(spark, tables):
+    import tempfile
+
+    from clickpipe.plans.workflow import run_sampling_job
+    from clickpipe.sources.schemas import EVENT_SCHEMA, TRAIN_SCHEMA
+    from clickpipe.sources.tables import read_csv, write_csv
+
+    root = tempfile.mkdtemp(prefix="clickpipe-sample-")
+    inputs = {}
+    for name, df in tables.items():
+        inputs[name] = f"{root}/in/{name}"
+        write_csv(df, inputs[name])
+    out = run_sampling_job(spark, inputs, f"{root}/out", SAMPLE_PLAN_DATABRICKS)
+    tr = read_csv(spark, out["train"], schema=TRAIN_SCHEMA)
+    ev = read_csv(spark, out["event"], schema=EVENT_SCHEMA)
+    assert tr.exceptAll(key_sample(tables["train"], 0.12)).count() == 0
+    assert ev.count() == key_sample(tables["event"], 0.09).count()
+    # keys kept in event are kept in train too (when the display has clicks)
+    assert ev.join(tables["train"], "display_id", "left_semi") \
+             .join(tr, "display_id", "left_anti").count() == 0
