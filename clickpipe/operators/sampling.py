@@ -27,8 +27,8 @@ from clickpipe.functions.hashing import HASH_SPACE, hash32, hash_bucket, hash_un
 
 # Fixed values from the original sampling plan: fraction kept per table
 # (None = keep the table whole).
-SAMPLE_PLAN_DATABRICKS = {"train": 0.12, "event": 0.09, "promoted_content": None}
-SAMPLE_PLAN_AZURE = {"train": 0.06, "event": 0.04, "promoted_content": 0.2}
+SAMPLE_PLAN_LARGE = {"train": 0.12, "event": 0.09, "promoted_content": None}
+SAMPLE_PLAN_SMALL = {"train": 0.06, "event": 0.04, "promoted_content": 0.2}
 
 SPLIT_BUCKETS = 10
 DEFAULT_TRAIN_BUCKETS = 7  # 70 / 30

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from clickpipe.functions.hashing import HASH_SPACE
 from clickpipe.operators.assemble import (feature_table, join_ads_by_ad, join_ads_by_document,
                                           join_impressions_clicks, labelled_data, prediction_rows)
-from clickpipe.operators.sampling import (SAMPLE_PLAN_DATABRICKS, bernoulli_sample,
+from clickpipe.operators.sampling import (SAMPLE_PLAN_LARGE, bernoulli_sample,
                                           exact_n_sample, random_split, sample_tables)
 from clickpipe.plans.evaluate import (auc_roc, classification_metrics, evaluation_row,
                                       metrics_table, rmse)
@@ -78,7 +78,7 @@ def q_sampling_job(spark, sf_dir):
         inputs[name] = f"{src}/{name}"
         write_csv(df, inputs[name])
     out = run_sampling_job(spark, inputs, shared_scratch(spark, "sampling-out"),
-                           SAMPLE_PLAN_DATABRICKS, key="display_id")
+                           SAMPLE_PLAN_LARGE, key="display_id")
     return read_csv(spark, out["train"], schema=TRAIN_SCHEMA)
 
 
@@ -92,7 +92,7 @@ def q_sample_exact_n(spark, sf_dir):
 
 
 def q_sample_by_key(spark, sf_dir):
-    t = sample_tables(fixture_tables(spark, sf_dir), SAMPLE_PLAN_DATABRICKS, key="display_id")
+    t = sample_tables(fixture_tables(spark, sf_dir), SAMPLE_PLAN_LARGE, key="display_id")
     return join_impressions_clicks(t["event"], t["train"])
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from clickpipe.functions.hashing import hash32
 from clickpipe.operators.assemble import labelled_data
-from clickpipe.operators.sampling import (SAMPLE_PLAN_DATABRICKS, bernoulli_sample, exact_n_sample,
+from clickpipe.operators.sampling import (SAMPLE_PLAN_LARGE, bernoulli_sample, exact_n_sample,
                                           hash_split, key_sample, random_split, sample_tables)
 
 
@@ -58,7 +58,7 @@ def test_exact_n_edges(tables):
 
 
 def test_key_sample_keeps_same_keys(tables):
-    s = sample_tables(tables, SAMPLE_PLAN_DATABRICKS, key="display_id")
+    s = sample_tables(tables, SAMPLE_PLAN_LARGE, key="display_id")
     ev_ids = {r.display_id for r in s["event"].select("display_id").collect()}
     tr_ids = {r.display_id for r in s["train"].select("display_id").distinct().collect()}
     # train keeps 0.12 of the keys, event 0.09: the event keys are a subset of the train keys
@@ -103,7 +103,7 @@ def test_sampling_job_csv_to_csv(spark, tables):
     for name, df in tables.items():
         inputs[name] = f"{root}/in/{name}"
         write_csv(df, inputs[name])
-    out = run_sampling_job(spark, inputs, f"{root}/out", SAMPLE_PLAN_DATABRICKS)
+    out = run_sampling_job(spark, inputs, f"{root}/out", SAMPLE_PLAN_LARGE)
     tr = read_csv(spark, out["train"], schema=TRAIN_SCHEMA)
     ev = read_csv(spark, out["event"], schema=EVENT_SCHEMA)
     assert tr.exceptAll(key_sample(tables["train"], 0.12)).count() == 0
