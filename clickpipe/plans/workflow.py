@@ -82,13 +82,21 @@ def training_input(train: DataFrame, target_partition_bytes: int = TARGET_PARTIT
     data = train.hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows = data.count()
-        cores = train.sparkSession.sparkContext.defaultParallelism
-        target = max(cores, math.ceil(rows * TRAIN_ROW_BYTES / target_partition_bytes))
-        yield data.coalesce(target) if target < data.rdd.getNumPartitions() else data
+        target = max(_cores(train.sparkSession),
+                     math.ceil(rows * TRAIN_ROW_BYTES / target_partition_bytes))
+        # coalesce only merges: asking for more partitions than exist is a no-op
+        yield data.coalesce(target)
     finally:
         data.unpersist()
 
 
+def _cores(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext handle (remote session)
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def fit_pipeline(learner: Estimator | str, train: DataFrame, **learner_params) -> PipelineModel:
     """F4 + F5: fit assembler, scaler and learner on the training half."""
     est = make_learner(learner, **learner_params) if isinstance(learner, str) else learner
