@@ -77,6 +77,8 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_PARTITIONS", "16")))
+    if os.environ.get("BENCH_AUTO_BROADCAST"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", os.environ["BENCH_AUTO_BROADCAST"])
     # warm-up: JVM, class loading, parquet footers
     fixture_tables(spark, sf_dir)["event"].count()
     times = {}

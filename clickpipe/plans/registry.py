@@ -13,10 +13,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from clickpipe.functions.hashing import HASH_SPACE
-from clickpipe.operators.assemble import (feature_table, join_ads_by_ad, join_ads_by_document,
+from clickpipe.operators.assemble import (join_ads_by_ad, join_ads_by_document,
                                           join_impressions_clicks, labelled_data, prediction_rows)
 from clickpipe.operators.sampling import (SAMPLE_PLAN_LARGE, bernoulli_sample,
                                           exact_n_sample, random_split, sample_tables)

@@ -1,7 +1,5 @@
-from pyspark.sql import functions as F
-
-from clickpipe.functions.sizing import checked_broadcast, row_count_at_most
-from clickpipe.operators.assemble import (FEATURES, as_test, feature_table, join_ads_by_ad,
+from clickpipe.functions.sizing import row_count_at_most
+from clickpipe.operators.assemble import (FEATURES, as_test, join_ads_by_ad,
                                           join_ads_by_document, join_impressions_clicks,
                                           labelled_data)
 

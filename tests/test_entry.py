@@ -14,8 +14,6 @@ def test_every_oracle_has_a_query():
 
 def test_relational_queries_match_sql_small(spark, duck):
     """Every oracle'd relational query agrees with its SQL at sf0.001."""
-    import hashlib
-
     sql = E.oracle_sql()
     names = ["join_by_document", "split_hash_test", "minmax_scale", "classification_summary",
              "auc_roc", "sample_exact_n", "sample_by_key", "confusion_metrics"]

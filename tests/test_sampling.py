@@ -1,9 +1,5 @@
 import math
 
-import pandas as pd
-from pyspark.sql import functions as F
-
-from clickpipe.functions.hashing import hash32
 from clickpipe.operators.assemble import labelled_data
 from clickpipe.operators.sampling import (SAMPLE_PLAN_LARGE, bernoulli_sample, exact_n_sample,
                                           hash_split, key_sample, random_split, sample_tables)
