@@ -108,6 +108,11 @@ def q_split_hash_test(spark, sf_dir):
     return prepare(fixture_tables(spark, sf_dir)).test
 
 
+def q_split_rename(spark, sf_dir):
+    """R4 alone: the test half's label column renamed, key and label only."""
+    return prepare(fixture_tables(spark, sf_dir)).test.select("display_id", "ad_id", "trueLabel")
+
+
 # ---------------------------------------------------------------- joins / projections
 def q_join_display(spark, sf_dir):
     t = fixture_tables(spark, sf_dir)
@@ -161,6 +166,18 @@ def q_classification_summary(spark, sf_dir):
     return classification_metrics(_rule(spark, sf_dir))
 
 
+def q_precision_recall(spark, sf_dir):
+    return classification_metrics(_rule(spark, sf_dir)).select("precision", "recall")
+
+
+def q_accuracy_error(spark, sf_dir):
+    return classification_metrics(_rule(spark, sf_dir)).select("accuracy", "test_error")
+
+
+def q_f1_weighted(spark, sf_dir):
+    return classification_metrics(_rule(spark, sf_dir)).select("f1")
+
+
 def q_auc_roc(spark, sf_dir):
     return auc_roc(_rule(spark, sf_dir), score_col="score")
 
@@ -244,6 +261,7 @@ QUERIES: dict[str, Query] = {
     "split_random": q_split_random,
     "split_hash_train": q_split_hash_train,
     "split_hash_test": q_split_hash_test,
+    "split_rename": q_split_rename,
     "join_display": q_join_display,
     "join_by_document": q_join_by_document,
     "join_by_ad": q_join_by_ad,
@@ -253,6 +271,9 @@ QUERIES: dict[str, Query] = {
     "minmax_scale": q_minmax_scale,
     "confusion_metrics": q_confusion_metrics,
     "classification_summary": q_classification_summary,
+    "precision_recall": q_precision_recall,
+    "accuracy_error": q_accuracy_error,
+    "f1_weighted": q_f1_weighted,
     "auc_roc": q_auc_roc,
     "rmse": q_rmse,
     "rule_show": q_rule_show,
@@ -360,6 +381,7 @@ FROM se JOIN st ON se.display_id = st.display_id""",
     "sampling_job": _with() + f"SELECT * FROM train WHERE {_KEY_HASH} < {int(round(0.12 * HASH_SPACE))}",
     "split_hash_train": _with(_J1, _J2, _DATA, _SPLIT) + "SELECT * FROM train_half",
     "split_hash_test": _with(_J1, _J2, _DATA, _SPLIT) + "SELECT * FROM test_half",
+    "split_rename": _with(_J1, _J2, _DATA, _SPLIT) + 'SELECT display_id, ad_id, "trueLabel" FROM test_half',
     "join_display": _with(_J1) + "SELECT * FROM j1",
     "join_by_document": _with(_J1, _J2) + "SELECT * FROM j2",
     "join_by_ad": _with(_J3) + "SELECT * FROM j3",
@@ -381,6 +403,16 @@ FROM test_half t CROSS JOIN mm""",
     * CAST(tp + fn AS DOUBLE) / CAST(n AS DOUBLE)
   + CASE WHEN p0 + r0 = 0 THEN 0.0 ELSE 2.0 * p0 * r0 / (p0 + r0) END
     * CAST(tn + fp AS DOUBLE) / CAST(n AS DOUBLE) AS f1
+FROM r""",
+    "precision_recall": _with(_J1, _J2, _DATA, _SPLIT, _RULE, _COUNTS, _RATES)
+    + "SELECT precision, recall FROM r",
+    "accuracy_error": _with(_J1, _J2, _DATA, _SPLIT, _RULE, _COUNTS, _RATES)
+    + "SELECT accuracy, 1.0 - accuracy AS test_error FROM r",
+    "f1_weighted": _with(_J1, _J2, _DATA, _SPLIT, _RULE, _COUNTS, _RATES) + """SELECT
+  CASE WHEN p1 + r1 = 0 THEN 0.0 ELSE 2.0 * p1 * r1 / (p1 + r1) END
+    * CAST(tp + fn AS DOUBLE) / CAST(n AS DOUBLE)
+  + CASE WHEN p0 + r0 = 0 THEN 0.0 ELSE 2.0 * p0 * r0 / (p0 + r0) END
+    * CAST(tn + fp AS DOUBLE) / CAST(n AS DOUBLE) AS f1
 FROM r""",
     "auc_roc": _with(_J1, _J2, _DATA, _SPLIT, _RULE, """s AS (
   SELECT score AS s, count(*) FILTER (WHERE "trueLabel" = 1) AS pos,
