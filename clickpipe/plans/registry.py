@@ -40,17 +40,17 @@ SCALED = ["display_id", "document_id", "platform", "ad_id", "campaign_id", "adve
 
 # ---------------------------------------------------------------- sources
 def q_load_event(spark, sf_dir):
-    views = register_fixture_views(spark, sf_dir)
+    views = register_fixture_views(spark, sf_dir, suffix="_fixture")
     return load_table(spark, "event", source="catalog", table=views["event"])
 
 
 def q_load_train(spark, sf_dir):
-    views = register_fixture_views(spark, sf_dir)
+    views = register_fixture_views(spark, sf_dir, suffix="_fixture")
     return load_table(spark, "train", source="catalog", table=views["train"])
 
 
 def q_load_promoted_content(spark, sf_dir):
-    views = register_fixture_views(spark, sf_dir)
+    views = register_fixture_views(spark, sf_dir, suffix="_fixture")
     return load_table(spark, "promoted_content", source="catalog", table=views["promoted_content"])
 
 
