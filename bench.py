@@ -59,7 +59,8 @@ def q_features(spark, sf_dir):
 def q_cv(spark, sf_dir):
     s = prepare(fixture_tables(spark, sf_dir))
     lr = logistic_regression()
-    model = tune(build_pipeline(lr), lr_param_grid(lr), s.train, num_folds=10, parallelism=4)
+    model = tune(build_pipeline(lr), lr_param_grid(lr), s.train, num_folds=10,
+                 parallelism=int(os.environ.get("BENCH_CV_PARALLELISM", "4")))
     _evaluate(probability_score(model.transform(s.test)))
 
 
