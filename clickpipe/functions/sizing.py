@@ -13,8 +13,11 @@ DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has no more than ``max_rows`` rows.
 
-    ``limit(max_rows + 1).count()`` stops reading as soon as the bound is
-    exceeded, so the check is cheap even when the answer is "no".
+    Each task of ``limit(max_rows + 1).count()`` stops after ``max_rows + 1``
+    rows, so the check costs at most one pass over a dimension-sized table.
+    It is meant for the small side of a join; for a side that may be huge,
+    pass ``max_rows=None`` to ``checked_broadcast`` and let AQE decide from
+    the measured shuffle size.
     """
     return df.limit(max_rows + 1).count() <= max_rows
 
