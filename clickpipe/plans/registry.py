@@ -24,7 +24,8 @@ from clickpipe.plans.evaluate import (auc_roc, classification_metrics, evaluatio
 from clickpipe.plans.features import build_pipeline
 from clickpipe.plans.models import logistic_regression
 from clickpipe.plans.tuning import cv_summary, lr_param_grid
-from clickpipe.plans.workflow import compare_models, fit_and_score, prepare, rule_predictions, tune
+from clickpipe.plans.workflow import (compare_models, fit_and_score, prepare, rule_predictions,
+                                      tune, tune_and_evaluate)
 from clickpipe.session import shared_scratch
 from clickpipe.sources.fixtures import (DUCKDB_FIXTURE_CTES, fixture_tables,
                                         register_fixture_views)
@@ -238,10 +239,7 @@ def q_cv_grid(spark, sf_dir):
 
 
 def q_cv_rmse_predict(spark, sf_dir):
-    s = prepare(fixture_tables(spark, sf_dir))
-    lr = logistic_regression()
-    model = tune(build_pipeline(lr), lr_param_grid(lr), s.train, metric="rmse", parallelism=4)
-    return metrics_table(model.transform(s.test))
+    return tune_and_evaluate(fixture_tables(spark, sf_dir), metric="rmse")
 
 
 def q_model_comparison(spark, sf_dir):

@@ -173,6 +173,21 @@ def train_and_evaluate(tables: Mapping[str, DataFrame], learner: str = "lr",
     return metrics_table(pred)
 
 
+def tune_and_evaluate(tables: Mapping[str, DataFrame], metric: str = "areaUnderROC",
+                      num_folds: int = 10, join_on: str = "document", split: str = "hash",
+                      seed: int = 1234, parallelism: int = 4) -> DataFrame:
+    """Entry 2 (LR): grid x k-fold CV on the training half, best model scored
+    on the test half, metrics table returned."""
+    from clickpipe.plans.models import logistic_regression
+    from clickpipe.plans.tuning import lr_param_grid
+
+    s = prepare(tables, join_on=join_on, split=split, seed=seed)
+    lr = logistic_regression()
+    model = tune(build_pipeline(lr), lr_param_grid(lr), s.train, num_folds=num_folds,
+                 metric=metric, seed=seed, parallelism=parallelism)
+    return metrics_table(model.transform(s.test))
+
+
 def rule_predictions(test: DataFrame, threshold: int = 2) -> DataFrame:
     """A fixed rule in place of a model: predict a click when ``platform <= threshold``.
 
