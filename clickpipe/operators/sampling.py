@@ -153,6 +153,9 @@ def random_split(df: DataFrame, weights: Sequence[float] = (0.7, 0.3), seed: int
     session's checkpoint folder.
     """
     if cut_lineage:
+        from clickpipe.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
     return df.randomSplit(list(weights), seed=seed)
 

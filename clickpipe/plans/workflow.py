@@ -25,6 +25,7 @@ from clickpipe.plans.evaluate import (auc_roc, classification_metrics, evaluatio
                                       metrics_table, probability_score)
 from clickpipe.plans.features import build_pipeline
 from clickpipe.plans.models import make_learner
+from clickpipe.session import ensure_checkpoint_dir
 from clickpipe.sources.tables import load_table, write_csv
 
 
@@ -137,6 +138,7 @@ def compare_models(split: Split, learners: Mapping[str, Mapping] | None = None)
     # Every learner scores the same test half, and each metric is another
     # pass: write it once to the checkpoint folder instead of recomputing
     # its joins for every learner and metric.
+    ensure_checkpoint_dir(split.test.sparkSession)
     shared = Split(split.train, split.test.checkpoint(eager=True))
     rows = None
     for name, params in learners.items():
