@@ -54,7 +54,10 @@ def prepare(tables: Mapping[str, DataFrame], join_on: str = "document", cast: bo
     data = labelled_data(tables["event"], tables["train"], tables["promoted_content"],
                          join_on=join_on, cast=cast)
     if split == "hash":
-        train, test = hash_split(data, train_buckets=int(round(train_fraction * 10)))
+        # 10 buckets for fractions in tenths (the default 7/3), else 1000.
+        buckets = 10 if abs(train_fraction * 10 - round(train_fraction * 10)) < 1e-9 else 1000
+        train, test = hash_split(data, train_buckets=int(round(train_fraction * buckets)),
+                                 buckets=buckets)
     elif split == "random":
         train, test = random_split(data, [train_fraction, 1 - train_fraction], seed=seed)
     else:
