@@ -47,19 +47,23 @@ def key_sample(df: DataFrame, fraction: float, key: str | Sequence[str] = "displ
 
 
 def sample_tables(tables: Mapping[str, DataFrame], plan: Mapping[str, float | None],
-                  key: str | None = "display_id", seed: int = 123) -> dict[str, DataFrame]:
+                  key: str | Mapping[str, str | None] | None = "display_id",
+                  seed: int = 123) -> dict[str, DataFrame]:
     """Apply a per-table fraction plan.
 
-    With ``key`` set, tables that have the key column are sampled on it (the
-    same keys survive in every table); other tables are Bernoulli-sampled.
+    ``key`` is one key column for every table, or a per-table mapping
+    (e.g. displays for event/train and ``ad_id`` for the ad table).  A table
+    with its key column is sampled on the key hash (the same keys survive in
+    every table sampled on that key); a table without one is Bernoulli-sampled.
     """
     out = {}
     for name, df in tables.items():
         fraction = plan.get(name)
+        table_key = key.get(name) if isinstance(key, Mapping) else key
         if fraction is None or fraction >= 1.0:
             out[name] = df
-        elif key is not None and key in df.columns:
-            out[name] = key_sample(df, fraction, key)
+        elif table_key is not None and table_key in df.columns:
+            out[name] = key_sample(df, fraction, table_key)
         else:
             out[name] = bernoulli_sample(df, fraction, seed)
     return out

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from clickpipe.functions.hashing import HASH_SPACE
 from clickpipe.operators.assemble import (join_ads_by_ad, join_ads_by_document,
                                           join_impressions_clicks, labelled_data, prediction_rows)
-from clickpipe.operators.sampling import (SAMPLE_PLAN_LARGE, bernoulli_sample,
+from clickpipe.operators.sampling import (SAMPLE_PLAN_LARGE, SAMPLE_PLAN_SMALL, bernoulli_sample,
                                           exact_n_sample, random_split, sample_tables)
 from clickpipe.plans.evaluate import (auc_roc, classification_metrics, evaluation_row,
                                       metrics_table, rmse)
@@ -96,6 +96,13 @@ def q_sample_by_key(spark, sf_dir):
     return join_impressions_clicks(t["event"], t["train"])
 
 
+def q_sample_plan_small(spark, sf_dir):
+    """The smaller sampling plan (ads sampled too, on ad_id), then J1 + J2 + R2."""
+    keys = {"event": "display_id", "train": "display_id", "promoted_content": "ad_id"}
+    t = sample_tables(fixture_tables(spark, sf_dir), SAMPLE_PLAN_SMALL, key=keys)
+    return labelled_data(**t)
+
+
 def q_split_random(spark, sf_dir):
     data = labelled_data(**fixture_tables(spark, sf_dir))
     return random_split(data, [0.7, 0.3], seed=1234)[1]
@@ -256,6 +263,7 @@ QUERIES: dict[str, Query] = {
     "sample_bernoulli": q_sample_bernoulli,
     "sample_exact_n": q_sample_exact_n,
     "sample_by_key": q_sample_by_key,
+    "sample_plan_small": q_sample_plan_small,
     "split_random": q_split_random,
     "split_hash_train": q_split_hash_train,
     "split_hash_test": q_split_hash_test,
@@ -359,6 +367,9 @@ _SCALE_COLS = ",\n  ".join(
 
 _EXACT_N_THRESHOLD = "('0x' || substr(md5('123:' || CAST(display_id AS VARCHAR)), 1, 8))::BIGINT"
 _KEY_HASH = "('0x' || substr(md5(CAST(display_id AS VARCHAR)), 1, 8))::BIGINT"
+_ORDER_HASH = "('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT"
+_LINE_HASH = "('0x' || substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8))::BIGINT"
+_PART_HASH = "('0x' || substr(md5(CAST(p_partkey AS VARCHAR)), 1, 8))::BIGINT"
 
 ORACLE_SQL: dict[str, str] = {
     "load_event": _with() + "SELECT * FROM event",
@@ -377,6 +388,13 @@ QUALIFY row_number() OVER (ORDER BY {_EXACT_N_THRESHOLD}, display_id)
        st.clicked
 FROM se JOIN st ON se.display_id = st.display_id""",
     "sampling_job": _with() + f"SELECT * FROM train WHERE {_KEY_HASH} < {int(round(0.12 * HASH_SPACE))}",
+    "sample_plan_small": "WITH " + DUCKDB_FIXTURE_CTES.strip().replace(
+        "FROM orders),", f"FROM orders WHERE {_ORDER_HASH} < {int(round(0.04 * HASH_SPACE))}),", 1)
+    .replace("FROM lineitem JOIN orders ON l_orderkey = o_orderkey)",
+             f"FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE {_LINE_HASH} < "
+             f"{int(round(0.06 * HASH_SPACE))})", 1)
+    .replace("FROM part)", f"FROM part WHERE {_PART_HASH} < {int(round(0.2 * HASH_SPACE))})", 1)
+    + ",\n" + ",\n".join([_J1, _J2, _DATA]) + "\nSELECT * FROM data",
     "split_hash_train": _with(_J1, _J2, _DATA, _SPLIT) + "SELECT * FROM train_half",
     "split_hash_test": _with(_J1, _J2, _DATA, _SPLIT) + "SELECT * FROM test_half",
     "split_rename": _with(_J1, _J2, _DATA, _SPLIT) + 'SELECT display_id, ad_id, "trueLabel" FROM test_half',
