@@ -91,13 +91,19 @@ def as_test(df: DataFrame) -> DataFrame:
     return df.withColumnRenamed(LABEL, TRUE_LABEL)
 
 
-def prediction_rows(predictions: DataFrame, keys: Sequence[str] = ("display_id", "ad_id")) -> DataFrame:
+def prediction_rows(predictions: DataFrame, keys: Sequence[str] = ("display_id", "ad_id"),
+                    features: Sequence[str] = FEATURES, as_columns: bool = True) -> DataFrame:
     """``features, prediction, trueLabel`` plus the row keys.
 
-    The feature vector is returned as ``array<double>`` so the rows can be
-    compared and written by any engine.
+    The feature vector is returned as one ``s_<feature>`` double column per
+    input feature (``as_columns=True``) or as one ``array<double>``, so the
+    rows can be compared and written by any engine.
     """
     from pyspark.ml.functions import vector_to_array
 
-    return predictions.select(*keys, vector_to_array("features").alias("features"),
-                              "prediction", TRUE_LABEL)
+    vec = vector_to_array("features")
+    if as_columns:
+        cols = [vec[i].alias(f"s_{c}") for i, c in enumerate(features)]
+    else:
+        cols = [vec.alias("features")]
+    return predictions.select(*keys, *cols, "prediction", TRUE_LABEL)

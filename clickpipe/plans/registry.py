@@ -230,12 +230,8 @@ def q_rf_predict(spark, sf_dir):
 
 def q_show_predictions(spark, sf_dir):
     """The 100 first scored rows, scaled features as named columns."""
-    pred = _fit(spark, sf_dir, "lr")
-    scaled = vector_to_array("features")
-    rows = pred.select("display_id", "ad_id",
-                       *[scaled[i].alias(f"s_{c}") for i, c in enumerate(SCALED)],
-                       "prediction", "trueLabel")
-    return show_rows(rows, 100, order_by=["display_id", "ad_id", "trueLabel"])
+    return show_rows(prediction_rows(_fit(spark, sf_dir, "lr")), 100,
+                     order_by=["display_id", "ad_id", "trueLabel"])
 
 
 def q_lr_evaluation(spark, sf_dir):
@@ -452,6 +448,11 @@ FROM pred ORDER BY display_id, ad_id, campaign_id, "trueLabel" LIMIT 100""",
     # (its only signal), so their test confusion counts equal the rule's.
     "lr_confusion": _with(_J1, _J2, _DATA, _SPLIT, _RULE, _COUNTS, _RATES) + _METRICS,
     "stump_confusion": _with(_J1, _J2, _DATA, _SPLIT, _RULE, _COUNTS, _RATES) + _METRICS,
+    "lr_predict": _with(_J1, _J2, _DATA, _SPLIT, _RULE, f"mm AS (SELECT {_MIN_MAX} FROM train_half)")
+    + f"""SELECT t.display_id, t.ad_id,
+  {_SCALE_COLS},
+  t.prediction, t."trueLabel"
+FROM pred t CROSS JOIN mm""",
     "show_predictions": _with(_J1, _J2, _DATA, _SPLIT, _RULE, f"mm AS (SELECT {_MIN_MAX} FROM train_half)")
     + f"""SELECT t.display_id, t.ad_id,
   {_SCALE_COLS},
