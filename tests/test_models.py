@@ -86,3 +86,12 @@ def test_null_feature_policy(spark):
         build_pipeline(None, features=["a"]).fit(df).transform(df).collect()
     kept = build_pipeline(None, features=["a"], handle_invalid="skip").fit(df).transform(df)
     assert kept.count() == 2
+
+
+def test_tree_memory_budget_follows_session(spark):
+    from clickpipe.plans.models import _mb, tree_memory_mb
+
+    assert (_mb("16g"), _mb("512m"), _mb("1073741824"), _mb("2gb")) == (16384, 512, 1024, 2048)
+    # test session: 8g heap shared by 4 local task slots -> min(8192/4/4, 8192/4) = 512
+    assert tree_memory_mb(spark) == 512
+    assert 32 <= make_learner("rf").getMaxMemoryInMB() <= 512
