@@ -208,6 +208,12 @@ def q_lr_confusion(spark, sf_dir):
     return metrics_table(_fit(spark, sf_dir, "lr"))
 
 
+def q_lr_confusion_by_ad(spark, sf_dir):
+    """The corrected job: ads joined on the shown ad (J3), then the LR pipeline."""
+    s = prepare(fixture_tables(spark, sf_dir), join_on="ad")
+    return metrics_table(fit_and_score("lr", s)[1])
+
+
 def q_stump_confusion(spark, sf_dir):
     return metrics_table(_fit(spark, sf_dir, "dt", maxDepth=1))
 
@@ -285,6 +291,7 @@ QUERIES: dict[str, Query] = {
     "rmse": q_rmse,
     "rule_show": q_rule_show,
     "lr_confusion": q_lr_confusion,
+    "lr_confusion_by_ad": q_lr_confusion_by_ad,
     "stump_confusion": q_stump_confusion,
     "lr_predict": q_lr_predict,
     "dt_predict": q_dt_predict,
@@ -459,6 +466,8 @@ FROM pred t CROSS JOIN mm""",
   t.prediction, t."trueLabel"
 FROM pred t CROSS JOIN mm
 ORDER BY t.display_id, t.ad_id, t."trueLabel" LIMIT 100""",
+    "lr_confusion_by_ad": _with(_J3, _DATA.replace("FROM j2", "FROM j3"), _SPLIT, _RULE, _COUNTS, _RATES)
+    + _METRICS,
     # The RMSE-selected model (ties -> first map) predicts the same rule.
     "cv_rmse_predict": _with(_J1, _J2, _DATA, _SPLIT, _RULE, _COUNTS, _RATES) + _METRICS,
 }
