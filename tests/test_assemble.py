@@ -75,3 +75,11 @@ def test_bucketed_tables_join_without_shuffle(spark, tables):
         assert j.count() == join_impressions_clicks(tables["event"], tables["train"]).count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_unchecked_broadcast_leaves_choice_to_planner(tables):
+    from clickpipe.functions.sizing import checked_broadcast
+
+    pc = tables["promoted_content"]
+    assert checked_broadcast(pc, None) is pc
+    assert checked_broadcast(pc, 10) is pc  # over the bound: no hint

@@ -64,3 +64,14 @@ def test_fixture_views_match_sql(tables, duck):
     assert tables["event"].agg(F.sum("timestamp")).first()[0] == int(sums.ts[0])
     assert tables["train"].agg(F.sum("clicked")).first()[0] == int(sums.c[0])
     assert tables["promoted_content"].agg(F.sum("campaign_id")).first()[0] == int(sums.camp[0])
+
+
+def test_load_table_argument_errors(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        load_table(spark, "event", source="csv")
+    with pytest.raises(ValueError):
+        load_table(spark, "event", source="parquet")
+    with pytest.raises(ValueError):
+        load_table(spark, "event", source="jdbc")
