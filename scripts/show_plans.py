@@ -42,6 +42,14 @@ def main():
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     cases["training half, fact-sized inputs (auto-broadcast off; ads broadcast only by the "
           "row-count check)"] = formatted(hash_split(labelled_data(**t))[0])
+    from clickpipe.operators.assemble import join_impressions_clicks
+    from clickpipe.sources.tables import load_table, save_bucketed
+
+    save_bucketed(t["event"], "event_by_display", "display_id", 16)
+    save_bucketed(t["train"], "train_by_display", "display_id", 16)
+    cases["J1 over tables bucketed by display_id (auto-broadcast off): no exchange"] = formatted(
+        join_impressions_clicks(load_table(spark, "event", table="event_by_display"),
+                                load_table(spark, "train", table="train_by_display")))
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     rule = rule_predictions(prepare(t).test)
     cases["metrics table: one aggregate + stack"] = formatted(metrics_table(rule))
