@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from clickpipe.operators.assemble import as_test, labelled_data
 from clickpipe.operators.sampling import hash_split, random_split, sample_tables
 from clickpipe.plans.evaluate import (auc_roc, classification_metrics, evaluation_row,
-                                      metrics_table, probability_score)
+                                      metrics_table, probability_score, rmse)
 from clickpipe.plans.features import build_pipeline
 from clickpipe.plans.models import make_learner
 from clickpipe.session import ensure_checkpoint_dir
@@ -132,6 +132,7 @@ def evaluate(predictions: DataFrame) -> dict[str, DataFrame]:
         "metrics": metrics_table(predictions),
         "summary": classification_metrics(predictions),
         "auc": auc_roc(predictions),
+        "rmse": rmse(predictions, label_col="trueLabel"),
     }
 
 
