@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 from clickpipe.llm.common import workers_import
 
-MEMO = 1 << 20
+MEMO = 1 << 19
 MEMO_BYTES = 64
 BUCKET_KEYS = 4
 

@@ -1,9 +1,15 @@
 """The registered queries of this subpackage and their SQL."""
 
 from clickpipe.llm.byte_bpe import op5_byte_bpe
+from clickpipe.llm.main_text import op7_main_text
+from clickpipe.llm.quality_qda import op10_quality_qda
+from clickpipe.llm.source_mix import op8_source_mix
 
 QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
+    "op7_main_text": op7_main_text,
+    "op8_source_mix": op8_source_mix,
+    "op10_quality_qda": op10_quality_qda,
 }
 
 ORACLE_SQL = {}
