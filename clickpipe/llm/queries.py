@@ -1,15 +1,21 @@
 """The registered queries of this subpackage and their SQL."""
 
+from clickpipe.llm import topk_search
 from clickpipe.llm.byte_bpe import op5_byte_bpe
+from clickpipe.llm.license_scan import op3_license_scan
 from clickpipe.llm.main_text import op7_main_text
 from clickpipe.llm.quality_qda import op10_quality_qda
 from clickpipe.llm.source_mix import op8_source_mix
 
 QUERIES = {
+    "op1_topk_search": topk_search.op1_topk_search,
+    "op3_license_scan": op3_license_scan,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_main_text": op7_main_text,
     "op8_source_mix": op8_source_mix,
     "op10_quality_qda": op10_quality_qda,
 }
 
-ORACLE_SQL = {}
+ORACLE_SQL = {
+    "op1_topk_search": topk_search.ORACLE_SQL,
+}
