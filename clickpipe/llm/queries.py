@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL."""
 
-from clickpipe.llm import topk_search
+from clickpipe.llm import itq_dedup, topk_search
 from clickpipe.llm.byte_bpe import op5_byte_bpe
 from clickpipe.llm.license_scan import op3_license_scan
 from clickpipe.llm.main_text import op7_main_text
@@ -9,6 +9,7 @@ from clickpipe.llm.source_mix import op8_source_mix
 
 QUERIES = {
     "op1_topk_search": topk_search.op1_topk_search,
+    "op2_itq_dedup": itq_dedup.op2_itq_dedup,
     "op3_license_scan": op3_license_scan,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_main_text": op7_main_text,
@@ -18,4 +19,5 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_topk_search": topk_search.ORACLE_SQL,
+    "op2_itq_dedup": itq_dedup.ORACLE_SQL,
 }
