@@ -1,6 +1,7 @@
 """The registered queries of this subpackage and their SQL."""
 
 from clickpipe.llm import itq_dedup, topk_search
+from clickpipe.llm.bag_minhash import op6_bag_minhash
 from clickpipe.llm.byte_bpe import op5_byte_bpe
 from clickpipe.llm.license_scan import op3_license_scan
 from clickpipe.llm.main_text import op7_main_text
@@ -12,6 +13,7 @@ QUERIES = {
     "op2_itq_dedup": itq_dedup.op2_itq_dedup,
     "op3_license_scan": op3_license_scan,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_bag_minhash": op6_bag_minhash,
     "op7_main_text": op7_main_text,
     "op8_source_mix": op8_source_mix,
     "op10_quality_qda": op10_quality_qda,

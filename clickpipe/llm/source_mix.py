@@ -38,7 +38,7 @@ from clickpipe.llm.common import read_table, saved, whole_text
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
 MOST = 2.0
-ROWS_A_BUCKET = 20_000
+ROWS_A_BUCKET = 1_000
 
 
 def word_count(text: Column) -> Column:
