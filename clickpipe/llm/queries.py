@@ -4,6 +4,7 @@ from clickpipe.llm import itq_dedup, topk_search
 from clickpipe.llm.bag_minhash import op6_bag_minhash
 from clickpipe.llm.byte_bpe import op5_byte_bpe
 from clickpipe.llm.license_scan import op3_license_scan
+from clickpipe.llm.line_dedup import op4_line_dedup
 from clickpipe.llm.main_text import op7_main_text
 from clickpipe.llm.quality_qda import op10_quality_qda
 from clickpipe.llm.source_mix import op8_source_mix
@@ -12,6 +13,7 @@ QUERIES = {
     "op1_topk_search": topk_search.op1_topk_search,
     "op2_itq_dedup": itq_dedup.op2_itq_dedup,
     "op3_license_scan": op3_license_scan,
+    "op4_line_dedup": op4_line_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_bag_minhash": op6_bag_minhash,
     "op7_main_text": op7_main_text,
