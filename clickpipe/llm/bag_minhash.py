@@ -121,6 +121,11 @@ def node(text: str = "text"):
     return F.xxhash64(whole_text(text))
 
 
+def has_words(text: str = "text"):
+    """Whether a text has a shingle at all."""
+    return F.lower(whole_text(text)).rlike(r"[0-9a-z]|[^\x00-\x7F]")
+
+
 def _signed(texts: DataFrame) -> DataFrame:
     """``_u``, ``_n`` (shingles) and ``_bands`` of each text; texts without words are left out."""
 
@@ -188,17 +193,36 @@ def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -
 
 
 def with_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document without its text: its node ``_u``, ``class_id`` and ``kept``."""
+    """One row per document without its text: its node ``_u``, its class as
+    ``_root`` (null for a text without words) and ``class_id``, and ``kept``."""
     roots = classes(docs, text, threshold)
-    has_words = F.lower(whole_text(text)).rlike(r"[0-9a-z]|[^\x00-\x7F]")
-    rows = docs.select(F.col(doc_id).alias("doc_id"), node(text).alias("_u"), has_words.alias("_w"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), node(text).alias("_u"), has_words(text).alias("_w"))
     # one row per node first: copies may be a third of all rows
     firsts = rows.filter("_w").groupBy("_u").agg(F.min("doc_id").alias("_id"))
     placed = saved(firsts.join(roots, "_u", "left").select("_u", "_id", F.coalesce("_root", "_u").alias("_root")), "minhash-nodes")
     least = placed.groupBy("_root").agg(F.min("_id").alias("class_id"))
-    known = placed.join(least, "_root").select("_u", "class_id")
-    out = rows.filter("_w").join(known, "_u").unionByName(rows.filter("NOT _w").withColumn("class_id", F.col("doc_id")))
-    return out.select("doc_id", "_u", "class_id", "_w", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    known = placed.join(least, "_root").select("_u", "_root", "class_id")
+    alone = rows.filter("NOT _w").withColumn("class_id", F.col("doc_id")).withColumn("_root", F.lit(None).cast("long"))
+    out = rows.filter("_w").join(known, "_u").unionByName(alone)
+    return out.select("doc_id", "_u", "_root", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+
+
+def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
+    """The documents without all but one of each class: the smallest id, then the
+    smallest text hash, stays; of rows that repeat in id and text one does; every
+    text without words stays."""
+    rows = saved(with_classes(docs, text, doc_id, threshold).select("doc_id", "_u", "_root"), "minhash-classes")
+    order = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "_u")
+    stay = (rows.filter("_root IS NOT NULL").groupBy("_root").agg(F.min(order).alias("_x"))
+            .select(F.col("_x.doc_id").alias("_i"), F.col("_x._u").alias("_u")))
+    body = docs.withColumn("_u2", node(text))
+    same = (F.col("_u2") == F.col("_u")) & F.col(doc_id).eqNullSafe(F.col("_i"))
+    out = body.join(stay, same, "left_semi")
+    again = rows.filter("_root IS NOT NULL").groupBy("doc_id", "_u").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    again = saved(again.select(F.col("doc_id").alias("_i"), "_u"), "minhash-repeats")
+    if not again.isEmpty():  # rows that repeat in full, or but for other columns
+        out = out.join(again, same, "left_anti").unionByName(out.join(again, same, "left_semi").dropDuplicates(["_u2", doc_id]))
+    return out.drop("_u2").unionByName(docs.filter(~has_words(text)))
 
 
 def op6_bag_minhash(spark, sf_dir: str) -> DataFrame:

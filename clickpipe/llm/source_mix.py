@@ -87,11 +87,11 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float
 
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id",
-        weights: Sequence[float] = WEIGHTS, budget: float = BUDGET, most: float = MOST, seed: int = 8) -> DataFrame:
-    """The rows of ``docs`` without ``text`` and with ``size``, ``source_size``,
+        weights: Sequence[float] = WEIGHTS, budget: float = BUDGET, most: float = MOST, seed: int = 8, keep_text: bool = False) -> DataFrame:
+    """The rows of ``docs``, without ``text`` unless it is to be kept, and with ``size``, ``source_size``,
     ``target``, ``copies`` (how often the mix takes the document) and ``taken``
     (its words in the mix)."""
-    rest = [c for c in docs.columns if c not in (text, "size", "source_size", "target", "copies", "taken")]
+    rest = [c for c in docs.columns if (keep_text or c != text) and c not in ("size", "source_size", "target", "copies", "taken")]
     body = whole_text(text)
     key = exponential_key(quality_weight(body), F.col(doc_id), body, seed=seed)
     rows = saved(docs.select(*rest, F.col(source).alias("_source"), word_count(body).alias("size"), key.alias("_key")), "mix-rows")
@@ -138,6 +138,12 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
                       "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: every taken document, as often as it is taken."""
+    rows = mix(docs, keep_text=True, **options)
+    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(*docs.columns)
+
+
 def op8_source_mix(spark, sf_dir: str) -> DataFrame:
     """The mix of all documents: size, source size, target and taken words of each."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "source")
