@@ -70,20 +70,21 @@ class SortedLists:
         depth, step = 0, max(FIRST_STEP, k)
         while depth < n:
             to = min(n, depth + step)
+            seen = met.copy()
             if len(dims):
-                seen = np.concatenate([self.order[n - to:n - depth, dims[up]].ravel(), self.order[depth:to, dims[~up]].ravel()])
+                seen[self.order[n - to:n - depth, dims[up]]] = True
+                seen[self.order[depth:to, dims[~up]]] = True
             else:  # every score is 0: the smallest ids win
-                seen = np.arange(n)
-            new = np.unique(seen)
-            new = new[~met[new]]
-            met[new] = True
+                seen[:] = True
+            new = np.flatnonzero(seen & ~met)
+            met = seen
             if len(new):
                 places = np.concatenate([places, new])
                 scores = np.concatenate([scores, self.rows[new] @ query])
                 best = np.lexsort((places, -scores))[:k]
                 places, scores = places[best], scores[best]
             bound = (weight * np.where(up, self.sorted[n - to, dims], self.sorted[to - 1, dims])).sum() if len(dims) else -np.inf
-            if len(places) == k and bound < scores[-1]:
+            if len(places) == k and bound < scores[-1] or met.all():
                 break
             depth, step = to, step * 2
         return places, scores
