@@ -60,8 +60,8 @@ class Quantiser:
         a_code = max(1, d // self.bits)
         unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
         self.mean = unit.mean(axis=0)
-        _, _, axes = np.linalg.svd(unit - self.mean, full_matrices=True)
-        flat = (unit - self.mean) @ axes.T
+        _, axes = np.linalg.eigh((unit - self.mean).T @ (unit - self.mean))  # columns: principal axes
+        flat = (unit - self.mean) @ axes
         rng = np.random.default_rng(seed)
         turns = []
         for _ in range(-(-self.tables // a_code)):
@@ -69,7 +69,7 @@ class Quantiser:
             for _ in range(ROUNDS):
                 u, _, vt = np.linalg.svd(np.where(flat @ turn >= 0, 1.0, -1.0).T @ flat)
                 turn = (u @ vt).T
-            turns.append((axes.T @ turn)[:, :a_code * self.bits])
+            turns.append((axes @ turn)[:, :a_code * self.bits])
         self.turns = np.concatenate(turns, axis=1)[:, :self.tables * self.bits]
 
     def keys(self, vectors: np.ndarray) -> np.ndarray:
