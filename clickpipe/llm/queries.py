@@ -8,6 +8,7 @@ from clickpipe.llm.line_dedup import op4_line_dedup
 from clickpipe.llm.main_text import op7_main_text
 from clickpipe.llm.quality_qda import op10_quality_qda
 from clickpipe.llm.source_mix import op8_source_mix
+from clickpipe.llm.suffix_dedup import op9_suffix_dedup
 
 QUERIES = {
     "op1_topk_search": topk_search.op1_topk_search,
@@ -18,6 +19,7 @@ QUERIES = {
     "op6_bag_minhash": op6_bag_minhash,
     "op7_main_text": op7_main_text,
     "op8_source_mix": op8_source_mix,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_qda": op10_quality_qda,
 }
 
