@@ -16,12 +16,14 @@ still be earlier than the latest kept one.
 
 Candidates: ``BANDS`` bands of ``ROWS`` positions; at similarity 0.8 a pair
 shares a band with probability above 0.9998.  Texts that are equal are one node
-first, so copies meet no one.  In each band bucket every node is first held
-against the bucket's smallest node only (one pair a node over all its buckets);
-after the components of the verified pairs are known, the pairs of a bucket
-that still lie in different components are verified too.  So large groups of
-near copies cost about one comparison a document, and no candidate pair is left
-undecided: each is in one component or was verified.  Verification compares the
+first, so copies meet no one.  Every node is first held against one other, the
+node of its buckets that meets most others (in a group of near copies that is
+the text they come from).  Buckets that then still hold several components are
+put together to clusters of nodes, and each pair of blocks of a cluster compares
+its nodes on arrays: pairs of one component are skipped, pairs whose signatures
+agree in ``SIGMAS`` standard deviations too few positions, too, and the others
+verified.  No pair is written out but links that join two components, so no
+group, however large, makes rows of all its pairs.  Verification compares the
 exact multisets (64-bit shingle hashes) of both whole texts.
 
 Defined cases: a null text is read as empty; a text without words is alike to
@@ -32,7 +34,9 @@ extra columns pass through where rows are returned; an empty table gives none.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +51,8 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS = 30
 ROWS = 6
+BLOCK = 512
+SIGMAS = 4
 
 _WORD_BYTE = np.zeros(256, bool)
 _WORD_BYTE[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
@@ -169,29 +175,86 @@ def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -
     texts = docs.select(node(text).alias("_u"), whole_text(text).alias("_t"))
     signed = saved(_signed(texts), "minhash-bands").dropDuplicates(["_u"])
     rows = saved(signed.select("_u", "_n", F.explode("_bands").alias("_key")), "minhash-keys")
-    full = (rows.groupBy("_key").agg(F.min("_u").alias("_rep"), F.max("_u").alias("_top")).filter("_rep <> _top").drop("_top"))
+    full = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_m")).filter("_m > 1")
     members = saved(rows.join(full, "_key"), "minhash-members")
-    sizes = members.groupBy("_u").agg(F.first("_n").alias("_n"), F.min("_rep").alias("_rep"))
+    sizes = members.groupBy("_u").agg(F.first("_n").alias("_n"), F.sum("_m").alias("_met"))
     texts = saved(texts.join(sizes.select("_u"), "_u", "left_semi").dropDuplicates(["_u"]), "minhash-texts")
 
-    def sized(pairs: DataFrame) -> DataFrame:  # the overlap is at most the ratio of the sizes
-        return (pairs.join(sizes.select(F.col("_u").alias("a"), F.col("_n").alias("_na")), "a")
-                .join(sizes.select(F.col("_u").alias("b"), F.col("_n").alias("_nb")), "b")
-                .filter(F.least("_na", "_nb") >= threshold * F.greatest("_na", "_nb")).select("a", "b"))
-
-    first = sizes.filter("_u <> _rep").select(F.col("_u").alias("a"), F.col("_rep").alias("b"))
-    links = saved(_verified(sized(first), texts, threshold), "minhash-links")
-    roots = components(links)
-    placed = members.join(roots.withColumnRenamed("node", "_u"), "_u", "left").select("_u", "_key", F.coalesce("root", "_u").alias("_c"))
-    apart = placed.groupBy("_key").agg(F.min("_c").alias("_lo"), F.max("_c").alias("_hi")).filter("_lo <> _hi").select("_key")
-    open_ = saved(placed.join(apart, "_key"), "minhash-open")
-    other = open_.select("_key", F.col("_u").alias("b"), F.col("_c").alias("_d"))
-    rest = (open_.withColumnRenamed("_u", "a").join(other, "_key").filter("a > b AND _c <> _d").select("a", "b").distinct()
-            .join(first, ["a", "b"], "left_anti"))
-    more = saved(_verified(sized(saved(rest, "minhash-pairs")), texts, threshold), "minhash-links")
+    # each node against the node of its buckets that meets most others
+    ranked = members.select("_u", "_key").join(sizes, "_u")
+    centre = ranked.groupBy("_key").agg(F.max(F.struct("_met", "_u", "_n")).alias("_x"))
+    first = (ranked.join(centre, "_key").groupBy("_u").agg(F.max("_x").alias("_x"), F.first("_n").alias("_n"))
+             .filter("_u <> _x._u").filter(F.least("_n", "_x._n") >= threshold * F.greatest("_n", "_x._n"))
+             .select(F.col("_u").alias("a"), F.col("_x._u").alias("b")))
+    links = saved(_verified(first, texts, threshold), "minhash-links")
+    placed = members.select("_u", "_key").join(components(links).withColumnRenamed("node", "_u"), "_u", "left")
+    placed = placed.select("_u", "_key", F.coalesce("root", "_u").alias("_c"))
+
+    # what a bucket still holds apart, as clusters of nodes that share such buckets
+    apart = placed.groupBy("_key").agg(F.min("_c").alias("_lo"), F.max("_c").alias("_hi"), F.min("_u").alias("_least")).filter("_lo <> _hi")
+    open_ = saved(placed.join(apart.select("_key", "_least"), "_key"), "minhash-open")
+    cluster = components(open_.select(F.col("_u").alias("a"), F.col("_least").alias("b"))).withColumnRenamed("node", "_u")
+    nodes = open_.select("_u", "_c").distinct().join(cluster, "_u", "left").select("_u", "_c", F.coalesce("root", "_u").alias("_cluster"))
+    more = saved(_cluster_links(saved(nodes, "minhash-clusters"), texts, threshold), "minhash-links")
     return components(links.unionByName(more)).select(F.col("node").alias("_u"), F.col("root").alias("_root"))
 
 
+def _cluster_links(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links (``a``, ``b``) that join the components inside each cluster.
+
+    ``nodes``: ``_u``, its component ``_c`` and ``_cluster``.  A cluster is dealt
+    into blocks of about ``BLOCK`` nodes, and each pair of blocks is a group that
+    compares its nodes on arrays and gives only links that join two components."""
+    blocks = nodes.groupBy("_cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_k"))
+    own = F.pmod(F.xxhash64("_u"), F.col("_k")).cast("int")
+    dealt = (nodes.join(blocks, "_cluster").withColumn("_part", own)
+             .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
+             .select("_u", "_c", "_cluster", "_part", F.least("_part", "_other").alias("_lo"), F.greatest("_part", "_other").alias("_hi"))
+             .join(texts, "_u").repartition("_cluster", "_lo", "_hi").sortWithinPartitions("_cluster", "_lo", "_hi"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("_cluster", "_lo", "_hi", "_part", "_u", "_c", "_t")), strict=True))
+        for (_, lo, hi), group in groupby(rows, key=lambda r: r[:3]):
+            _, _, _, part, u, c, text = zip(*group, strict=True)
+            found = _joining_links(list(u), np.array(c), np.array(part) if lo != hi else None, [shingles(t) for t in text], threshold)
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["a", "b"])
+
+    return dealt.select("_cluster", "_lo", "_hi", "_part", "_u", "_c", "_t").mapInArrow(run, "a long, b long")
+
+
+def _joining_links(ids: list[int], component: np.ndarray, part: np.ndarray | None, sets: list[tuple[np.ndarray, np.ndarray]],
+                   threshold: float) -> list[tuple[int, int]]:
+    """Verified pairs that join components; pairs whose signatures agree in far too few
+    positions for the threshold (``SIGMAS`` standard deviations) aren't verified."""
+    n, size = len(ids), BANDS * ROWS
+    least = threshold - SIGMAS * math.sqrt(threshold * (1 - threshold) / size)
+    signs = np.stack([signature(*x, size) for x in sets])
+    total = np.array([x[1].sum() for x in sets])
+    _, parent = np.unique(component, return_inverse=True)
+    parent = parent.copy()
+    found = []
+    for i in range(n - 1):
+        j = np.arange(i + 1, n)
+        if part is not None:
+            j = j[part[j] != part[i]]
+        j = j[parent[j] != parent[i]]
+        j = j[np.minimum(total[j], total[i]) >= threshold * np.maximum(total[j], total[i])]
+        j = j[(signs[j] == signs[i]).mean(axis=1) >= least] if len(j) else j
+        if not len(j):
+            continue
+        hashes, counts = sets[i]
+        ends = np.cumsum([len(sets[k][0]) for k in j])
+        other, times = np.concatenate([sets[k][0] for k in j]), np.concatenate([sets[k][1] for k in j])
+        at = np.minimum(np.searchsorted(hashes, other), len(hashes) - 1)
+        both = np.where(hashes[at] == other, np.minimum(counts[at], times), 0)
+        shared = np.add.reduceat(both, np.concatenate([[0], ends[:-1]]))
+        for k in j[shared >= threshold * (total[j] + total[i] - shared)]:
+            if parent[k] != parent[i]:
+                parent[parent == parent[k]] = parent[i]
+                found.append((ids[i], ids[k]))
+    return found
+
+
 def with_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """One row per document without its text: its node ``_u``, its class as
     ``_root`` (null for a text without words) and ``class_id``, and ``kept``."""
