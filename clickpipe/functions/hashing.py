@@ -15,13 +15,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
 HASH_SPACE = 1 << 32
+# What a null key is hashed as, so that every row has a bucket.
+NULL_TOKEN = "\x01null"
 
 
 def _key_string(*cols: str | Column) -> Column:
     parts = [F.col(c) if isinstance(c, str) else c for c in cols]
-    if len(parts) == 1:
-        return parts[0].cast("string")
-    return F.concat_ws("|", *[p.cast("string") for p in parts])
+    parts = [F.coalesce(p.cast("string"), F.lit(NULL_TOKEN)) for p in parts]
+    return parts[0] if len(parts) == 1 else F.concat_ws("|", *parts)
+
+
+def seed_salt(seed: int, default: int) -> str:
+    """The salt of a seed; the default seed has none."""
+    return "" if seed == default else f"{seed}:"
 
 
 def hash32(*cols: str | Column, salt: str = "") -> Column:
@@ -37,11 +43,6 @@ def hash_bucket(*cols: str | Column, buckets: int, salt: str = "") -> Column:
     return F.pmod(hash32(*cols, salt=salt), F.lit(buckets))
 
 
-def hash_unit(*cols: str | Column, salt: str = "") -> Column:
-    """``hash32(key) / 2**32`` in [0, 1): a reproducible uniform draw per key."""
-    return hash32(*cols, salt=salt) / F.lit(float(HASH_SPACE))
-
-
 def key_column(df: DataFrame, key: str) -> Column:
     """The key as hashed: fractional columns holding ids (features are cast
     to double) are hashed as ``bigint`` so that ``11426.0`` and ``11426`` agree."""

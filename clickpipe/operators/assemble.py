@@ -10,8 +10,9 @@ R5  the prediction projection.
 
 Physical plan at scale: J1 joins two fact-sized tables, so it is a
 sort-merge join shuffled on ``display_id`` (AQE splits skewed partitions).
-The ad dimension is broadcast only after a row-count check
-(``checked_broadcast``); otherwise it is shuffled on the join key too.
+Whether the ad dimension is broadcast is left to the planner's size estimate
+and to AQE's measured sizes; beyond their threshold it is shuffled on the join
+key too.
 """
 
 from __future__ import annotations
@@ -21,8 +22,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpipe.functions.sizing import DEFAULT_BROADCAST_MAX_ROWS, checked_broadcast
+from clickpipe.sources.invalid import apply_policy
 
+# The feature columns, in order, and the label's name.
 FEATURES = ["display_id", "document_id", "platform", "ad_id", "campaign_id", "advertiser_id"]
 LABEL = "label"
 TRUE_LABEL = "trueLabel"
@@ -39,28 +41,23 @@ def join_impressions_clicks(event: DataFrame, train: DataFrame,
     return event.join(clicks, "display_id", "inner")
 
 
-def join_ads_by_document(data1: DataFrame, promoted_content: DataFrame,
-                         broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def join_ads_by_document(data1: DataFrame, promoted_content: DataFrame) -> DataFrame:
     """Attach every ad whose landing document is the page's document.
 
     This reproduces the original job: each click label is copied onto all
     ads of the page's document (fan-out = ads per document).
     """
-    ads = checked_broadcast(
-        promoted_content.select("ad_id", "document_id", "campaign_id", "advertiser_id"),
-        broadcast_max_rows)
+    ads = promoted_content.select("ad_id", "document_id", "campaign_id", "advertiser_id")
     return data1.join(ads, "document_id", "inner")
 
 
-def join_ads_by_ad(data1: DataFrame, promoted_content: DataFrame,
-                   broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def join_ads_by_ad(data1: DataFrame, promoted_content: DataFrame) -> DataFrame:
     """Attach the attributes of the ad that was shown (no fan-out).
 
     ``data1`` must come from ``join_impressions_clicks(..., keep_ad=True)``.
     ``document_id`` stays the page's document.
     """
-    ads = checked_broadcast(
-        promoted_content.select("ad_id", "campaign_id", "advertiser_id"), broadcast_max_rows)
+    ads = promoted_content.select("ad_id", "campaign_id", "advertiser_id")
     return data1.join(ads, "ad_id", "inner")
 
 
@@ -73,17 +70,19 @@ def feature_table(joined: DataFrame, cast: bool = True,
 
 def labelled_data(event: DataFrame, train: DataFrame, promoted_content: DataFrame,
                   join_on: str = "document", cast: bool = True,
-                  broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """J1 + J2/J3 + R2/R3: the labelled feature table ``data``."""
+                  invalid: str = "keep") -> DataFrame:
+    """J1 + J2/J3 + R2/R3: the labelled feature table ``data``.
+
+    ``invalid`` says what becomes of rows with a null feature or label
+    (``error``, ``skip`` or ``keep``, see ``sources.invalid``)."""
     if join_on == "document":
-        joined = join_ads_by_document(join_impressions_clicks(event, train), promoted_content,
-                                      broadcast_max_rows)
+        joined = join_ads_by_document(join_impressions_clicks(event, train), promoted_content)
     elif join_on == "ad":
         joined = join_ads_by_ad(join_impressions_clicks(event, train, keep_ad=True),
-                                promoted_content, broadcast_max_rows)
+                                promoted_content)
     else:
         raise ValueError(f"join_on must be 'document' or 'ad', not {join_on!r}")
-    return feature_table(joined, cast=cast)
+    return apply_policy(feature_table(joined, cast=cast), [*FEATURES, LABEL], invalid)
 
 
 def as_test(df: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickpipe.operators.assemble import TRUE_LABEL
+from clickpipe.session import ensure_checkpoint_dir
 
 PREDICTION = "prediction"
 
@@ -33,17 +34,35 @@ def _f1(p: Column, r: Column) -> Column:
     return F.when((p + r) == 0, F.lit(0.0)).otherwise(F.lit(2.0) * p * r / (p + r))
 
 
+WEIGHT = "_rows"
+
+
+def grouped_scores(pred: DataFrame, label_col: str = TRUE_LABEL, prediction_col: str = PREDICTION,
+                   score_col: str | None = "score") -> DataFrame:
+    """Predictions by (score, prediction, label) with their number ``_rows``: all
+    that the metrics and the AUC need, from one scoring pass."""
+    score = F.lit(None).cast("double") if score_col is None else F.col(score_col).cast("double")
+    return (pred.groupBy(score.alias("score"), F.col(prediction_col).alias(PREDICTION),
+                         F.col(label_col).alias(TRUE_LABEL))
+            .agg(F.count(F.lit(1)).alias(WEIGHT)))
+
+
 def confusion_counts(pred: DataFrame, label_col: str = TRUE_LABEL,
                      prediction_col: str = PREDICTION) -> DataFrame:
-    """A1: TP, FP, TN, FN and n in one pass (one row)."""
+    """A1: TP, FP, TN, FN and n in one pass (one row).
+
+    Rows without a label or prediction count nowhere.  ``pred`` may be grouped
+    (``grouped_scores``)."""
     p, y = F.col(prediction_col), F.col(label_col)
-    return pred.agg(
-        F.count_if((p == 1.0) & (y == 1)).alias("tp"),
-        F.count_if((p == 1.0) & (y == 0)).alias("fp"),
-        F.count_if((p == 0.0) & (y == 0)).alias("tn"),
-        F.count_if((p == 0.0) & (y == 1)).alias("fn"),
-        F.count_if(p == y).alias("correct"),
-        F.count(F.lit(1)).alias("n"),
+    w = F.col(WEIGHT) if WEIGHT in pred.columns else F.lit(1).cast("long")
+    count = lambda c: F.coalesce(F.sum(F.when(c, w)), F.lit(0).cast("long"))
+    return pred.filter(p.isNotNull() & y.isNotNull()).agg(
+        count((p == 1.0) & (y == 1)).alias("tp"),
+        count((p == 1.0) & (y == 0)).alias("fp"),
+        count((p == 0.0) & (y == 0)).alias("tn"),
+        count((p == 0.0) & (y == 1)).alias("fn"),
+        count(p == y).alias("correct"),
+        count(F.lit(True)).alias("n"),
     )
 
 
@@ -96,7 +115,7 @@ def probability_score(pred: DataFrame, probability_col: str = "probability",
 
 
 def auc_roc(pred: DataFrame, score_col: str = "score", label_col: str = TRUE_LABEL,
-            target_bucket_rows: int = 1 << 18, max_buckets: int = 4096) -> DataFrame:
+            target_bucket_rows: int = 1 << 18) -> DataFrame:
     """Exact area under the ROC curve, one row ``(auc)``.
 
     AUC = sum over positives of (#negatives scored lower + half the
@@ -105,19 +124,22 @@ def auc_roc(pred: DataFrame, score_col: str = "score", label_col: str = TRUE_LAB
     1. group by score -> (pos, neg) per distinct score (a hot score collapses
        to one row here);
     2. the distinct scores are cut into quantile buckets (boundaries from
-       ``approxQuantile``: at most ``max_buckets`` numbers reach the driver);
+       ``approxQuantile``: one number per ``target_bucket_rows`` distinct scores
+       reaches the driver, 4,000 for a thousand million);
     3. negatives below each score = negatives in earlier buckets (a running
-       sum over <= ``max_buckets`` bucket totals, broadcast back) + negatives
-       earlier in the same bucket (a window over one bucket).
+       sum over the bucket totals, joined back) + negatives earlier in the same
+       bucket (a window over one bucket).
 
-    Null when the labels are all of one class.
+    ``pred`` may be grouped (``grouped_scores``).  Null when the labels are all of one class.
     """
     y = F.col(label_col)
+    w = F.col(WEIGHT) if WEIGHT in pred.columns else F.lit(1).cast("long")
+    count = lambda c: F.coalesce(F.sum(F.when(c, w)), F.lit(0).cast("long"))
     scores = (pred.filter(F.col(score_col).isNotNull() & y.isNotNull())
               .groupBy(F.col(score_col).cast("double").alias("s"))
-              .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")))
+              .agg(count(y == 1).alias("pos"), count(y == 0).alias("neg")))
     distinct = scores.count()
-    n_buckets = int(min(max_buckets, max(1, math.ceil(distinct / target_bucket_rows))))
+    n_buckets = max(1, math.ceil(distinct / target_bucket_rows))
     if n_buckets == 1:
         # At most ``target_bucket_rows`` distinct scores: one ordered window.
         below = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
@@ -132,7 +154,7 @@ def auc_roc(pred: DataFrame, score_col: str = "score", label_col: str = TRUE_LAB
         before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
         offsets = totals.select("b", F.coalesce(F.sum("bneg").over(before), F.lit(0)).alias("off"))
         within = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-        ranked = (bucketed.join(F.broadcast(offsets), "b")
+        ranked = (bucketed.join(offsets, "b")
                   .withColumn("neg_below",
                               F.col("off") + F.coalesce(F.sum("neg").over(within), F.lit(0))))
     num = F.sum(F.col("pos") * (F.col("neg_below") + F.lit(0.5) * F.col("neg")))
@@ -153,9 +175,13 @@ def evaluation_row(pred: DataFrame, model_name: str, score_col: str | None = "sc
                    label_col: str = TRUE_LABEL) -> DataFrame:
     """E6 building block: one row ``(model, accuracy, test_error, f1, precision, recall, auc)``.
 
-    The one-pass metrics and the AUC are stacked into ``(metric, value)``
-    rows, unioned and pivoted back per model: one small aggregation, no join.
+    The rows are scored and grouped once (``grouped_scores``, written to the shared
+    folder); the metrics and the AUC are read from there, stacked into
+    ``(metric, value)`` rows and pivoted back per model: no join.
     """
+    ensure_checkpoint_dir(pred.sparkSession)
+    pred = grouped_scores(pred, label_col, score_col=score_col).checkpoint(eager=True)
+    score_col, label_col = score_col and "score", TRUE_LABEL
     m = classification_metrics(pred, label_col)
     pairs = ", ".join(f"'{c}', {c}" for c in SUMMARY_METRICS[:-1])
     long = m.select(F.expr(f"stack({len(SUMMARY_METRICS) - 1}, {pairs}) AS (metric, value)"))

@@ -19,19 +19,15 @@ SCALED_VECTOR = "nfeatures"
 FEATURE_VECTOR = "features"
 
 
-def feature_stages(features: Sequence[str] = FEATURES, handle_invalid: str = "error",
-                   rewrap: bool = True) -> list:
+def feature_stages(features: Sequence[str] = FEATURES, handle_invalid: str = "error") -> list:
     """F1 assemble, F2 scale to [0, 1] (fitted on the training half), F3 re-wrap.
 
     ``handle_invalid``: ``error`` (the original behaviour: a null feature
     fails the job), ``skip`` (drop such rows) or ``keep`` (NaN).
     A constant column scales to 0.5; unseen values are not clipped.
-    ``rewrap=False`` writes the scaled vector straight to ``features``.
     """
     assembler = VectorAssembler(inputCols=list(features), outputCol=RAW_VECTOR,
                                 handleInvalid=handle_invalid)
-    if not rewrap:
-        return [assembler, MinMaxScaler(inputCol=RAW_VECTOR, outputCol=FEATURE_VECTOR)]
     scaler = MinMaxScaler(inputCol=RAW_VECTOR, outputCol=SCALED_VECTOR)
     rewrap_stage = VectorAssembler(inputCols=[SCALED_VECTOR], outputCol=FEATURE_VECTOR)
     return [assembler, scaler, rewrap_stage]

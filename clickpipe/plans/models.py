@@ -1,10 +1,14 @@
 """Learners (M1-M4) with the original parameters as defaults.
 
-Extra settings only affect speed and memory, never the model:
-``cacheNodeIds`` + ``checkpointInterval`` keep deep trees from re-walking
-every tree per iteration and cut the node-id lineage into the checkpoint
-folder; ``maxMemoryInMB`` (sized from the session's memory, see
-``tree_memory_mb``) lets more nodes share one pass over the data.
+``cacheNodeIds`` + ``checkpointInterval`` keep deep trees from re-walking every
+tree per iteration and cut the node-id lineage into the checkpoint folder.
+
+``maxMemoryInMB`` bounds the histograms of one group of tree nodes.  A random
+forest draws its feature subsets group by group, so the value is part of the
+model: it is a constant here (``TREE_MEMORY_MB``) or an explicit argument, and
+never read from the session.  Each task holds up to this much at a time, so size
+executors for ``task slots * maxMemoryInMB``; 32 MB fits a 1 GB session, larger
+values need fewer passes over the data.
 """
 
 from __future__ import annotations
@@ -12,8 +16,6 @@ from __future__ import annotations
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
                                        LogisticRegression, RandomForestClassifier)
 
-from pyspark.sql import SparkSession
-
 from clickpipe.operators.assemble import LABEL
 from clickpipe.plans.features import FEATURE_VECTOR
 
@@ -24,46 +26,8 @@ LR_PARAMS = {"maxIter": 10, "regParam": 0.3}
 RF_PARAMS = {"impurity": "gini", "featureSubsetStrategy": "auto", "numTrees": 10,
              "maxDepth": 30, "maxBins": 128, "seed": 1234}
 
-TREE_SCALE = {"cacheNodeIds": True, "checkpointInterval": 10}
-TREE_MEMORY_CAP_MB = 512
-TREE_MEMORY_FLOOR_MB = 32
-
-
-def _mb(size: str) -> int:
-    size = size.strip().lower()
-    units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
-    if size and size[-1] == "b":
-        size = size[:-1]
-    if size and size[-1] in units:
-        return int(float(size[:-1]) * units[size[-1]])
-    return int(int(size) / (1 << 20))  # plain bytes
-
-
-def tree_memory_mb(spark: SparkSession | None = None) -> int:
-    """Histogram budget per task (``maxMemoryInMB``) that fits the session.
-
-    Every concurrent task of an executor allocates this much for one group
-    of tree nodes, and the driver collects the group's statistics, so the
-    budget is a quarter of the executor heap divided by its task slots,
-    and at most a quarter of the driver heap, within [32, 512] MB.
-    """
-    spark = spark or SparkSession.getActiveSession()
-    if spark is None:
-        return TREE_MEMORY_CAP_MB
-    conf = spark.sparkContext.getConf()
-    driver = _mb(conf.get("spark.driver.memory", "1g"))
-    if conf.get("spark.master", "").startswith("local"):
-        executor, slots = driver, spark.sparkContext.defaultParallelism
-    else:
-        executor = _mb(conf.get("spark.executor.memory", "1g"))
-        slots = max(1, int(conf.get("spark.executor.cores", "1")) //
-                    max(1, int(conf.get("spark.task.cpus", "1"))))
-    budget = min(executor // 4 // slots, driver // 4)
-    return int(max(TREE_MEMORY_FLOOR_MB, min(TREE_MEMORY_CAP_MB, budget)))
-
-
-def _tree_scale() -> dict:
-    return {**TREE_SCALE, "maxMemoryInMB": tree_memory_mb()}
+TREE_MEMORY_MB = 32
+TREE_SCALE = {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": TREE_MEMORY_MB}
 
 
 def _common(label_col: str, features_col: str) -> dict:
@@ -72,14 +36,14 @@ def _common(label_col: str, features_col: str) -> dict:
 
 def decision_tree(label_col: str = LABEL, features_col: str = FEATURE_VECTOR, **overrides):
     """M1: Gini decision tree, depth 30, 128 bins, seed 1234."""
-    params = {**DT_PARAMS, **_tree_scale(), **overrides}
+    params = {**DT_PARAMS, **TREE_SCALE, **overrides}
     return DecisionTreeClassifier(**_common(label_col, features_col), **params)
 
 
 def gradient_boosted_trees(label_col: str = LABEL, features_col: str = FEATURE_VECTOR,
                            seed: int = 1234, **overrides):
     """M2: 10 boosting rounds, other parameters Spark's defaults (depth 5, 32 bins)."""
-    params = {**GBT_PARAMS, **_tree_scale(), "seed": seed, **overrides}
+    params = {**GBT_PARAMS, **TREE_SCALE, "seed": seed, **overrides}
     return GBTClassifier(**_common(label_col, features_col), **params)
 
 
@@ -90,7 +54,7 @@ def logistic_regression(label_col: str = LABEL, features_col: str = FEATURE_VECT
 
 def random_forest(label_col: str = LABEL, features_col: str = FEATURE_VECTOR, **overrides):
     """M4: 10 Gini trees of depth 30, 128 bins, feature subset auto, seed 1234."""
-    params = {**RF_PARAMS, **_tree_scale(), **overrides}
+    params = {**RF_PARAMS, **TREE_SCALE, **overrides}
     return RandomForestClassifier(**_common(label_col, features_col), **params)
 
 

@@ -3,22 +3,27 @@
 Each query takes ``(spark, sf_dir)`` and returns a DataFrame computed from
 the driver's tables over their whole extent.  ``ORACLE_SQL`` holds the
 same result in plain SQL (DuckDB dialect) for the queries whose result is
-fully determined by the data; learners whose output is not (deep trees,
-forests, boosting, CV scores) are checked on rows only, plus the invariants
-in ``tests/``.
+fully determined by the data.  Of the learners at the reference's settings SQL
+can state the rows and the validity of what is predicted for them; at settings
+where the fixture determines the model (stumps, linear models, the grid by RMSE)
+it states the predictions themselves.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickpipe.functions.hashing import HASH_SPACE
 from clickpipe.operators.assemble import (join_ads_by_ad, join_ads_by_document,
                                           join_impressions_clicks, labelled_data, prediction_rows)
 from clickpipe.operators.sampling import (SAMPLE_PLAN_LARGE, SAMPLE_PLAN_SMALL, bernoulli_sample,
-                                          exact_n_sample, random_split, sample_tables)
+                                          exact_n_sample, hash_split, random_split, sample_tables)
 from clickpipe.plans.evaluate import (auc_roc, classification_metrics, evaluation_row,
                                       metrics_table, rmse)
 from clickpipe.plans.features import build_pipeline
@@ -30,9 +35,8 @@ from clickpipe.session import shared_scratch
 from clickpipe.sources.fixtures import (DUCKDB_FIXTURE_CTES, fixture_tables,
                                         register_fixture_views)
 from clickpipe.sources.tables import load_table, preview, read_csv, show_rows, write_csv
-from clickpipe.sources.schemas import EVENT_SCHEMA
-
-from pyspark.ml.functions import vector_to_array
+from clickpipe.sources.invalid import count_invalid
+from clickpipe.sources.schemas import EVENT_SCHEMA, TRAIN_SCHEMA
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,7 +74,6 @@ def q_sampling_job(spark, sf_dir):
     """Entry 3: the three inputs as CSV -> per-table sample plan -> CSV; the
     sampled click table read back."""
     from clickpipe.plans.workflow import run_sampling_job
-    from clickpipe.sources.schemas import TRAIN_SCHEMA
 
     src = shared_scratch(spark, "sampling-in")
     inputs = {}
@@ -82,8 +85,71 @@ def q_sampling_job(spark, sf_dir):
     return read_csv(spark, out["train"], schema=TRAIN_SCHEMA)
 
 
+def _csv_parts(spark, sf_dir):
+    """The click table as two CSV folders with their columns in a different order,
+    one of them with a pandas index; every seventh click is malformed."""
+    train = fixture_tables(spark, sf_dir)["train"]
+    clicked = F.when(F.col("ad_id") % 7 == 0, "n/a").otherwise(F.col("clicked").cast("string")).alias("clicked")
+    base = shared_scratch(spark, "train-csv")
+    first = train.filter("display_id % 2 = 0").select("ad_id", "display_id", clicked)
+    second = train.filter("display_id % 2 <> 0").select(F.col("ad_id").alias("_c0"), "display_id", "ad_id", clicked)
+    write_csv(first, f"{base}/a")
+    write_csv(second, f"{base}/b")
+    return [f"{base}/a", f"{base}/b"]
+
+
+def q_csv_mixed_headers(spark, sf_dir):
+    """Two folders with other column orders; malformed clicks become nulls, shown as -1."""
+    found = read_csv(spark, _csv_parts(spark, sf_dir), schema=TRAIN_SCHEMA, invalid="keep")
+    return found.withColumn("clicked", F.coalesce("clicked", F.lit(-1)))
+
+
+def q_csv_malformed(spark, sf_dir):
+    """Rows that the scan leaves out under ``skip``, counted before: both numbers."""
+    paths = _csv_parts(spark, sf_dir)
+    kept = read_csv(spark, paths, schema=TRAIN_SCHEMA, invalid="skip").count()
+    lost = count_invalid(read_csv(spark, paths, schema=TRAIN_SCHEMA, invalid="keep"), TRAIN_SCHEMA.names)
+    return lost.withColumn("n_kept", F.lit(kept).cast("long"))
+
+
+def q_csv_inferred(spark, sf_dir):
+    """S1 as the original job reads: types from the files."""
+    path = shared_scratch(spark, "ads-csv")
+    write_csv(fixture_tables(spark, sf_dir)["promoted_content"], path)
+    return read_csv(spark, path, infer_schema=True)
+
+
+def _near(spark, part, whole, fraction):
+    """Whether a random part has about its share of rows (5 standard deviations)."""
+    n, k = whole.count(), part.count()
+    return abs(k - fraction * n) <= 5 * math.sqrt(n * fraction * (1 - fraction))
+
+
 def q_sample_bernoulli(spark, sf_dir):
-    return bernoulli_sample(fixture_tables(spark, sf_dir)["train"], 0.12, seed=123)
+    """The input split by membership in the sample: all of it once, and the sample's size in bounds."""
+    train = fixture_tables(spark, sf_dir)["train"]
+    sample = bernoulli_sample(train, 0.12, seed=123)
+    rest = train.exceptAll(sample)
+    ok = F.lit(_near(spark, sample, train, 0.12))
+    return sample.unionByName(rest).withColumn("within_5_sigma", ok)
+
+
+def q_sample_exact_n_nulls(spark, sf_dir):
+    """Exact sample where a third of the keys is null."""
+    event = fixture_tables(spark, sf_dir)["event"]
+    event = event.withColumn("document_id", F.when(F.col("display_id") % 3 != 0, F.col("document_id")))
+    found = [exact_n_sample(event, f, order_cols=["document_id"]).agg(F.lit(f).alias("fraction"), F.count(F.lit(1)).alias("n_rows"))
+             for f in (0.1, 0.4, 0.7)]
+    return reduce(lambda a, b: a.unionByName(b), found)
+
+
+def q_split_hash_nulls(spark, sf_dir):
+    """Both halves of a split by a key of which a third is null."""
+    event = fixture_tables(spark, sf_dir)["event"]
+    event = event.withColumn("document_id", F.when(F.col("display_id") % 3 != 0, F.col("document_id")))
+    train, test = hash_split(event, key="document_id")
+    both = train.withColumn("half", F.lit("train")).unionByName(test.withColumn("half", F.lit("test")))
+    return both.withColumn("document_id", F.coalesce("document_id", F.lit(-1).cast("long")))
 
 
 def q_sample_exact_n(spark, sf_dir):
@@ -104,8 +170,10 @@ def q_sample_plan_small(spark, sf_dir):
 
 
 def q_split_random(spark, sf_dir):
+    """Both halves together are the input; the larger one's size is in bounds."""
     data = labelled_data(**fixture_tables(spark, sf_dir))
-    return random_split(data, [0.7, 0.3], seed=1234)[1]
+    train, test = random_split(data, [0.7, 0.3], seed=1234)
+    return train.unionByName(test).withColumn("within_5_sigma", F.lit(_near(spark, train, data, 0.7)))
 
 
 def q_split_hash_train(spark, sf_dir):
@@ -222,16 +290,36 @@ def q_lr_predict(spark, sf_dir):
     return prediction_rows(_fit(spark, sf_dir, "lr"))
 
 
+def _valid_rows(pred):
+    """Scored rows with what any model must fulfil in place of its own values."""
+    p = vector_to_array("probability")
+    sound = (p[0] >= 0) & (p[1] >= 0) & (F.abs(p[0] + p[1] - 1.0) < 1e-9) & ((p[1] > p[0]) == (F.col("prediction") == 1.0))
+    rows = pred.withColumn("_c", F.col("prediction").isin(0.0, 1.0)).withColumn("_p", sound | (p[0] == p[1]))
+    vec = vector_to_array("features")
+    return rows.select("display_id", "ad_id", *[vec[i].alias(f"s_{c}") for i, c in enumerate(SCALED)],
+                       "trueLabel", F.col("_c").alias("is_class"), F.col("_p").alias("is_probability"))
+
+
 def q_dt_predict(spark, sf_dir):
-    return prediction_rows(_fit(spark, sf_dir, "dt"))
+    return _valid_rows(_fit(spark, sf_dir, "dt"))
 
 
 def q_gbt_predict(spark, sf_dir):
-    return prediction_rows(_fit(spark, sf_dir, "gbt"))
+    return _valid_rows(_fit(spark, sf_dir, "gbt"))
 
 
 def q_rf_predict(spark, sf_dir):
-    return prediction_rows(_fit(spark, sf_dir, "rf"))
+    return _valid_rows(_fit(spark, sf_dir, "rf"))
+
+
+def q_gbt_confusion(spark, sf_dir):
+    """Ten rounds of stumps: the rule's counts."""
+    return metrics_table(_fit(spark, sf_dir, "gbt", maxDepth=1))
+
+
+def q_rf_confusion(spark, sf_dir):
+    """Ten stumps over all features: the rule's counts."""
+    return metrics_table(_fit(spark, sf_dir, "rf", maxDepth=1, featureSubsetStrategy="all"))
 
 
 def q_show_predictions(spark, sf_dir):
@@ -241,7 +329,11 @@ def q_show_predictions(spark, sf_dir):
 
 
 def q_lr_evaluation(spark, sf_dir):
-    return evaluation_row(_fit(spark, sf_dir, "lr"), "lr")
+    return evaluation_row(_fit(spark, sf_dir, "lr"), "lr").drop("auc")
+
+
+def q_lr_auc(spark, sf_dir):
+    return auc_roc(_fit(spark, sf_dir, "lr"))
 
 
 def q_cv_grid(spark, sf_dir):
@@ -252,6 +344,15 @@ def q_cv_grid(spark, sf_dir):
     return cv_summary(spark, model, "areaUnderROC")
 
 
+def q_cv_grid_rmse(spark, sf_dir):
+    """The grid by RMSE: every map's mean over the folds, to nine places, and the best map."""
+    s = prepare(fixture_tables(spark, sf_dir))
+    lr = logistic_regression()
+    model = tune(build_pipeline(lr), lr_param_grid(lr), s.train, metric="rmse", parallelism=4)
+    found = cv_summary(spark, model, "rmse")
+    return found.select("params", "metric", F.round("avg_metric", 9).alias("avg_metric"), "best")
+
+
 def q_cv_rmse_predict(spark, sf_dir):
     return tune_and_evaluate(fixture_tables(spark, sf_dir), metric="rmse")
 
@@ -260,20 +361,32 @@ def q_model_comparison(spark, sf_dir):
     return compare_models(prepare(fixture_tables(spark, sf_dir)))
 
 
+def q_model_comparison_stumps(spark, sf_dir):
+    """E6 with learners small enough for the data to determine them; without the AUC."""
+    learners = {"dt": {"maxDepth": 1}, "gbt": {"maxDepth": 1}, "lr": {},
+                "rf": {"maxDepth": 1, "featureSubsetStrategy": "all"}}
+    return compare_models(prepare(fixture_tables(spark, sf_dir)), learners).drop("auc")
+
+
 QUERIES: dict[str, Query] = {
     "load_event": q_load_event,
     "load_train": q_load_train,
     "load_promoted_content": q_load_promoted_content,
     "preview_event": q_preview_event,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_mixed_headers": q_csv_mixed_headers,
+    "csv_malformed": q_csv_malformed,
+    "csv_inferred": q_csv_inferred,
     "sampling_job": q_sampling_job,
     "sample_bernoulli": q_sample_bernoulli,
     "sample_exact_n": q_sample_exact_n,
+    "sample_exact_n_nulls": q_sample_exact_n_nulls,
     "sample_by_key": q_sample_by_key,
     "sample_plan_small": q_sample_plan_small,
     "split_random": q_split_random,
     "split_hash_train": q_split_hash_train,
     "split_hash_test": q_split_hash_test,
+    "split_hash_nulls": q_split_hash_nulls,
     "split_rename": q_split_rename,
     "join_display": q_join_display,
     "join_by_document": q_join_by_document,
@@ -297,9 +410,14 @@ QUERIES: dict[str, Query] = {
     "dt_predict": q_dt_predict,
     "gbt_predict": q_gbt_predict,
     "rf_predict": q_rf_predict,
+    "gbt_confusion": q_gbt_confusion,
+    "rf_confusion": q_rf_confusion,
+    "lr_auc": q_lr_auc,
     "show_predictions": q_show_predictions,
     "lr_evaluation": q_lr_evaluation,
     "cv_grid": q_cv_grid,
+    "cv_grid_rmse": q_cv_grid_rmse,
+    "model_comparison_stumps": q_model_comparison_stumps,
     "cv_rmse_predict": q_cv_rmse_predict,
     "model_comparison": q_model_comparison,
 }
@@ -470,4 +588,49 @@ ORDER BY t.display_id, t.ad_id, t."trueLabel" LIMIT 100""",
     + _METRICS,
     # The RMSE-selected model (ties -> first map) predicts the same rule.
     "cv_rmse_predict": _with(_J1, _J2, _DATA, _SPLIT, _RULE, _COUNTS, _RATES) + _METRICS,
+    "gbt_confusion": _with(_J1, _J2, _DATA, _SPLIT, _RULE, _COUNTS, _RATES) + _METRICS,
+    "rf_confusion": _with(_J1, _J2, _DATA, _SPLIT, _RULE, _COUNTS, _RATES) + _METRICS,
+}
+
+_VALID = _with(_J1, _J2, _DATA, _SPLIT, f"mm AS (SELECT {_MIN_MAX} FROM train_half)") + f"""SELECT t.display_id, t.ad_id,
+  {_SCALE_COLS},
+  t."trueLabel", true AS is_class, true AS is_probability
+FROM test_half t CROSS JOIN mm"""
+_F1 = """CASE WHEN p1 + r1 = 0 THEN 0.0 ELSE 2.0 * p1 * r1 / (p1 + r1) END
+    * CAST(tp + fn AS DOUBLE) / CAST(n AS DOUBLE)
+  + CASE WHEN p0 + r0 = 0 THEN 0.0 ELSE 2.0 * p0 * r0 / (p0 + r0) END
+    * CAST(tn + fp AS DOUBLE) / CAST(n AS DOUBLE)"""
+_SUMMARY = f"accuracy, 1.0 - accuracy AS test_error, {_F1} AS f1, precision, recall FROM r"
+_THIRD_NULL = """SELECT display_id, uuid, CASE WHEN display_id % 3 <> 0 THEN document_id END AS document_id,
+       "timestamp", platform, geo_location"""
+_NULL_HASH = "('0x' || substr(md5(coalesce(CAST(document_id AS VARCHAR), chr(1) || 'null')), 1, 8))::BIGINT"
+_FOLD_HASH = "('0x' || substr(md5('fold:' || CAST(CAST(display_id AS BIGINT) AS VARCHAR)), 1, 8))::BIGINT % 10"
+
+ORACLE_SQL |= {
+    "dt_predict": _VALID,
+    "gbt_predict": _VALID,
+    "rf_predict": _VALID,
+    "lr_evaluation": _with(_J1, _J2, _DATA, _SPLIT, _RULE, _COUNTS, _RATES) + f"SELECT 'lr' AS model, {_SUMMARY}",
+    "model_comparison_stumps": _with(_J1, _J2, _DATA, _SPLIT, _RULE, _COUNTS, _RATES,
+                                     "m AS (SELECT unnest(['dt', 'gbt', 'lr', 'rf']) AS model)")
+    + f"SELECT model, {_SUMMARY.replace('FROM r', 'FROM r, m')}",
+    # Every map of the grid learns the rule, so all score its mean fold RMSE; the first of them wins.
+    "cv_grid_rmse": _with(_J1, _J2, _DATA, _SPLIT, f"""f AS (
+  SELECT {_FOLD_HASH} AS fold, CASE WHEN platform <= 2 THEN 1 ELSE 0 END - label AS d FROM train_half)""", """e AS (
+  SELECT fold, sqrt(avg(CAST(d * d AS DOUBLE))) AS rmse FROM f GROUP BY fold)""", """g AS (
+  SELECT unnest(['maxIter=10, regParam=0.3', 'maxIter=5, regParam=0.3', 'maxIter=10, regParam=0.01', 'maxIter=5, regParam=0.01']) AS params)""")
+    + """SELECT params, 'rmse' AS metric, (SELECT round(avg(rmse), 9) FROM e) AS avg_metric,
+       CASE WHEN params = 'maxIter=10, regParam=0.3' THEN 'yes' ELSE 'no' END AS best FROM g""",
+    "split_random": _with(_J1, _J2, _DATA) + "SELECT *, true AS within_5_sigma FROM data",
+    "sample_bernoulli": _with() + "SELECT *, true AS within_5_sigma FROM train",
+    "sample_exact_n_nulls": _with() + """SELECT f AS fraction, CAST(round_even(f * count(*), 0) AS BIGINT) AS n_rows
+FROM event, (SELECT unnest([CAST(0.1 AS DOUBLE), CAST(0.4 AS DOUBLE), CAST(0.7 AS DOUBLE)]) AS f) GROUP BY f""",
+    "split_hash_nulls": _with(f"e AS ({_THIRD_NULL} FROM event)")
+    + f"SELECT * REPLACE (coalesce(document_id, -1) AS document_id), CASE WHEN {_NULL_HASH} % 10 < 7 THEN 'train' ELSE 'test' END AS half FROM e",
+    "csv_mixed_headers": _with() + "SELECT display_id, ad_id, CASE WHEN ad_id % 7 <> 0 THEN clicked ELSE -1 END AS clicked FROM train",
+    "csv_malformed": _with() + """SELECT count(*) AS n_rows, count(*) FILTER (WHERE ad_id % 7 = 0) AS n_invalid,
+       CAST(0 AS BIGINT) AS invalid_display_id, CAST(0 AS BIGINT) AS invalid_ad_id,
+       count(*) FILTER (WHERE ad_id % 7 = 0) AS invalid_clicked, count(*) FILTER (WHERE ad_id % 7 <> 0) AS n_kept FROM train""",
+    "csv_inferred": _with() + """SELECT CAST(ad_id AS INTEGER) AS ad_id, CAST(document_id AS INTEGER) AS document_id,
+       campaign_id, advertiser_id FROM promoted_content""",
 }

@@ -2,8 +2,7 @@
 
 ``prepare`` builds the labelled table and splits it; ``fit_and_score`` fits
 one pipeline on the training half (persisted for the learner's passes) and
-returns the lazy scored test half; ``evaluate`` turns predictions into the
-metrics tables.  Nothing is collected to the driver except model
+returns the lazy scored test half.  Nothing is collected to the driver except model
 parameters and a few scalars.
 """
 
@@ -19,13 +18,14 @@ from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpipe.operators.assemble import as_test, labelled_data
-from clickpipe.operators.sampling import hash_split, random_split, sample_tables
-from clickpipe.plans.evaluate import (auc_roc, classification_metrics, evaluation_row,
-                                      metrics_table, probability_score, rmse)
+from clickpipe.functions.hashing import seed_salt
+from clickpipe.operators.assemble import LABEL, as_test, labelled_data
+from clickpipe.operators.sampling import exact_n_sample, hash_split, random_split, sample_tables
+from clickpipe.plans.evaluate import evaluation_row, metrics_table, probability_score
 from clickpipe.plans.features import build_pipeline
 from clickpipe.plans.models import make_learner
 from clickpipe.session import ensure_checkpoint_dir
+from clickpipe.sources.invalid import apply_policy
 from clickpipe.sources.tables import load_table, write_csv
 
 
@@ -35,29 +35,23 @@ class Split:
     test: DataFrame
 
 
-@contextmanager
-def persisted(*dfs: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
-    """Persist for the duration of a block (lost blocks are recomputed from
-    a deterministic lineage, so an executor loss changes no result)."""
-    for df in dfs:
-        df.persist(level)
-    try:
-        yield dfs
-    finally:
-        for df in dfs:
-            df.unpersist()
+DEFAULT_SEED = 1234
 
 
 def prepare(tables: Mapping[str, DataFrame], join_on: str = "document", cast: bool = True,
-            split: str = "hash", seed: int = 1234, train_fraction: float = 0.7) -> Split:
-    """Labelled table -> 70/30 split; the test half's label is ``trueLabel``."""
+            split: str = "hash", seed: int = DEFAULT_SEED, train_fraction: float = 0.7,
+            invalid: str = "keep") -> Split:
+    """Labelled table -> 70/30 split; the test half's label is ``trueLabel``.
+
+    ``seed`` salts the hash split (the default seed has no salt) and seeds the
+    random one; ``invalid`` is the policy for null features and labels."""
     data = labelled_data(tables["event"], tables["train"], tables["promoted_content"],
-                         join_on=join_on, cast=cast)
+                         join_on=join_on, cast=cast, invalid=invalid)
     if split == "hash":
         # 10 buckets for fractions in tenths (the default 7/3), else 1000.
         buckets = 10 if abs(train_fraction * 10 - round(train_fraction * 10)) < 1e-9 else 1000
         train, test = hash_split(data, train_buckets=int(round(train_fraction * buckets)),
-                                 buckets=buckets)
+                                 buckets=buckets, salt=seed_salt(seed, DEFAULT_SEED))
     elif split == "random":
         train, test = random_split(data, [train_fraction, 1 - train_fraction], seed=seed)
     else:
@@ -67,45 +61,64 @@ def prepare(tables: Mapping[str, DataFrame], join_on: str = "document", cast: bo
 
 # Bytes per training row as cached: six double features and the label.
 TRAIN_ROW_BYTES = 64
+ROWS_PER_PARTITION = 1 << 16
+SMALL_PARTITIONS = 256
 TARGET_PARTITION_BYTES = 512 << 20
 
 
-@contextmanager
-def training_input(train: DataFrame, target_partition_bytes: int = TARGET_PARTITION_BYTES):
-    """The training half as the learners should see it: even, sized, cached.
+def training_partitions(rows: int) -> int:
+    """Partitions of a training input: one per ``ROWS_PER_PARTITION`` rows up to
+    ``SMALL_PARTITIONS``, and beyond as many as hold 512 MB each.  A function of the
+    data alone: the learners' sums and draws go by partition."""
+    by_rows = min(SMALL_PARTITIONS, math.ceil(rows / ROWS_PER_PARTITION))
+    return max(1, by_rows, math.ceil(rows * TRAIN_ROW_BYTES / TARGET_PARTITION_BYTES))
 
-    Learners pass over their input once per tree level or optimizer
-    iteration, and tree learners build node histograms per partition, so
-    the input should be a few large, even partitions:
 
-    1. ``REBALANCE`` lets AQE spread rows evenly (a hot key is split too);
-    2. the result is persisted ``MEMORY_AND_DISK`` and counted;
-    3. it is coalesced (no shuffle) to ``max(cores, rows * 64 B / 512 MB)``
-       partitions: one per core on small data, ~512 MB each on large data.
+def placed(train: DataFrame, partitions: int) -> DataFrame:
+    """The rows dealt by their content and sorted, the same on any cluster.
+
+    Equal rows are counted first and numbered, so that a row that makes up a
+    large part of the input is spread like any other."""
+    columns = train.columns
+    counted = train.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    numbered = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
+    return (numbered.repartition(partitions, *columns, "_copy")
+            .sortWithinPartitions(*columns, "_copy").select(*columns))
+
+
+@contextmanager
+def training_input(train: DataFrame, partitions: int | None = None, max_fit_rows: int | None = None,
+                   seed: int = DEFAULT_SEED):
+    """The training half as the learners should see it: even, sized, in a fixed order, cached.
+
+    Learners pass over their input once per tree level or optimizer iteration.
+    ``partitions`` (by default from the number of rows) and the placement don't
+    depend on the session, so one seed means one model.  ``max_fit_rows``
+    bounds the rows of the fit (an exact sample by content; default: all rows):
+    tree models live on the driver and grow with their input.
     """
-    data = train.hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
+    rows = train.count()
+    if max_fit_rows is not None and rows > max_fit_rows:
+        train = exact_n_sample(train, max_fit_rows / rows, seed=seed)
+        rows = max_fit_rows
+    data = placed(train, partitions or training_partitions(rows)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = data.count()
-        target = max(_cores(train.sparkSession),
-                     math.ceil(rows * TRAIN_ROW_BYTES / target_partition_bytes))
-        # coalesce only merges: asking for more partitions than exist is a no-op
-        yield data.coalesce(target)
+        yield data
     finally:
         data.unpersist()
 
 
-def _cores(spark: SparkSession) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # no SparkContext handle (remote session)
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
+def fit_pipeline(learner: Estimator | str, train: DataFrame, handle_invalid: str = "error",
+                 partitions: int | None = None, max_fit_rows: int | None = None,
+                 **learner_params) -> PipelineModel:
+    """F4 + F5: fit assembler, scaler and learner on the training half.
 
-def fit_pipeline(learner: Estimator | str, train: DataFrame, **learner_params) -> PipelineModel:
-    """F4 + F5: fit assembler, scaler and learner on the training half."""
+    ``handle_invalid`` goes to the assembler: ``error``, ``skip`` or ``keep``.
+    A row without a label fails the fit under ``error`` and isn't fitted otherwise."""
     est = make_learner(learner, **learner_params) if isinstance(learner, str) else learner
-    with training_input(train) as data:
-        return build_pipeline(est).fit(data)
+    train = apply_policy(train, [LABEL], "error" if handle_invalid == "error" else "skip")
+    with training_input(train, partitions, max_fit_rows) as data:
+        return build_pipeline(est, handle_invalid=handle_invalid).fit(data)
 
 
 def tune(pipeline, grid: list, train: DataFrame, **cv_params):
@@ -126,29 +139,19 @@ def fit_and_score(learner: Estimator | str, split: Split, **learner_params):
     return model, score(model, split.test)
 
 
-def evaluate(predictions: DataFrame) -> dict[str, DataFrame]:
-    """All evaluation outputs of one scored test half (each a lazy DataFrame)."""
-    return {
-        "metrics": metrics_table(predictions),
-        "summary": classification_metrics(predictions),
-        "auc": auc_roc(predictions),
-        "rmse": rmse(predictions, label_col="trueLabel"),
-    }
-
-
 def compare_models(split: Split, learners: Mapping[str, Mapping] | None = None) -> DataFrame:
-    """One metrics row per learner, unioned by name."""
+    """One metrics row per learner, unioned by name.
+
+    All learners share one training input and one test half, each made once."""
     learners = learners or {"dt": {}, "gbt": {}, "lr": {}, "rf": {}}
-    # Every learner scores the same test half, and each metric is another
-    # pass: write it once to the checkpoint folder instead of recomputing
-    # its joins for every learner and metric.
-    ensure_checkpoint_dir(split.test.sparkSession)
-    shared = Split(split.train, split.test.checkpoint(eager=True))
     rows = None
-    for name, params in learners.items():
-        _, pred = fit_and_score(name, shared, **params)
-        row = evaluation_row(pred, name)
-        rows = row if rows is None else rows.unionByName(row)
+    ensure_checkpoint_dir(split.test.sparkSession)
+    test = split.test.checkpoint(eager=True)
+    with training_input(split.train) as data:
+        for name, params in learners.items():
+            model = build_pipeline(make_learner(name, **params)).fit(data)
+            row = evaluation_row(score(model, test), name)
+            rows = row if rows is None else rows.unionByName(row)
     return rows
 
 

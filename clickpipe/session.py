@@ -7,6 +7,7 @@ settings that are already present.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -14,7 +15,7 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
-                  driver_memory: str = "16g", app: str = "clickpipe") -> SparkSession:
+                  driver_memory: str = "12g", app: str = "clickpipe") -> SparkSession:
     """Local-mode session used by tests and ``bench.py``."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -28,6 +29,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="clickpipe-warehouse-"))
     )
     spark = builder.getOrCreate()
@@ -50,6 +52,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master or ""
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share "
+                               f"(master {master})")
         configured = tempfile.mkdtemp(prefix="clickpipe-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

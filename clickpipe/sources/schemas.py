@@ -1,8 +1,8 @@
 """Declared input schemas (S4), corrected and actually applied by the readers.
 
 Identifier columns are 64-bit: at the target scale display ids overflow int.
-``nullable=False`` documents intent only; CSV readers always produce nullable
-columns, so null rows are dealt with by ``VectorAssembler.handleInvalid``.
+``nullable=False`` marks columns whose nulls the readers' ``invalid`` policy deals
+with.  The column names are fixed values, the contract of the inputs.
 """
 
 from pyspark.sql.types import (IntegerType, LongType, StringType, StructField,

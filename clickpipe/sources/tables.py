@@ -2,9 +2,10 @@
 
 * CSV scans read every field as a string by header name and convert with
   ``try_cast`` to the declared schema.  That avoids the extra full pass that
-  ``inferSchema`` costs, maps columns by name (so a leading pandas index column
-  ``_c0`` is simply not selected) and turns malformed values into nulls
-  instead of failing the job under ANSI mode.
+  ``inferSchema`` costs and maps columns by name (so a leading pandas index
+  column ``_c0`` is simply not selected).  Each given path is read by its own
+  header; files under one path must share theirs, or the scan fails.
+* Values that the declared type can't hold follow one policy (``invalid``).
 * Catalog scans go through ``spark.table``; Catalyst prunes columns and pushes
   filters into the underlying scan.
 """
@@ -12,41 +13,63 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
+from clickpipe.sources.invalid import apply_policy, check_policy, guarded
 from clickpipe.sources.schemas import SCHEMAS
 
 PANDAS_INDEX_COLUMN = "_c0"
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Select the schema's columns by name, converting each with ``try_cast``."""
-    return df.select([
-        F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields
-    ])
+def conform(df: DataFrame, schema: StructType, invalid: str = "keep") -> DataFrame:
+    """Select the schema's columns by name, converting each with ``try_cast``.
+
+    ``invalid`` is the policy for malformed values and for nulls in columns that
+    the schema declares as not null."""
+    check_policy(invalid)
+    out = []
+    for f in schema.fields:
+        value = F.col(f.name).try_cast(f.dataType)
+        bad = value.isNull() if not f.nullable else value.isNull() & F.col(f.name).isNotNull()
+        out.append(guarded(value, bad, f.name, invalid).alias(f.name))
+    if invalid == "skip":
+        malformed = [F.col(f.name).try_cast(f.dataType).isNull() & F.col(f.name).isNotNull() for f in schema.fields]
+        df = df.filter(~reduce(lambda a, b: a | b, malformed))
+        return apply_policy(df.select(out), [f.name for f in schema.fields if not f.nullable], invalid)
+    return df.select(out)
+
+
+def _read_strings(spark: SparkSession, path: str) -> DataFrame:
+    """One path with every field as text, by its own header; files with another header fail the scan."""
+    names = spark.read.option("header", True).csv(path).columns
+    schema = StructType([StructField(n, StringType()) for n in names])
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str],
-             schema: StructType | None = None, infer_schema: bool = False) -> DataFrame:
+             schema: StructType | None = None, infer_schema: bool = False,
+             invalid: str = "keep") -> DataFrame:
     """CSV scan with a header row.
 
-    With ``schema`` the columns are matched by header name and converted;
-    with ``infer_schema=True`` Spark samples the files for types (one extra
-    pass, as in the original job).  A pandas index column is dropped.
+    ``path`` is one path or several; several are read each by its own header and
+    united by column name.  With ``schema`` the columns are matched by name and
+    converted (see ``conform``); with ``infer_schema=True`` Spark samples the
+    files for types (one extra pass, as in the original job).  A pandas index
+    column is dropped.
     """
-    reader = spark.read.option("header", True)
-    if schema is None and infer_schema:
-        df = reader.option("inferSchema", True).csv(path)
-    else:
-        df = reader.csv(path)
-    if PANDAS_INDEX_COLUMN in df.columns:
-        df = df.drop(PANDAS_INDEX_COLUMN)
-    if schema is not None:
-        df = conform(df, schema)
-    return df
+    def one(p: str) -> DataFrame:
+        if schema is None and infer_schema:
+            df = spark.read.option("header", True).option("inferSchema", True).csv(p)
+        else:
+            df = _read_strings(spark, p)
+        return df.drop(PANDAS_INDEX_COLUMN) if PANDAS_INDEX_COLUMN in df.columns else df
+
+    df = reduce(lambda a, b: a.unionByName(b), [one(p) for p in ([path] if isinstance(path, str) else path)])
+    return df if schema is None else conform(df, schema, invalid)
 
 
 def read_catalog(spark: SparkSession, name: str) -> DataFrame:
@@ -56,17 +79,18 @@ def read_catalog(spark: SparkSession, name: str) -> DataFrame:
 
 def load_table(spark: SparkSession, name: str, source: str = "catalog",
                path: str | None = None, table: str | None = None,
-               schema: StructType | None = None) -> DataFrame:
+               schema: StructType | None = None, invalid: str = "keep") -> DataFrame:
     """S3: load one of the three inputs from CSV, parquet or the catalog.
 
     ``name`` is the logical table (``event``, ``train``, ``promoted_content``)
-    and selects the declared schema; ``table``/``path`` say where it lives.
+    and selects the declared schema; ``table``/``path`` say where it lives;
+    ``invalid`` is the policy for malformed or missing values.
     """
     schema = schema or SCHEMAS.get(name)
     if source == "csv":
         if path is None:
             raise ValueError("csv source needs a path")
-        return read_csv(spark, path, schema=schema)
+        return read_csv(spark, path, schema=schema, invalid=invalid)
     if source == "parquet":
         if path is None:
             raise ValueError("parquet source needs a path")
@@ -75,7 +99,7 @@ def load_table(spark: SparkSession, name: str, source: str = "catalog",
         df = read_catalog(spark, table or name)
     else:
         raise ValueError(f"unknown source {source!r}")
-    return conform(df, schema) if schema is not None else df
+    return conform(df, schema, invalid) if schema is not None else df
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -90,7 +114,9 @@ def save_bucketed(df: DataFrame, table: str, key: str = "display_id", buckets: i
     When the impression and click tables are both saved with the same
     ``key`` and ``buckets``, the display join (J1) reads matching buckets
     side by side: a sort-merge join with no shuffle of either table.
-    Pick ``buckets`` so one bucket file is a few hundred MB.
+    Pick ``buckets`` so one bucket file is a few hundred MB, and don't bucket by a
+    key that a large part of the rows shares: a bucket is one task, and the skew
+    join that splits hot keys works on shuffled joins only.
     """
     df.write.mode(mode).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
 

@@ -1,4 +1,3 @@
-from clickpipe.functions.sizing import row_count_at_most
 from clickpipe.operators.assemble import (FEATURES, as_test, join_ads_by_ad,
                                           join_ads_by_document, join_impressions_clicks,
                                           labelled_data)
@@ -28,21 +27,19 @@ def test_feature_projection_types(tables):
     assert as_test(d).columns[-1] == "trueLabel"
 
 
-def test_checked_broadcast_bound(tables):
+def test_join_strategy_is_the_planners(spark, tables):
     pc = tables["promoted_content"]
-    assert row_count_at_most(pc, 10_000)
-    assert not row_count_at_most(pc, 10)
     j1 = join_impressions_clicks(tables["event"], tables["train"])
-    small = join_ads_by_document(j1, pc, broadcast_max_rows=10_000)
+    before = spark.sparkContext.statusTracker().getActiveJobsIds()
+    small = join_ads_by_document(j1, pc)
+    assert spark.sparkContext.statusTracker().getActiveJobsIds() == before
     assert "Broadcast" in _plan(small)
-    # Over the bound nothing forces a broadcast; with auto-broadcast off it is a sort-merge join.
-    spark = pc.sparkSession
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        big = join_ads_by_document(j1, pc, broadcast_max_rows=10)
-        assert "SortMergeJoin" in _plan(big)
+        big = join_ads_by_document(j1, pc)
+        assert "SortMergeJoin" in _plan(big) and "SinglePartition" not in _plan(big)
         assert big.count() == small.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
@@ -75,11 +72,3 @@ def test_bucketed_tables_join_without_shuffle(spark, tables):
         assert j.count() == join_impressions_clicks(tables["event"], tables["train"]).count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_unchecked_broadcast_leaves_choice_to_planner(tables):
-    from clickpipe.functions.sizing import checked_broadcast
-
-    pc = tables["promoted_content"]
-    assert checked_broadcast(pc, None) is pc
-    assert checked_broadcast(pc, 10) is pc  # over the bound: no hint

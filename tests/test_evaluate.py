@@ -75,3 +75,24 @@ def test_empty_predictions(spark):
 def test_rmse(spark):
     df = spark.createDataFrame([(1.0, 1), (0.0, 1), (1.0, 0), (0.0, 0)], "prediction double, label int")
     assert rmse(df).first().rmse == pytest.approx(0.5 ** 0.5)
+
+
+def test_null_labels_count_nowhere(spark):
+    from clickpipe.plans.evaluate import classification_metrics, evaluation_row
+
+    df = spark.createDataFrame([(1.0, 1, 0.9), (0.0, 0, 0.2), (1.0, None, 0.8)], "prediction double, trueLabel int, score double")
+    m = classification_metrics(df).first()
+    assert (m.n, m.accuracy, m.test_error, m.recall) == (2, 1.0, 0.0, 1.0)
+    row = evaluation_row(df, "x").first()
+    assert (row.accuracy, row.auc) == (1.0, 1.0)
+
+
+def test_grouped_scores_give_the_same_metrics(spark):
+    from clickpipe.plans.evaluate import auc_roc, classification_metrics, grouped_scores
+
+    rows = [(float(i % 2), (i // 3) % 2, (i % 7) / 7) for i in range(500)]
+    df = spark.createDataFrame(rows, "prediction double, trueLabel int, score double")
+    g = grouped_scores(df)
+    assert g.count() < 40
+    assert classification_metrics(g).first() == classification_metrics(df).first()
+    assert auc_roc(g).first().auc == pytest.approx(auc_roc(df).first().auc, abs=1e-12)

@@ -88,10 +88,49 @@ def test_null_feature_policy(spark):
     assert kept.count() == 2
 
 
-def test_tree_memory_budget_follows_session(spark):
-    from clickpipe.plans.models import _mb, tree_memory_mb
+def test_tree_memory_is_a_constant():
+    from clickpipe.plans.models import TREE_MEMORY_MB
 
-    assert (_mb("16g"), _mb("512m"), _mb("1073741824"), _mb("2gb")) == (16384, 512, 1024, 2048)
-    # test session: 8g heap shared by 4 local task slots -> min(8192/4/4, 8192/4) = 512
-    assert tree_memory_mb(spark) == 512
-    assert 32 <= make_learner("rf").getMaxMemoryInMB() <= 512
+    assert make_learner("rf").getMaxMemoryInMB() == make_learner("dt").getMaxMemoryInMB() == TREE_MEMORY_MB
+    assert make_learner("rf", maxMemoryInMB=256).getMaxMemoryInMB() == 256
+
+
+def test_models_do_not_depend_on_the_session(spark, split):
+    """The same model whatever the session's cores, memory, shuffle partitions or row order."""
+    rows = {}
+    keys = ["display_id", "ad_id", "document_id", "trueLabel", "prediction", "score"]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    for parts in ("3", "11"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            train = split.train.repartition(int(parts))
+            for name, params in (("dt", {}), ("rf", {"numTrees": 3})):
+                _, pred = fit_and_score(name, type(split)(train, split.test), **params)
+                found = sorted(map(tuple, pred.select(*keys).collect()))
+                assert rows.setdefault(name, found) == found
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_training_partitions_follow_the_rows():
+    from clickpipe.plans.workflow import training_partitions
+
+    assert [training_partitions(n) for n in (0, 1, 65_536, 65_537, 10_000_000)] == [1, 1, 1, 2, 153]
+    assert training_partitions(10 ** 10) == 1193  # 512 MB each
+
+
+def test_fit_row_bound_and_invalid_rows(spark, split):
+    from clickpipe.plans.workflow import fit_pipeline, training_input
+
+    with training_input(split.train, max_fit_rows=500) as data:
+        assert data.count() == 500
+    with training_input(split.train) as data:
+        assert data.count() == split.train.count()
+    broken = split.train.withColumn("platform", F.when(F.col("ad_id") % 5 != 0, F.col("platform")))
+    with pytest.raises(Exception):
+        fit_pipeline("lr", broken)
+    assert fit_pipeline("lr", broken, handle_invalid="skip").transform(split.test).count() == split.test.count()
+    unlabelled = split.train.withColumn("label", F.when(F.col("ad_id") % 5 != 0, F.col("label")))
+    with pytest.raises(Exception):
+        fit_pipeline("lr", unlabelled)
+    fit_pipeline("lr", unlabelled, handle_invalid="skip")

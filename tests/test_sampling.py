@@ -107,3 +107,37 @@ def test_sampling_job_csv_to_csv(spark, tables):
     # keys kept in event are kept in train too (when the display has clicks)
     assert ev.join(tables["train"], "display_id", "left_semi") \
              .join(tr, "display_id", "left_anti").count() == 0
+
+
+def test_null_keys_are_kept(spark):
+    rows = [(i if i % 3 else None, f"v{i}") for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, v string").repartition(5)
+    for frac in (0.1, 0.4, 0.7):
+        for cols in (["id"], None):
+            got = exact_n_sample(df, frac, order_cols=cols, target_bucket_rows=64)
+            assert got.count() == round(frac * 900)
+            assert got.exceptAll(df).count() == 0
+    train, test = hash_split(df, key="id")
+    assert train.count() + test.count() == 900
+    assert key_sample(df, 1.0, "id").count() == 900
+
+
+def test_exact_n_sample_of_equal_rows(spark):
+    df = spark.createDataFrame([(1, "a")] * 600 + [(None, None)] * 300, "id long, v string").repartition(4)
+    for frac in (0.1, 0.5, 0.9):
+        got = exact_n_sample(df, frac, target_bucket_rows=64)
+        assert got.count() == round(frac * 900) and got.exceptAll(df).count() == 0
+
+
+def test_seed_changes_every_draw(tables):
+    from clickpipe.plans.tuning import FOLD_COL, with_folds
+    from clickpipe.plans.workflow import prepare
+
+    def ids(df):
+        return sorted(map(tuple, df.select("display_id").distinct().collect()))
+
+    one, two = (sample_tables(tables, SAMPLE_PLAN_LARGE, seed=s)["train"] for s in (1, 2))
+    assert ids(one) != ids(two)
+    assert ids(prepare(tables, seed=1).train) != ids(prepare(tables, seed=2).train)
+    folds = [with_folds(tables["event"], 5, seed=s).filter(f"{FOLD_COL} = 0") for s in (1, 2)]
+    assert ids(folds[0]) != ids(folds[1])

@@ -1,3 +1,4 @@
+import pytest
 import os
 import tempfile
 
@@ -75,3 +76,30 @@ def test_load_table_argument_errors(spark):
         load_table(spark, "event", source="parquet")
     with pytest.raises(ValueError):
         load_table(spark, "event", source="jdbc")
+
+
+def test_csv_headers_and_invalid_policy(spark, tmp_path):
+    from clickpipe.sources.invalid import count_invalid
+    from clickpipe.sources.schemas import TRAIN_SCHEMA
+    from clickpipe.sources.tables import read_csv
+
+    for name, lines in {"a/x.csv": "ad_id,display_id,clicked\n7,1,1\n8,2,oops\n",
+                        "b/y.csv": ",display_id,ad_id,clicked\n0,3,9,0\n1,,9,1\n"}.items():
+        path = tmp_path / name
+        path.parent.mkdir()
+        path.write_text(lines)
+    both = [str(tmp_path / "a"), str(tmp_path / "b")]
+    kept = {tuple(r) for r in read_csv(spark, both, schema=TRAIN_SCHEMA, invalid="keep").collect()}
+    assert kept == {(1, 7, 1), (2, 8, None), (3, 9, 0), (None, 9, 1)}
+    skipped = {tuple(r) for r in read_csv(spark, both, schema=TRAIN_SCHEMA, invalid="skip").collect()}
+    assert skipped == {(1, 7, 1), (3, 9, 0)}
+    with pytest.raises(Exception, match="invalid value in column"):
+        read_csv(spark, both, schema=TRAIN_SCHEMA, invalid="error").collect()
+    with pytest.raises(ValueError):
+        read_csv(spark, both, schema=TRAIN_SCHEMA, invalid="drop")
+    lost = count_invalid(read_csv(spark, both, schema=TRAIN_SCHEMA), TRAIN_SCHEMA.names).first()
+    assert (lost.n_rows, lost.n_invalid, lost.invalid_clicked, lost.invalid_display_id) == (4, 2, 1, 1)
+    # files under one path must share their header
+    (tmp_path / "a" / "z.csv").write_text("display_id,ad_id,clicked\n1,2,0\n")
+    with pytest.raises(Exception):
+        read_csv(spark, both[0], schema=TRAIN_SCHEMA).collect()

@@ -47,3 +47,24 @@ def test_rmse_selection_ties_pick_first_map(spark):
     want = grid[first_best]
     assert (best.getRegParam(), best.getMaxIter()) == (want[lr.regParam], want[lr.maxIter])
     assert max(metrics) - min(metrics) < 1e-3  # the maps barely differ on this label
+
+
+def test_grid_choice_where_it_matters(spark):
+    """Data on which the penalty changes the outcome: the weak one must win, and the fold
+    means must be those of Spark's own cross-validator on the same folds."""
+    from pyspark.ml.tuning import CrossValidator
+    from clickpipe.plans.tuning import selection_evaluator
+
+    rows = [(i, float(i % 50), float((i * 7) % 11), int(i % 50 > 32)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "display_id long, a double, b double, label int").coalesce(2)
+    lr = logistic_regression()
+    grid = lr_param_grid(lr)
+    pipe = build_pipeline(lr, features=["a", "b"])
+    mine = cross_validate(pipe, grid, df, num_folds=3, metric="rmse")
+    theirs = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=selection_evaluator("rmse"),
+                            numFolds=3, foldCol=FOLD_COL).fit(with_folds(df, 3))
+    assert len(set(mine.avgMetrics)) > 1
+    assert all(abs(x - y) < 1e-9 for x, y in zip(mine.avgMetrics, theirs.avgMetrics))
+    assert mine.avgMetrics.index(min(mine.avgMetrics)) == theirs.avgMetrics.index(min(theirs.avgMetrics)) > 1
+    best = mine.bestModel.stages[-1]
+    assert best.getRegParam() == 0.01
