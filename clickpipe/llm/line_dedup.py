@@ -12,10 +12,11 @@ ones follow each other.  At 0.8 nine draws hold such a pair with probability
 0.996; a line with one shingle has one band.
 
 Equal lines are one node first (a 64-bit hash of the line), with its first
-place.  Each node is held against the smallest node of its band buckets, by the
-exact Jaccard index of both shingle sets; union-find (``components``) over the
-verified pairs; then the pairs of a bucket that still lie in different
-components are verified too, so no candidate pair is left undecided.  Of each
+place.  Each node is held against the node of each of its band buckets that meets
+most others, by the exact Jaccard index of both shingle sets; union-find
+(``components``) over the verified pairs; then the nodes of a bucket that still
+lie in different components are compared too, in blocks of lists, so no candidate
+pair is left undecided and no rows of pairs are made.  Of each
 component the line at the first place stays (smallest document id, then text
 hash, then line number); all its other places are dropped.
 
@@ -40,6 +41,7 @@ from clickpipe.llm.components import components
 MIN_CHARS = 16
 SHINGLE = 12
 KEEP = 9
+BLOCK = 256
 THRESHOLD = 0.8
 
 
@@ -81,34 +83,58 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresho
     nodes = saved(lines.select("_h", _place().alias("_place"), band_keys(shingle_hashes(F.col("_line"))).alias("_keys"))
                   .groupBy("_h").agg(F.min("_place").alias("_place"), F.first("_keys").alias("_keys")), "line-nodes")
     rows = nodes.select("_h", F.explode("_keys").alias("_key"))
-    full = rows.groupBy("_key").agg(F.min("_h").alias("_rep"), F.max("_h").alias("_top")).filter("_rep <> _top").drop("_top")
+    full = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_m")).filter("_m > 1")
     members = saved(rows.join(full, "_key"), "line-members")
-    first = members.groupBy("_h").agg(F.min("_rep").alias("b")).filter("_h <> b").select(F.col("_h").alias("a"), "b")
-    wanted = nodes.select("_h", "_place").join(members.select("_h").distinct(), "_h", "left_semi").select("_h", "_place._d", "_place._r", "_place._no")
+    met = members.groupBy("_h").agg(F.sum("_m").alias("_met"))
+    wanted = nodes.select("_h", "_place").join(met.select("_h"), "_h", "left_semi").select("_h", "_place._d", "_place._r", "_place._no")
     same = lambda a, b: (a["_h"] == b["_h"]) & (a["_r"] == b["_r"]) & (a["_no"] == b["_no"]) & a["_d"].eqNullSafe(b["_d"])
-    texts = lines.alias("l").join(wanted.alias("w"), same(_of("l"), _of("w")), "left_semi").select("_h", "_line").dropDuplicates(["_h"])
-    texts = saved(texts, "line-texts")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        both = (pairs.join(texts.select(F.col("_h").alias("a"), F.col("_line").alias("_la")), "a")
-                .join(texts.select(F.col("_h").alias("b"), F.col("_line").alias("_lb")), "b")
-                .select("a", "b", shingle_hashes(F.col("_la")).alias("_sa"), shingle_hashes(F.col("_lb")).alias("_sb")))
-        both = both.withColumn("_both", F.size(F.array_intersect("_sa", "_sb")))
-        return both.filter(F.col("_both") >= threshold * (F.size("_sa") + F.size("_sb") - F.col("_both"))).select("a", "b")
-
-    links = saved(verified(first), "line-links")
-    roots = components(links)
-    placed = members.join(roots.withColumnRenamed("node", "_h"), "_h", "left").select("_h", "_key", F.coalesce("root", "_h").alias("_c"))
-    apart = placed.groupBy("_key").agg(F.min("_c").alias("_lo"), F.max("_c").alias("_hi")).filter("_lo <> _hi").select("_key")
-    open_ = saved(placed.join(apart, "_key"), "line-open")
-    other = open_.select("_key", F.col("_h").alias("b"), F.col("_c").alias("_e"))
-    rest = (open_.withColumnRenamed("_h", "a").join(other, "_key").filter("a > b AND _c <> _e").select("a", "b").distinct()
-            .join(first, ["a", "b"], "left_anti"))
-    more = saved(verified(rest), "line-links")
+    sets = lines.alias("l").join(wanted.alias("w"), same(_of("l"), _of("w")), "left_semi").select("_h", "_line").dropDuplicates(["_h"])
+    sets = saved(sets.select("_h", shingle_hashes(F.col("_line")).alias("_s")), "line-sets")
+
+    # each node against the node of each of its buckets that meets most others
+    ranked = members.select("_h", "_key").join(met, "_h")
+    centre = ranked.groupBy("_key").agg(F.max(F.struct("_met", "_h")).alias("_x")).select("_key", F.col("_x._h").alias("b"))
+    first = ranked.join(centre, "_key").filter("_h <> b").select(F.col("_h").alias("a"), "b").distinct()
+    both = (first.join(sets.select(F.col("_h").alias("a"), F.col("_s").alias("_sa")), "a")
+            .join(sets.select(F.col("_h").alias("b"), F.col("_s").alias("_sb")), "b"))
+    links = saved(both.filter(alike(F.col("_sa"), F.col("_sb"), threshold)).select("a", "b"), "line-links")
+    placed = members.select("_h", "_key").join(components(links).withColumnRenamed("node", "_h"), "_h", "left")
+    placed = placed.select("_h", "_key", F.coalesce("root", "_h").alias("_c"))
+    more = saved(_bucket_links(placed, sets, threshold), "line-links")
     found = components(links.unionByName(more)).select(F.col("node").alias("_h"), F.col("root").alias("_root"))
     return nodes.select("_h", "_place"), found
 
 
+def alike(a: Column, b: Column, threshold: float) -> Column:
+    """Whether the exact Jaccard index of two sets of hashes reaches the threshold."""
+    both = F.size(F.array_intersect(a, b))
+    near = F.least(F.size(a), F.size(b)) >= threshold * F.greatest(F.size(a), F.size(b))  # cheaper, and an upper bound
+    return near & (both >= threshold * (F.size(a) + F.size(b) - both))
+
+
+def _bucket_links(placed: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links between components that a bucket still holds apart.
+
+    A bucket is dealt into blocks of about ``BLOCK`` nodes; each pair of blocks is
+    one row that holds both lists and compares them in place, so that no rows of
+    pairs are made.  ``placed``: ``_h``, ``_key`` and the component ``_c``."""
+    apart = placed.groupBy("_key").agg(F.min("_c").alias("_lo"), F.max("_c").alias("_hi"), F.count(F.lit(1)).alias("_m")).filter("_lo <> _hi")
+    blocks = F.ceil(F.col("_m") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("_h"), blocks).cast("int")
+    dealt = (placed.join(apart.select("_key", "_m"), "_key").withColumn("_part", own)
+             .withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+             .select("_h", "_c", "_key", F.least("_part", "_other").alias("_i"), F.greatest("_part", "_other").alias("_j"), "_part").join(sets, "_h"))
+    item = F.struct("_h", "_c", "_s")
+    grouped = dealt.groupBy("_key", "_i", "_j").agg(F.collect_list(F.when(F.col("_part") == F.col("_i"), item)).alias("_a"),
+                                                    F.collect_list(F.when(F.col("_part") == F.col("_j"), item)).alias("_b"))
+
+    def partners(x: Column) -> Column:
+        found = F.filter("_b", lambda y: (y["_c"] != x["_c"]) & ((F.col("_i") < F.col("_j")) | (y["_h"] < x["_h"])) & alike(x["_s"], y["_s"], threshold))
+        return F.transform(found, lambda y: F.struct(x["_h"].alias("a"), y["_h"].alias("b")))
+
+    return grouped.select(F.explode(F.flatten(F.transform("_a", partners))).alias("_l")).select("_l.a", "_l.b").distinct()
+
+
 def _of(name: str):
     class Columns:
         def __getitem__(self, c: str) -> Column:
