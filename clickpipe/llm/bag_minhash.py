@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpipe.llm.common import read_table, saved, whole_text, workers_import
+from clickpipe.llm.common import read_table, saved, tucked, untucked, whole_text, workers_import
 from clickpipe.llm.components import components
 from clickpipe.llm.rolling import mix, prefix, ranges
 
@@ -278,14 +278,14 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresh
     order = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "_u")
     stay = (rows.filter("_root IS NOT NULL").groupBy("_root").agg(F.min(order).alias("_x"))
             .select(F.col("_x.doc_id").alias("_i"), F.col("_x._u").alias("_u")))
-    body = docs.withColumn("_u2", node(text))
-    same = (F.col("_u2") == F.col("_u")) & F.col(doc_id).eqNullSafe(F.col("_i"))
+    body = tucked(docs, node(text).alias("_u2"), F.col(doc_id).alias("_id"))
+    same = (F.col("_u2") == F.col("_u")) & F.col("_id").eqNullSafe(F.col("_i"))
     out = body.join(stay, same, "left_semi")
     again = rows.filter("_root IS NOT NULL").groupBy("doc_id", "_u").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     again = saved(again.select(F.col("doc_id").alias("_i"), "_u"), "minhash-repeats")
     if not again.isEmpty():  # rows that repeat in full, or but for other columns
-        out = out.join(again, same, "left_anti").unionByName(out.join(again, same, "left_semi").dropDuplicates(["_u2", doc_id]))
-    return out.drop("_u2").unionByName(docs.filter(~has_words(text)))
+        out = out.join(again, same, "left_anti").unionByName(out.join(again, same, "left_semi").dropDuplicates(["_u2", "_id"]))
+    return out.select(*untucked(docs.columns)).unionByName(docs.filter(~has_words(text)))
 
 
 def op6_bag_minhash(spark, sf_dir: str) -> DataFrame:

@@ -39,6 +39,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     return df.select(*columns) if columns else df
 
 
+def tucked(df: DataFrame, *more: Column) -> DataFrame:
+    """All columns under names that no operator uses (``_c0``, ``_c1`` ...), and ``more``."""
+    return df.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(df.columns)], *more)
+
+
+def untucked(names: list[str], changed: dict[str, Column] | None = None) -> list[Column]:
+    """The columns of ``tucked`` under their own names, some of them changed."""
+    changed = changed or {}
+    return [changed.get(c, F.col(f"_c{i}")).alias(c) for i, c in enumerate(names)]
+
+
 def whole_text(column: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column), F.lit(""))

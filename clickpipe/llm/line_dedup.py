@@ -35,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickpipe.llm.common import read_table, saved, whole_text
+from clickpipe.llm.common import read_table, saved, tucked, untucked, whole_text
 from clickpipe.llm.components import components
 
 MIN_CHARS = 16
@@ -163,15 +163,16 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_c
     if named, is set to the new length; untouched texts stay byte for byte.
     """
     gone = (places(docs, text, doc_id, threshold).filter("NOT kept").groupBy("_d", "_r").agg(F.collect_set("_no").alias("_gone")))
-    rows = docs.withColumn("_r", F.xxhash64(whole_text(text)))
-    rows = rows.join(gone.withColumnRenamed("_r", "_r2"), (F.col("_r") == F.col("_r2")) & F.col(doc_id).eqNullSafe(F.col("_d")), "left")
-    left = F.filter(F.split(whole_text(text), "\n"), lambda x, i: ~F.array_contains("_gone", i))
+    rows = tucked(docs, F.col(doc_id).alias("_id"), F.xxhash64(whole_text(text)).alias("_r2"), F.col(text).alias("_t"))
+    rows = rows.join(gone, (F.col("_r") == F.col("_r2")) & F.col("_id").eqNullSafe(F.col("_d")), "left")
+    left = F.filter(F.split(whole_text("_t"), "\n"), lambda x, i: ~F.array_contains("_gone", i))
     rows = rows.withColumn("_kept", F.array_join(left, "\n"))
     rows = rows.filter(F.col("_gone").isNull() | F.col("_kept").rlike(r"[\p{L}\p{N}]"))
-    out = {c: F.col(c) for c in docs.columns} | {text: F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.col("_kept"))}
-    if n_chars and n_chars in out:
-        out[n_chars] = F.when(F.col("_gone").isNull(), F.col(n_chars)).otherwise(F.length("_kept")).cast(docs.schema[n_chars].dataType)
-    return rows.select(*[v.alias(k) for k, v in out.items()])
+    new = {text: F.when(F.col("_gone").isNull(), F.col("_t")).otherwise(F.col("_kept"))}
+    if n_chars and n_chars in docs.columns:
+        own = F.col(f"_c{docs.columns.index(n_chars)}")
+        new[n_chars] = F.when(F.col("_gone").isNull(), own).otherwise(F.length("_kept")).cast(docs.schema[n_chars].dataType)
+    return rows.select(*untucked(docs.columns, new))
 
 
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:

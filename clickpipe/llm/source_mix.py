@@ -23,7 +23,8 @@ Defined cases: null text has size 0; null sources form one source; size 0 is
 taken 0 words; a source whose documents have no words gets target 0; an empty
 table gives an empty mix; rows that repeat in full have equal keys, and of the
 equal rows at the edge any may be the taken ones (the result is the same
-multiset); working columns are prefixed, extra columns pass through.
+multiset); extra columns pass through (``mix`` replaces those named
+like its results).
 """
 
 from __future__ import annotations
@@ -33,12 +34,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickpipe.llm.common import read_table, saved, whole_text
+from clickpipe.llm.common import read_table, saved, tucked, untucked, whole_text
 
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
 MOST = 2.0
 ROWS_A_BUCKET = 1_000
+MADE = ("size", "source_size", "target", "copies", "taken")
 
 
 def word_count(text: Column) -> Column:
@@ -91,10 +93,12 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     """The rows of ``docs``, without ``text`` unless it is to be kept, and with ``size``, ``source_size``,
     ``target``, ``copies`` (how often the mix takes the document) and ``taken``
     (its words in the mix)."""
-    rest = [c for c in docs.columns if (keep_text or c != text) and c not in ("size", "source_size", "target", "copies", "taken")]
     body = whole_text(text)
     key = exponential_key(quality_weight(body), F.col(doc_id), body, seed=seed)
-    rows = saved(docs.select(*rest, F.col(source).alias("_source"), word_count(body).alias("size"), key.alias("_key")), "mix-rows")
+    rest = docs if keep_text else docs.drop(text)
+    made = [F.col(doc_id).alias("_id"), F.col(source).alias("_source"), word_count(body).alias("size"), key.alias("_key")]
+    rows = tucked(docs, *made)
+    rows = saved(rows if keep_text else rows.drop(f"_c{docs.columns.index(text)}"), "mix-rows")
     per_source = rows.groupBy("_source").agg(F.sum("size").alias("_source_size"), F.count(F.lit(1)).alias("_rows"))
     plan = targets(per_source.select("_source", "_source_size"), weights, budget, most)
     epochs = F.when(F.col("_source_size") > 0, F.floor(F.col("_target") / F.col("_source_size"))).otherwise(0).cast("long")
@@ -116,7 +120,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
 
     # no edge: nothing is left to fill, or all of it is
     at_edge = F.coalesce(F.col("_bucket") == F.col("_edge"), F.lit(False))
-    order = Window.partitionBy("_source", "_bucket").orderBy("_key", F.col(doc_id).asc_nulls_last(), "size").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("_source", "_bucket").orderBy("_key", F.col("_id").asc_nulls_last(), "size").rowsBetween(Window.unboundedPreceding, 0)
     inside = (rows.filter(at_edge).withColumn("_end", F.col("_before") + F.sum("size").over(order))
               .withColumn("_extra", (F.col("_end") <= F.col("_left")).cast("long")).drop("_end"))
     below = F.coalesce(F.col("_bucket") < F.col("_edge"), F.col("_left") >= F.col("_source_size")) & (F.col("_left") > 0)
@@ -127,21 +131,25 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
            .withColumnRenamed("_source", "_s"))
     last = (rows.filter(F.col("_extra") == 0).join(gap, F.col("_source").eqNullSafe(F.col("_s")))
             .filter(F.abs(F.col("size") - F.col("_gap")) < F.col("_gap"))
-            .groupBy("_source").agg(F.min(F.struct(F.abs(F.col("size") - F.col("_gap")).alias("off"), F.col("_key").alias("k"), F.col(doc_id).alias("i"), F.col("size").alias("z"))).alias("_last"))
+            .groupBy("_source").agg(F.min(F.struct(F.abs(F.col("size") - F.col("_gap")).alias("off"), F.col("_key").alias("k"), F.col("_id").alias("i"), F.col("size").alias("z"))).alias("_last"))
             .withColumnRenamed("_source", "_s"))
     rows = rows.join(saved(last, "mix-last"), F.col("_source").eqNullSafe(F.col("_s")), "left").drop("_s")
-    is_last = F.coalesce((F.col("_extra") == 0) & (F.col("_key") == F.col("_last.k")) & F.col(doc_id).eqNullSafe(F.col("_last.i")) & (F.col("size") == F.col("_last.z")), F.lit(False))
-    one = F.row_number().over(Window.partitionBy("_source", "_key", doc_id, "size").orderBy("size"))
+    is_last = F.coalesce((F.col("_extra") == 0) & (F.col("_key") == F.col("_last.k")) & F.col("_id").eqNullSafe(F.col("_last.i")) & (F.col("size") == F.col("_last.z")), F.lit(False))
+    one = F.row_number().over(Window.partitionBy("_source", "_key", "_id", "size").orderBy("size"))
     chosen = rows.filter(is_last).withColumn("_extra", (one == 1).cast("long"))  # of equal rows one
     out = rows.filter(~is_last).unionByName(chosen).withColumn("copies", F.col("_epochs") + F.col("_extra"))
-    return out.select(*rest, "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
+    names = [(c, f"_c{i}") for i, c in enumerate(docs.columns) if c in rest.columns and c not in MADE]
+    return out.select(*[F.col(n).alias(c) for c, n in names], "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
                       "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every taken document, as often as it is taken."""
-    rows = mix(docs, keep_text=True, **options)
-    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(*docs.columns)
+    names = {"text": "text", "source": "source", "doc_id": "doc_id"} | {k: v for k, v in options.items() if k in ("text", "source", "doc_id")}
+    own = {v: F.col(v).alias(k) for k, v in names.items()}
+    rows = mix(tucked(docs, *own.values()), keep_text=True, **{k: v for k, v in options.items() if k not in names})
+    copies = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("_copy")
+    return rows.select("*", copies).select(*untucked(docs.columns))
 
 
 def op8_source_mix(spark, sf_dir: str) -> DataFrame:

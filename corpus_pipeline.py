@@ -14,15 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpipe.llm import bag_minhash, byte_bpe, line_dedup, quality_qda, source_mix
-from clickpipe.llm.common import read_table, saved
+from clickpipe.llm.common import read_table, saved, tucked, untucked
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that the classifier, fitted on the labelled ones, accepts."""
     stats = saved(quality_qda.with_statistics(docs.select("doc_id", "text")).drop("text"), "quality-statistics")
     model = quality_qda.train(stats, read_table(spark, sf_dir, "labels", "doc_id", "quality"))
-    scored = quality_qda.classify(quality_qda.with_statistics(docs), model)
-    return scored.filter("predicted = 1").select(*docs.columns)
+    rows = quality_qda.with_statistics(tucked(docs, F.col("text")))
+    return quality_qda.classify(rows, model).filter("predicted = 1").select(*untucked(docs.columns))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
