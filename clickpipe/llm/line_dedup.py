@@ -58,7 +58,7 @@ def shingle_hashes(line: Column) -> Column:
 
 def band_keys(hashes: Column) -> Column:
     """One key for each pair of neighbours among the smallest hashes."""
-    least = F.slice(F.array_sort(hashes), 1, KEEP)
+    least = F.slice(F.sort_array(hashes), 1, KEEP)  # sorts plain longs, unlike array_sort
     after = F.slice(least, 2, KEEP)
     return F.when(F.size(least) > 1, F.zip_with(F.slice(least, 1, F.size(after)), after, lambda a, b: F.xxhash64(a, b))).otherwise(least)
 
