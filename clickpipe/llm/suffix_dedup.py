@@ -15,7 +15,8 @@ another place, in the same text or another.
 3. Suffix sort: in a task, the suffixes at the window starts of many anchors are
    sorted, by anchor and offset, with a merge sort whose comparisons find the
    common extension of two suffixes by binary search over prefix polynomial
-   hashes (eight steps for 200 bytes), then look at one byte.  Neighbours that
+   hashes (eight steps for 200 bytes) where their first eight bytes agree, then look at
+   one byte.  Neighbours that
    agree over the whole length are repeats; their bytes are compared to rule out
    hash collisions.  The merges run on arrays, a level at a time for all classes.
 4. Anchors with more than ``CONTEXTS`` contexts would make large groups; their
@@ -46,7 +47,8 @@ from clickpipe.llm.rolling import mix, prefix, ranges
 
 LENGTH = 200
 GRAM = 32
-CONTEXTS = 512
+#: Contexts of an anchor that one task sorts together, 5 MB at most.
+CONTEXTS = 16_384
 #: Bytes of a text that are looked at at a time, and of contexts that are sorted at a time.
 PIECE = 1 << 20
 BATCH = 1 << 21
@@ -127,10 +129,15 @@ class Suffixes:
 
     def before(self, x: np.ndarray, y: np.ndarray, or_equal: np.ndarray) -> np.ndarray:
         """Whether suffix x sorts before y (or is equal over the length, where that counts)."""
+        a, b = self.words[x].byteswap(), self.words[y].byteswap()  # the first eight bytes decide most cases
+        less = a < b
+        tie = np.flatnonzero(a == b)
+        x, y = x[tie], y[tie]
         same = self.extension(x, y)
         whole = same == self.length
         at = np.where(whole, 0, same)
-        return np.where(whole, or_equal, self.data[x + at] < self.data[y + at])
+        less[tie] = np.where(whole, or_equal[tie], self.data[x + at] < self.data[y + at])
+        return less
 
     def equal_bytes(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Byte for byte equality over the length."""
