@@ -1,15 +1,16 @@
 """Fuzzy line dedup by MinHash, with DataFrame functions only.
 
-A line is lower-cased and trimmed; lines shorter than ``MIN_CHARS`` are left
-alone.  Its set holds character shingles: the ``SHINGLE`` characters from each
-word start on (from every twelfth character on within a longer unbroken run).
+A line is lower-cased and trimmed; lines under ``SHORT`` characters are left
+alone.  A set holds each run of ``SHINGLE`` characters (a shorter line is its own single
+shingle).
 
 Signature: shingles are ordered by a 64-bit hash and the ``KEEP`` smallest are
-kept (bottom-k MinHash).  Bands are the pairs of neighbours in that order: for
-two sets of similarity s the order of their union is a row of independent
-draws, each shared with probability s, and a band is shared where two shared
-ones follow each other.  At 0.8 nine draws hold such a pair with probability
-0.996; a line with one shingle has one band.
+kept (bottom-k MinHash).  Bands are the runs of ``ROWS`` neighbours in that
+order: for two sets of similarity s the order of their union is a row of draws,
+each shared with probability s, and a band is shared where so many shared ones
+follow each other.  At 0.8 the smallest 28 hold such a run with probability
+0.99 at least.  Sets of at most 15 shingles also have runs of three, those of at
+most five runs of two; by counting the gaps, such sets at 0.8 always share a band.
 
 Equal lines are one node first (a 64-bit hash of the line), with its first
 place.  Each node is held against the node of each of its band buckets that meets
@@ -24,8 +25,7 @@ Buckets, places and pairs are aggregated on the map side before they are
 shuffled or joined on hashes, where the engine splits hot keys; texts are
 shuffled once, to fetch the candidates' lines.
 
-Defined cases: null text is read as empty and has one empty line, which is left
-alone; repeated rows of one id are told apart by nothing, so the places of their
+Defined cases: null text is read as empty and has one empty line, which is left alone; repeated rows of one id are told apart by nothing, so the places of their
 equal lines are one place and both stay or go; null ids come after all others;
 an empty table gives no rows; extra columns pass through ``dedup_lines``.
 """
@@ -38,9 +38,11 @@ from pyspark.sql import functions as F
 from clickpipe.llm.common import read_table, saved, tucked, untucked, whole_text
 from clickpipe.llm.components import components
 
-MIN_CHARS = 16
-SHINGLE = 12
-KEEP = 9
+SHINGLE = 5
+STEP = 32
+KEEP = 28
+ROWS = 4
+SHORT = 16
 BLOCK = 256
 THRESHOLD = 0.8
 
@@ -51,16 +53,30 @@ def normal(line: Column) -> Column:
 
 
 def shingle_hashes(line: Column) -> Column:
-    """Distinct hashes of a line's character shingles."""
-    found = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{1,{SHINGLE}}}))\S{{1,{SHINGLE}}}\s*"), F.lit(1))
-    return F.array_distinct(F.transform(found, lambda x: F.xxhash64(x)))
+    """Distinct hashes of every run of ``SHINGLE`` characters of a line.
+
+    The line is cut into overlapping pieces first, as the place of a character is
+    found by counting from the start."""
+    pieces = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{SHINGLE},{STEP + SHINGLE - 1}}})).{{1,{STEP}}}"), F.lit(1))
+    runs = F.transform(pieces, lambda p: F.transform(F.sequence(F.lit(1), F.length(p) - (SHINGLE - 1)),
+                                                     lambda i: F.xxhash64(F.substring(p, i, F.lit(SHINGLE)))))
+    return F.when(F.length(line) < SHINGLE, F.array(F.xxhash64(line))).otherwise(F.array_distinct(F.flatten(runs)))
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is named."""
+    return F.transform(F.array(value), use)[0]
 
 
 def band_keys(hashes: Column) -> Column:
-    """One key for each pair of neighbours among the smallest hashes."""
+    """One key for each run of neighbours among the smallest hashes."""
+
+    def runs(least: Column, rows: int, most: int) -> Column:
+        at = F.sequence(F.lit(1), F.size(least) - (rows - 1))
+        return F.when(F.size(least).between(rows, most), F.transform(at, lambda i: F.xxhash64(F.lit(rows), F.slice(least, i, rows)))).otherwise(F.array().cast("array<bigint>"))
+
     least = F.slice(F.sort_array(hashes), 1, KEEP)  # sorts plain longs, unlike array_sort
-    after = F.slice(least, 2, KEEP)
-    return F.when(F.size(least) > 1, F.zip_with(F.slice(least, 1, F.size(after)), after, lambda a, b: F.xxhash64(a, b))).otherwise(least)
+    return _once(least, lambda x: F.concat(runs(x, 1, 1), runs(x, 2, 5), runs(x, 3, 15), runs(x, ROWS, KEEP)))
 
 
 def lines_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -68,7 +84,7 @@ def lines_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
     ``_h`` (its node) of every line that takes part."""
     body = whole_text(text)
     rows = docs.select(F.col(doc_id).alias("_d"), F.xxhash64(body).alias("_r"), F.posexplode(F.split(body, "\n")).alias("_no", "_line"))
-    rows = rows.withColumn("_line", normal(F.col("_line"))).filter(F.length("_line") >= MIN_CHARS)
+    rows = rows.withColumn("_line", normal(F.col("_line"))).filter(F.length("_line") >= SHORT)
     return rows.withColumn("_h", F.xxhash64("_line"))
 
 
@@ -89,15 +105,16 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresho
     wanted = nodes.select("_h", "_place").join(met.select("_h"), "_h", "left_semi").select("_h", "_place._d", "_place._r", "_place._no")
     same = lambda a, b: (a["_h"] == b["_h"]) & (a["_r"] == b["_r"]) & (a["_no"] == b["_no"]) & a["_d"].eqNullSafe(b["_d"])
     sets = lines.alias("l").join(wanted.alias("w"), same(_of("l"), _of("w")), "left_semi").select("_h", "_line").dropDuplicates(["_h"])
-    sets = saved(sets.select("_h", shingle_hashes(F.col("_line")).alias("_s")), "line-sets")
+    sets = saved(sets, "line-sets")  # texts: their hashes would take eight times as much
 
     # each node against the node of each of its buckets that meets most others
     ranked = members.select("_h", "_key").join(met, "_h")
     centre = ranked.groupBy("_key").agg(F.max(F.struct("_met", "_h")).alias("_x")).select("_key", F.col("_x._h").alias("b"))
     first = ranked.join(centre, "_key").filter("_h <> b").select(F.col("_h").alias("a"), "b").distinct()
-    both = (first.join(sets.select(F.col("_h").alias("a"), F.col("_s").alias("_sa")), "a")
-            .join(sets.select(F.col("_h").alias("b"), F.col("_s").alias("_sb")), "b"))
-    links = saved(both.filter(alike(F.col("_sa"), F.col("_sb"), threshold)).select("a", "b"), "line-links")
+    both = (first.join(sets.select(F.col("_h").alias("a"), F.col("_line").alias("_la")), "a")
+            .join(sets.select(F.col("_h").alias("b"), F.col("_line").alias("_lb")), "b"))
+    pair = F.struct(shingle_hashes(F.col("_la")).alias("a"), shingle_hashes(F.col("_lb")).alias("b"))
+    links = saved(both.filter(_once(pair, lambda p: alike(p["a"], p["b"], threshold))).select("a", "b"), "line-links")
     placed = members.select("_h", "_key").join(components(links).withColumnRenamed("node", "_h"), "_h", "left")
     placed = placed.select("_h", "_key", F.coalesce("root", "_h").alias("_c"))
     more = saved(_bucket_links(placed, sets, threshold), "line-links")
@@ -124,15 +141,20 @@ def _bucket_links(placed: DataFrame, sets: DataFrame, threshold: float) -> DataF
     dealt = (placed.join(apart.select("_key", "_m"), "_key").withColumn("_part", own)
              .withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
              .select("_h", "_c", "_key", F.least("_part", "_other").alias("_i"), F.greatest("_part", "_other").alias("_j"), "_part").join(sets, "_h"))
-    item = F.struct("_h", "_c", "_s")
+    item = F.struct("_h", "_c", "_line")
     grouped = dealt.groupBy("_key", "_i", "_j").agg(F.collect_list(F.when(F.col("_part") == F.col("_i"), item)).alias("_a"),
                                                     F.collect_list(F.when(F.col("_part") == F.col("_j"), item)).alias("_b"))
 
-    def partners(x: Column) -> Column:
-        found = F.filter("_b", lambda y: (y["_c"] != x["_c"]) & ((F.col("_i") < F.col("_j")) | (y["_h"] < x["_h"])) & alike(x["_s"], y["_s"], threshold))
+    def hashed(items: str) -> Column:
+        return F.transform(items, lambda x: F.struct(x["_h"].alias("_h"), x["_c"].alias("_c"), shingle_hashes(x["_line"]).alias("_s")))
+
+    def partners(x: Column, others: Column) -> Column:
+        found = F.filter(others, lambda y: (y["_c"] != x["_c"]) & ((F.col("_i") < F.col("_j")) | (y["_h"] < x["_h"])) & alike(x["_s"], y["_s"], threshold))
         return F.transform(found, lambda y: F.struct(x["_h"].alias("a"), y["_h"].alias("b")))
 
-    return grouped.select(F.explode(F.flatten(F.transform("_a", partners))).alias("_l")).select("_l.a", "_l.b").distinct()
+    lists = F.struct(hashed("_a").alias("_a"), hashed("_b").alias("_b"))
+    pairs = _once(lists, lambda p: F.flatten(F.transform(p["_a"], lambda x: partners(x, p["_b"]))))
+    return grouped.select(F.explode(pairs).alias("_l")).select("_l.a", "_l.b").distinct()
 
 
 def _of(name: str):
@@ -165,7 +187,8 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_c
     gone = (places(docs, text, doc_id, threshold).filter("NOT kept").groupBy("_d", "_r").agg(F.collect_set("_no").alias("_gone")))
     rows = tucked(docs, F.col(doc_id).alias("_id"), F.xxhash64(whole_text(text)).alias("_r2"), F.col(text).alias("_t"))
     rows = rows.join(gone, (F.col("_r") == F.col("_r2")) & F.col("_id").eqNullSafe(F.col("_d")), "left")
-    left = F.filter(F.split(whole_text("_t"), "\n"), lambda x, i: ~F.array_contains("_gone", i))
+    own_lines = F.split(whole_text("_t"), "\n")
+    left = F.filter(own_lines, lambda x, i: ~F.array_contains("_gone", i))
     rows = rows.withColumn("_kept", F.array_join(left, "\n"))
     rows = rows.filter(F.col("_gone").isNull() | F.col("_kept").rlike(r"[\p{L}\p{N}]"))
     new = {text: F.when(F.col("_gone").isNull(), F.col("_t")).otherwise(F.col("_kept"))}
