@@ -1,7 +1,7 @@
 """Fuzzy line dedup by MinHash, with DataFrame functions only.
 
-A line is lower-cased and trimmed; lines under ``SHORT`` characters are left
-alone.  A set holds each run of ``SHINGLE`` characters (a shorter line is its own single
+A line is lower-cased and trimmed; every line that isn't blank takes part.  Its
+set holds each run of ``SHINGLE`` characters (a shorter line is its own single
 shingle).
 
 Signature: shingles are ordered by a 64-bit hash and the ``KEEP`` smallest are
@@ -25,7 +25,9 @@ Buckets, places and pairs are aggregated on the map side before they are
 shuffled or joined on hashes, where the engine splits hot keys; texts are
 shuffled once, to fetch the candidates' lines.
 
-Defined cases: null text is read as empty and has one empty line, which is left alone; repeated rows of one id are told apart by nothing, so the places of their
+Defined cases: null text is read as empty and has one blank line; blank lines are left
+alone; a document that has only lines under ``SHORT`` characters and would lose
+all of them stays whole; repeated rows of one id are told apart by nothing, so the places of their
 equal lines are one place and both stay or go; null ids come after all others;
 an empty table gives no rows; extra columns pass through ``dedup_lines``.
 """
@@ -84,7 +86,7 @@ def lines_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
     ``_h`` (its node) of every line that takes part."""
     body = whole_text(text)
     rows = docs.select(F.col(doc_id).alias("_d"), F.xxhash64(body).alias("_r"), F.posexplode(F.split(body, "\n")).alias("_no", "_line"))
-    rows = rows.withColumn("_line", normal(F.col("_line"))).filter(F.length("_line") >= SHORT)
+    rows = rows.withColumn("_line", normal(F.col("_line"))).filter(F.col("_line").rlike(r"\S"))
     return rows.withColumn("_h", F.xxhash64("_line"))
 
 
@@ -181,8 +183,8 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_c
                 threshold: float = THRESHOLD) -> DataFrame:
     """The documents without their dropped lines.
 
-    A document that loses every line with a letter or digit goes; ``n_chars``,
-    if named, is set to the new length; untouched texts stay byte for byte.
+    A document that loses every line with a letter or digit goes, unless none of
+    its lines has ``SHORT`` characters; ``n_chars``, if named, is set to the new length; untouched texts stay byte for byte.
     """
     gone = (places(docs, text, doc_id, threshold).filter("NOT kept").groupBy("_d", "_r").agg(F.collect_set("_no").alias("_gone")))
     rows = tucked(docs, F.col(doc_id).alias("_id"), F.xxhash64(whole_text(text)).alias("_r2"), F.col(text).alias("_t"))
@@ -190,6 +192,8 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_c
     own_lines = F.split(whole_text("_t"), "\n")
     left = F.filter(own_lines, lambda x, i: ~F.array_contains("_gone", i))
     rows = rows.withColumn("_kept", F.array_join(left, "\n"))
+    small = ~F.col("_kept").rlike(r"[\p{L}\p{N}]") & ~F.exists(own_lines, lambda x: F.length(normal(x)) >= SHORT)
+    rows = rows.withColumn("_gone", F.when(~small, F.col("_gone")))
     rows = rows.filter(F.col("_gone").isNull() | F.col("_kept").rlike(r"[\p{L}\p{N}]"))
     new = {text: F.when(F.col("_gone").isNull(), F.col("_t")).otherwise(F.col("_kept"))}
     if n_chars and n_chars in docs.columns:

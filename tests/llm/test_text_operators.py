@@ -384,3 +384,30 @@ def test_line_dedup_runs_no_python(spark):
 
 def test_whole_text_of_null(spark):
     assert spark.createDataFrame([(None,)], "text string").select(whole_text()).first()[0] == ""
+
+
+def test_line_dedup_takes_short_lines(spark):
+    """Exact copies go at any length; blank lines stay; near copies count from one shingle on."""
+    long = "a first line that is long enough, number "
+    rows = [(1, long + "one\nMenu\n\n \t\nab"), (2, long.upper() + "seventeen thousand\n menu \n\nAB\nabcdefgh"), (3, "something else entirely 12345\nabcdefghi\nab")]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.text for r in out.collect()} == {1: rows[0][1], 2: long.upper() + "seventeen thousand\n\nabcdefgh", 3: "something else entirely 12345"}
+
+
+def test_line_dedup_takes_every_character_window(spark):
+    """Own shingles and brute force: one typo, spaceless text, and sets of every small size."""
+    rnd = random.Random(21)
+    draw = lambda n, a="abcdefghijklmnop qrs tuv": "".join(rnd.choice(a) for _ in range(n)).strip() or "x"
+    lines = []
+    for n in [*range(1, 30), *range(50, 90, 4), 150, 300, 2000]:
+        base = draw(n) if n % 2 else draw(n, "的一是不了人我在有他这中大来上国𝒳")
+        at = n // 2
+        lines += [base, base[:at] + "Z" + base[at + 1:], base[:at] + "Q" + base[at:], base + "!"]
+    lines = list(dict.fromkeys(x.lower().strip() for x in lines))
+    sets = [frozenset(x[i:i + 5] for i in range(max(1, len(x) - 4))) for x in lines]
+    want = _classes(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b))
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r["_d"]: r.class_id for r in line_dedup.places(df).collect()}
+    first = {}
+    assert [first.setdefault(got[i], i) for i in range(len(lines))] == want
+    assert len(set(want)) < len(lines) - 40
