@@ -11,7 +11,9 @@ makes its container (the path without its closing text-level tags) content, so
 that a title or a short paragraph beside long ones stays.  Where passing paths
 lie in an ``article`` or ``main`` element, only those elements count.  Paths
 through elements that never hold an article (navigation, footers, forms ...)
-or that are named after menus, adverts, notices, comments take no part.
+or that are hidden take no part.  A class, role or wrapper's id that as a whole
+names a menu, an advert, a notice, comments ... lowers the ratio of the paths
+below, up to the next ``article`` or ``main``; names on headings don't count.
 
 Narrow map over the pages, state of one page at a time; character references
 are decoded, white space inside a block becomes one space, blocks are joined
@@ -49,13 +51,18 @@ INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i ins kbd ma
 #: Text-level blocks: they end a path, their container is what is above.
 LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table thead tbody tfoot tr td th figure hr".split())
 ARTICLE = frozenset(("article", "main"))
-#: Words (or starts of words, with a star) in a class, id or role that name other parts of a page.
-NAMED = ("ad ads adv advert* adsense adbox sponsor* promo* banner* cookie* consent* gdpr notice* alert* popup* modal* overlay* "
-         "nav navbar navigation menu* breadcrumb* crumb* sidebar* side rail widget* related* recommend* share* sharing social* "
-         "comment* disqus reply replies respond footer* masthead topbar toolbar header siteheader newsletter* subscribe* signup "
-         "login search* pagination pager tags tagcloud copyright legal complementary contentinfo hidden skip")
-_EXACT = frozenset(w for w in NAMED.split() if w[-1] != "*")
-_START = tuple(w[:-1] for w in NAMED.split() if w[-1] == "*")
+#: Words of a class, id or role that name other parts of a page.
+NAMED = frozenset("ad ads adv advert adverts advertisement advertising adsense adbox sponsor sponsors sponsored promo promos promotion banner banners "
+                  "cookie cookies consent gdpr notice notices alert alerts popup popups modal overlay nav navbar navigation menu menus "
+                  "breadcrumb breadcrumbs sidebar sidebars rail widget widgets related recommended recommendations share sharing sharebar social "
+                  "comment comments disqus replies respond footer masthead topbar toolbar header siteheader newsletter subscribe signup "
+                  "login search pagination pager tags tagcloud copyright legal complementary contentinfo skip".split())
+#: Words that may stand beside them; any other word makes a name of its own (``entry-header``, ``related-work``, ``has-sidebar``).
+BESIDE = frozenset("site page main top bottom left right side primary secondary global mobile bar box block area wrap wrapper container outer inner "
+                   "section list item items links link posts articles stories buttons icons form text content sticky fixed inline".split())
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What a name takes from a path's ratio, and what an ``article`` or ``main`` element adds.
+NAMED_WEIGHT, ARTICLE_WEIGHT = 0.01, 2.0
 
 TOKEN = re.compile(
     rf"""(?P<skip><!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>"']++|"[^"]*+"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z))"""
@@ -71,34 +78,42 @@ CLOSES = ({t: (("p",), ()) for t in "p div ul ol dl table h1 h2 h3 h4 h5 h6 bloc
 SCOPE = frozenset("body article main section div td th li table aside nav header footer form blockquote figure button".split())
 
 
-def _named_outside(attrs: str) -> tuple[str, bool]:
-    """A tag's own name part (first class or id), and whether it names another part of the page."""
-    label, outside = "", False
+def _names_other_part(token: str) -> bool:
+    """Whether a whole class, id or role names another part of the page."""
+    words = re.findall(r"[a-z0-9]+", token)
+    return not NAMED.isdisjoint(words) and all(w in NAMED or w in BESIDE for w in words)
+
+
+def _attributes(tag: str, attrs: str) -> tuple[str, bool, bool]:
+    """A tag's own name part (first class or id), whether it is hidden, and whether it names another part of the page."""
+    label, hidden, named = "", False, False
     for key, value in ATTR.findall(attrs):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or (key == "style" and "display:none" in value.replace(" ", "")):
-            outside = True
+            hidden = True
         elif key != "style":
             words = re.findall(r"[a-z0-9]+", value)
             label = label or (words[0] if words else "")
-            outside |= any(w in _EXACT or w.startswith(_START) for w in words)
-    return label, outside
+            if tag not in HEADING and not (key == "id" and tag in LEAF | INLINE):
+                named |= any(map(_names_other_part, value.split()))
+    return label, hidden, named
 
 
-def text_nodes(page: str) -> tuple[list[tuple[int, int, str]], list[tuple[str, ...]], list[bool]]:
-    """(block, path number, text) of every text node; the paths; which of them take no part."""
-    stack: list[tuple[str, str, bool]] = []  # tag, name in a path, outside
-    nodes, numbers, paths, outside, block = [], {}, [], [], 0
+def text_nodes(page: str) -> tuple[list[tuple[int, int, str]], list[tuple[str, ...]], list[bool], list[bool]]:
+    """(block, path number, text) of every text node; the paths; which of them take no part; which are named as another part."""
+    stack: list[tuple[str, str, bool, bool]] = []  # tag, name in a path, outside, named
+    nodes, numbers, paths, outside, named, block = [], {}, [], [], [], 0
     for m in TOKEN.finditer(page):
         if m["text"] is not None:
             if not m["text"].isspace():
                 key = tuple(x[1] for x in stack)
-                off = bool(stack) and stack[-1][2]
-                if (key, off) not in numbers:
-                    numbers[key, off] = len(paths)
+                off, other = stack[-1][2:] if stack else (False, False)
+                if (key, off, other) not in numbers:
+                    numbers[key, off, other] = len(paths)
                     paths.append(key)
                     outside.append(off)
-                nodes.append((block, numbers[key, off], m["text"]))
+                    named.append(other)
+                nodes.append((block, numbers[key, off, other], m["text"]))
             elif nodes and nodes[-1][0] == block:
                 nodes[-1] = (*nodes[-1][:2], nodes[-1][2] + " ")
         elif m["tag"]:
@@ -124,14 +139,16 @@ def text_nodes(page: str) -> tuple[list[tuple[int, int, str]], list[tuple[str, .
                 nodes[-1] = (*nodes[-1][:2], nodes[-1][2] + " ")
             if tag in VOID or m["attrs"].endswith("/") and tag not in SCOPE:
                 continue
-            label, off = _named_outside(m["attrs"]) if m["attrs"] else ("", False)
+            label, off, other = _attributes(tag, m["attrs"]) if m["attrs"] else ("", False, False)
             in_article = any(x[0] in ARTICLE for x in stack)
-            # a page may name its whole frame oddly; the frame itself is never outside
+            # a page may name its whole frame oddly; the frame itself is never outside, and no name reaches into it
             off = off and tag not in ("html", "body", *ARTICLE) or tag in OUTSIDE or tag == "header" and not in_article
             if tag == "body":  # whatever a broken head left open ends here
                 stack = [x for x in stack if x[0] == "html"]
-            stack.append((tag, f"{tag}.{label}" if label else tag, off or bool(stack) and stack[-1][2]))
-    return nodes, paths, outside
+            frame = tag in ("html", "body", *ARTICLE)
+            other = not frame and (other and not (tag == "header" and in_article) or bool(stack) and stack[-1][3])
+            stack.append((tag, f"{tag}.{label}" if label else tag, off or bool(stack) and stack[-1][2], other))
+    return nodes, paths, outside, named
 
 
 def _tags(path: tuple[str, ...]) -> list[str]:
@@ -140,12 +157,12 @@ def _tags(path: tuple[str, ...]) -> list[str]:
 
 def _container(path: tuple[str, ...]) -> tuple[str, ...]:
     n = len(path)
-    while n and path[n - 1].partition(".")[0] in LEAF | INLINE:
+    while n and path[n - 1].partition(".")[0] in LEAF | INLINE | {"header", "hgroup"}:  # a header that takes part is an article's
         n -= 1
     return path[:n]
 
 
-def content_paths(nodes: list[tuple[int, int, str]], paths: list[tuple[str, ...]], outside: list[bool]) -> set[int]:
+def content_paths(nodes: list[tuple[int, int, str]], paths: list[tuple[str, ...]], outside: list[bool], named: list[bool]) -> set[int]:
     """Numbers of the paths whose nodes are content."""
     length, marks, count = [0] * len(paths), [0] * len(paths), [0] * len(paths)
     for _, p, text in nodes:
@@ -167,7 +184,7 @@ def content_paths(nodes: list[tuple[int, int, str]], paths: list[tuple[str, ...]
     smooth = {}
     for p in inside:
         weights = [(math.exp(-steps(paths[p], paths[q]) ** 2 / (2 * SIGMA ** 2)) * count[q], fused[q]) for q in inside]
-        smooth[p] = sum(w * f for w, f in weights) / sum(w for w, _ in weights)
+        smooth[p] = sum(w * f for w, f in weights) / sum(w for w, _ in weights) * (NAMED_WEIGHT if named[p] else 1)
     n = sum(count[p] for p in inside)
     mean = sum(count[p] * smooth[p] for p in inside) / n
     threshold = LAMBDA * math.sqrt(sum(count[p] * (smooth[p] - mean) ** 2 for p in inside) / n)
@@ -175,16 +192,16 @@ def content_paths(nodes: list[tuple[int, int, str]], paths: list[tuple[str, ...]
     framed = [p for p in passed if ARTICLE & set(_tags(paths[p]))]
     if framed:  # the elements that hold the article are known: all that they hold, but for what takes no part
         return {p for p in inside if ARTICLE & set(_tags(paths[p]))}
-    held = {_container(paths[p]) for p in passed}
-    return {p for p in inside if _container(paths[p]) in held}
+    held = {(_container(paths[p]), named[p]) for p in passed}
+    return {p for p in inside if (_container(paths[p]), named[p]) in held}
 
 
 def main_text(page: str | None) -> str:
     """The text of the content nodes of a page, one block a line."""
     if not page:
         return ""
-    nodes, paths, outside = text_nodes(page)
-    chosen = content_paths(nodes, paths, outside)
+    nodes, paths, outside, named = text_nodes(page)
+    chosen = content_paths(nodes, paths, outside, named)
     blocks: dict[int, list[str]] = {}
     for block, p, text in nodes:
         if p in chosen:

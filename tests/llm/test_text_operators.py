@@ -411,3 +411,15 @@ def test_line_dedup_takes_every_character_window(spark):
     first = {}
     assert [first.setdefault(got[i], i) for i in range(len(lines))] == want
     assert len(set(want)) < len(lines) - 40
+
+
+def test_main_text_names_are_no_verdict():
+    long = "<p>One long paragraph, with words, and commas, and more. It goes on, and on, for a while.</p>" * 3
+    want = "\n".join(["One long paragraph, with words, and commas, and more. It goes on, and on, for a while."] * 3)
+    for name in ("content has-sidebar", "no-sidebar", "page-with-nav", "commentary", "sidebar"):
+        assert main_text.main_text(f'<body><nav>m</nav><div class="{name}"><article>{long}</article></div></body>') == want
+        assert main_text.main_text(f'<body><nav>m</nav><div class="{name}">{long}</div></body>') == want
+    head = '<header class="entry-header"><h1>Title of it</h1></header>'
+    assert main_text.main_text(f"<body><article>{head}{long}</article></body>") == f"Title of it\n{want}"
+    for name in ("side-effects", "search-algorithms", "related-work", "shared-memory", "comments"):
+        assert main_text.main_text(f'<body><article>{long}<h2 id="{name}">Part</h2>{long}</article></body>') == f"{want}\nPart\n{want}"
