@@ -8,8 +8,9 @@ neighbouring paths (Gaussian weight of the number of steps between them in the
 tree, times the number of nodes) and held against ``LAMBDA`` standard
 deviations of the smoothed ratios over the page's nodes.  A path that passes
 makes its container (the path without its closing text-level tags) content, so
-that a title or a short paragraph beside long ones stays.  Where passing paths
-lie in an ``article`` or ``main`` element, only those elements count.  Paths
+that a title or a short paragraph beside long ones stays.  An ``article`` or ``main``
+element doubles the ratios inside and decides nothing else.  List items and
+loose blocks of links only are left out, unless there is nothing else.  Paths
 through elements that never hold an article (navigation, footers, forms ...)
 or that are hidden take no part.  A class, role or wrapper's id that as a whole
 names a menu, an advert, a notice, comments ... lowers the ratio of the paths
@@ -185,17 +186,27 @@ def content_paths(nodes: list[tuple[int, int, str]], paths: list[tuple[str, ...]
     for p in inside:
         weights = [(math.exp(-steps(paths[p], paths[q]) ** 2 / (2 * SIGMA ** 2)) * count[q], fused[q]) for q in inside]
         smooth[p] = sum(w * f for w, f in weights) / sum(w for w, _ in weights) * (NAMED_WEIGHT if named[p] else 1)
+        smooth[p] *= ARTICLE_WEIGHT if ARTICLE & set(_tags(paths[p])) else 1
     n = sum(count[p] for p in inside)
     mean = sum(count[p] * smooth[p] for p in inside) / n
     threshold = LAMBDA * math.sqrt(sum(count[p] * (smooth[p] - mean) ** 2 for p in inside) / n)
     passed = [p for p in inside if smooth[p] >= threshold and smooth[p] > 0]
-    framed = [p for p in passed if ARTICLE & set(_tags(paths[p]))]
-    if framed:  # the elements that hold the article are known: all that they hold, but for what takes no part
-        return {p for p in inside if ARTICLE & set(_tags(paths[p]))}
     held = {(_container(paths[p]), named[p]) for p in passed}
     return {p for p in inside if (_container(paths[p]), named[p]) in held}
 
 
+def _link_lists(nodes: list[tuple[int, int, str]], paths: list[tuple[str, ...]]) -> set[int]:
+    """Blocks outside paragraphs and headings that hold no letter or digit but in links."""
+    linked, free = set(), set()
+    for block, p, text in nodes:
+        tags = set(_tags(paths[p]))
+        if "a" in tags and tags.isdisjoint(HEADING | {"p"}):
+            linked.add(block)
+        elif any(map(str.isalnum, text)):
+            free.add(block)
+    return linked - free
+
+
 def main_text(page: str | None) -> str:
     """The text of the content nodes of a page, one block a line."""
     if not page:
@@ -206,6 +217,9 @@ def main_text(page: str | None) -> str:
     for block, p, text in nodes:
         if p in chosen:
             blocks.setdefault(block, []).append(text)
+    lists = _link_lists([x for x in nodes if x[1] in chosen], paths)
+    if lists != blocks.keys():
+        blocks = {k: x for k, x in blocks.items() if k not in lists}
     lines = (SPACE.sub(" ", html_lib.unescape("".join(x))).strip() for x in blocks.values())
     return "\n".join(x for x in lines if x)
 

@@ -423,3 +423,15 @@ def test_main_text_names_are_no_verdict():
     assert main_text.main_text(f"<body><article>{head}{long}</article></body>") == f"Title of it\n{want}"
     for name in ("side-effects", "search-algorithms", "related-work", "shared-memory", "comments"):
         assert main_text.main_text(f'<body><article>{long}<h2 id="{name}">Part</h2>{long}</article></body>') == f"{want}\nPart\n{want}"
+
+
+def test_main_text_ratios_decide_inside_main():
+    long = "<p>One long paragraph, with words, and commas, and more. It goes on, and on, for a while, and still on.</p>" * 4
+    want = "\n".join(["One long paragraph, with words, and commas, and more. It goes on, and on, for a while, and still on."] * 4)
+    teasers = '<div><article class="teaser"><h3><a href="x">Other</a></h3><p>Teased.</p></article></div>' * 3
+    links = "<ul>" + '<li><a href="x">Some link</a></li>' * 5 + "</ul>"
+    notice = "<div><span>Signed in</span></div>"
+    assert main_text.main_text(f"<body><main>{notice}<article>{long}</article>{teasers}{links}</main></body>") == want
+    assert main_text.main_text(f"<body><main>{long}{links}</main></body>") == want
+    assert main_text.main_text(f"<body><article><p>Tiny.</p></article><div>{long}</div></body>").endswith(want)
+    assert main_text.main_text('<body><main><p>See <a href="x">this page</a>, it has more of all that, and more.</p></main></body>') == "See this page, it has more of all that, and more."
