@@ -7,24 +7,32 @@ state and the length of the longest suffix that is still such a run are known
 
 * places of a base phrase: the phrase is a suffix of the present match, which
   a list kept with each state tells;
+* places of a whole template, in the same way: a span of coverage 1;
 * long matches: a match of ``MIN_MATCH`` words or more that the next word
   doesn't extend.  Per template, matches are chained when both positions go
-  on and at most ``GAP`` words of the file lie between; the chain that covers
-  most template words gives a span with its coverage (covered words by
-  template words).  Spans from ``MIN_COVER`` on give a label.
+  on and at most ``GAP`` words of the file lie between, none of which names
+  another licence (``NAMING``); the chain that covers most template words gives
+  a span with its coverage (covered words by template words).  It counts from
+  ``MIN_COVER`` on, and for templates under ``SHORT`` words when all are covered.
+
+Where spans overlap, the one that covers most words stays (then the one of the
+larger coverage); the spans that stay give the labels.  Templates are customary
+notices and the paragraphs of the licence texts of MIT, BSD, ISC and Unlicense;
+the long texts of the other licences are known by their notices only.
 
 The automaton's size is that of the templates, a parameter; files are scanned
 by a narrow map with no state between rows.
 
 Defined cases: null text is read as empty and has no words; words are compared
 after lower-casing A-Z; a template or phrase without words is left out; ties
-between chains go to the one that ends first; repeated rows and extra columns
+between spans go to the one that ends first, then to the smaller label; repeated rows and extra columns
 pass through (columns named like the results are replaced).
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
@@ -34,11 +42,14 @@ from pyspark.sql import types as T
 
 from clickpipe.llm.common import read_table, workers_import
 
-MIN_MATCH = 3
+MIN_MATCH = 4
 GAP = 6
 MIN_COVER = 0.6
+SHORT = 20
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
+# Words that tell one licence from another.
+NAMING = frozenset(b"nd nc sa noderivatives noderivs noncommercial sharealike lesser library affero lgpl agpl gpl mit bsd isc apache mozilla mpl eclipse epl cc0 zero unlicense".split())
 # Base phrases and their labels.
 PHRASES = {
     "mit license": "mit",
@@ -57,21 +68,80 @@ TEMPLATES = {
     "bsd": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
         "Released under the BSD license",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+        "software without specific prior written permission.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT "
+        "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT "
+        "HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT "
+        "LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY "
+        "THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF "
+        "THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
     ),
     "cc-by": ("This work is licensed under a Creative Commons Attribution 4.0 International License", "Licensed under CC BY 4.0"),
     "cc-by-nc": ("This work is licensed under a Creative Commons Attribution NonCommercial 4.0 International License", "Licensed under CC BY-NC 4.0"),
     "cc-by-sa": ("This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License", "Licensed under CC BY-SA 4.0"),
+    "cc-by-nc-nd": ("This work is licensed under a Creative Commons Attribution NonCommercial NoDerivatives 4.0 International License", "Licensed under CC BY-NC-ND 4.0"),
+    "cc-by-nc-sa": ("This work is licensed under a Creative Commons Attribution NonCommercial ShareAlike 4.0 International License", "Licensed under CC BY-NC-SA 4.0"),
+    "cc-by-nd": ("This work is licensed under a Creative Commons Attribution NoDerivatives 4.0 International License", "Licensed under CC BY-ND 4.0"),
+    "cc0": (
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
+        "This work is dedicated to the public domain under CC0 1.0 Universal",
+        "Creative Commons CC0 1.0 Universal Public Domain Dedication",
+    ),
+    "epl": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at "
+        "https://www.eclipse.org/legal/epl-2.0",
+        "All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 "
+        "which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html",
+        "THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE (\"AGREEMENT\"). ANY USE, REPRODUCTION OR DISTRIBUTION OF "
+        "THE PROGRAM CONSTITUTES RECIPIENT'S ACCEPTANCE OF THIS AGREEMENT.",
+    ),
     "gpl": (
         "This work is licensed under the GNU General Public License, version 3",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
         "the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
+        "above copyright notice and this permission notice appear in all copies.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF "
+        "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY "
+        "DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, "
+        "ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+        "Released under the ISC License",
+    ),
     "mit": (
         "Released under the MIT License",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, "
         "to deal in the Software without restriction",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+        "(the \"Software\"), to deal in the Software without restriction",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+        "(the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, "
+        "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+        "following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY "
+        "CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+        "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     ),
     "mpl": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+        "for any purpose, commercial or non-commercial, and by any means.",
+        "In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software "
+        "to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We "
+        "intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+        "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+        "DEALINGS IN THE SOFTWARE.",
+    ),
 }
 
 
@@ -113,17 +183,25 @@ class Automaton:
         n = len(self.step)
         own_ends: list[list[tuple[int, int]]] = [[] for _ in range(n)]
         own_told: list[list[tuple[int, str]]] = [[] for _ in range(n)]
+        own_whole: list[list[int]] = [[] for _ in range(n)]
         for s, t, at in ends:
             own_ends[s].append((t, at))
         for s, k, label in told:
             own_told[s].append((k, label))
+        for t, (_, run) in enumerate(known):
+            state = 0
+            for w in run:
+                state = self.step[state][self.vocabulary[w]]
+            own_whole[state].append(t)
         order = sorted(range(n), key=lambda s: self.length[s])
         for s in order[1:]:  # a state's strings end with those of its link
             own_told[s] = own_told[s] + own_told[self.link[s]]
+            own_whole[s] = own_whole[s] + own_whole[self.link[s]]
         for s in reversed(order[1:]):  # and occur where longer ones do
             own_ends[self.link[s]].extend(own_ends[s])
         self.ends = [sorted(set(x)) for x in own_ends]
         self.told = [tuple(x) for x in own_told]
+        self.whole = [tuple(x) for x in own_whole]
 
     def _extend(self, last: int, w: int) -> int:
         if w in self.step[last]:
@@ -160,7 +238,8 @@ class Automaton:
         found = words(text)
         places: list[tuple[str, int]] = []
         matches: list[tuple[int, int, int]] = []  # start, end, state
-        step, link, length, told = self.step, self.link, self.length, self.told
+        complete: list[tuple[int, int, int]] = []  # template, start, end
+        step, link, length, told, whole = self.step, self.link, self.length, self.told, self.whole
         state = size = 0
         last = -2
         ids = list(map(self.vocabulary.get, found))
@@ -181,24 +260,28 @@ class Automaton:
                 for k, label in told[state]:
                     if k <= size:
                         places.append((label, i + 1 - k))
+                for t in whole[state]:
+                    if (k := self.names[t][1]) <= size:
+                        complete.append((t, i + 1 - k, i))
             else:
                 state = size = 0
         if size >= MIN_MATCH:
             matches.append((last + 1 - size, last, state))
-        return len(found), places, self._chains(matches)
+        return len(found), places, self._chains(matches, complete, [i for i, w in enumerate(found) if w in NAMING] if matches else [])
+
+    def _chains(self, matches: list[tuple[int, int, int]], complete: list[tuple[int, int, int]], naming: list[int]) -> list[tuple[str, int, int, int, float]]:
+        """The best of the complete templates and of the chains, from ``MIN_COVER`` on, where spans overlap.
 
-    def _chains(self, matches: list[tuple[int, int, int]]) -> list[tuple[str, int, int, int, float]]:
-        """The best chain of each cluster of matches and template, from ``MIN_COVER`` on."""
+        ``naming``: positions of the file's words that name a licence."""
         per: dict[int, list[tuple[int, int, int, int]]] = {}
         for start, end, state in matches:
             for t, at in self.ends[state]:
                 per.setdefault(t, []).append((start, end, at - (end - start), at))
-        spans = []
+        done = [(-self.names[t][1], -1.0, end, start, self.names[t][0]) for t, start, end in complete]
         for t, own in sorted(per.items()):
             label, n = self.names[t]
             own.sort()
             best: list[tuple[int, int]] = []  # covered words, first word, of the best chain that ends in a match
-            done: list[tuple[float, int, int, int]] = []
             low = 0
             for k, (start, end, t0, t1) in enumerate(own):
                 while own[low][1] < start - GAP - n:
@@ -206,19 +289,20 @@ class Automaton:
                 score, first = t1 - t0 + 1, start
                 for j in range(low, k):
                     s2, e2, u0, u1 = own[j]
-                    if s2 < start and e2 < end and u0 < t0 and u1 < t1 and start - e2 <= GAP + 1:
+                    if s2 < start and e2 < end and u0 < t0 and u1 < t1 and start - e2 <= GAP + 1 and bisect_right(naming, e2) == bisect_left(naming, start):
                         # runs may overlap by a few words, in the file or in the template
                         gain = t1 - t0 + 1 - max(0, e2 - start + 1, u1 - t0 + 1)
                         if gain > 0 and best[j][0] + gain > score:
                             score, first = best[j][0] + gain, best[j][1]
                 best.append((score, first))
-                if score >= MIN_COVER * n:
-                    done.append((-score / n, end, first, score))
-            taken: list[tuple[int, int]] = []
-            for share, end, first, score in sorted(done):
-                if all(end < a or first > b for a, b in taken):
-                    taken.append((first, end))
-                    spans.append((label, first, end, score, -share))
+                if score >= (n if n < SHORT else MIN_COVER * n):
+                    done.append((-score, -score / n, end, first, label))
+        spans, taken = [], []  # taken: sorted and disjoint
+        for covered, share, end, first, label in sorted(done):
+            at = bisect_left(taken, (first,))
+            if (not at or taken[at - 1][1] < first) and (at == len(taken) or taken[at][0] > end):
+                taken.insert(at, (first, end))
+                spans.append((label, first, end, -covered, -share))
         return sorted(spans, key=lambda x: (x[1], x[2], x[0]))
 
 

@@ -435,3 +435,23 @@ def test_main_text_ratios_decide_inside_main():
     assert main_text.main_text(f"<body><main>{long}{links}</main></body>") == want
     assert main_text.main_text(f"<body><article><p>Tiny.</p></article><div>{long}</div></body>").endswith(want)
     assert main_text.main_text('<body><main><p>See <a href="x">this page</a>, it has more of all that, and more.</p></main></body>') == "See this page, it has more of all that, and more."
+
+
+def test_license_labels_need_what_sets_a_licence_apart():
+    found = license_scan.Automaton(license_scan.TEMPLATES, license_scan.PHRASES)
+    labels = lambda text: {x[0] for x in found.scan(text)[2]}
+    for text in ("the album was released under the title of it", "Released under the GPL", "this work is licensed under a separate deal, version 3"):
+        assert labels(text) == set()
+    work = "This work is licensed under a Creative Commons Attribution%s 4.0 International License."
+    for name, label in (("", "cc-by"), ("-NonCommercial", "cc-by-nc"), ("-ShareAlike", "cc-by-sa"), ("-NoDerivatives", "cc-by-nd"), ("-NonCommercial-NoDerivatives", "cc-by-nc-nd")):
+        assert labels(work % name) == {label}
+    assert labels("Licensed under CC BY-ND 4.0") == {"cc-by-nd"} and labels("Licensed under CC BY-SA-ND 4.0") == set()
+    assert labels('Licensed under the Apache License, Version 2.0 (the "License"); and so on') == {"apache"}
+    lesser = license_scan.TEMPLATES["gpl"][1].replace("GNU General", "GNU Lesser General")
+    assert labels(lesser) == set()
+    for label, texts in license_scan.TEMPLATES.items():
+        for text in texts:
+            assert labels(f"foo {text} bar") == {label}
+        assert labels("\n".join(texts)) == {label}
+    later = license_scan.TEMPLATES["mit"][-1].split()
+    assert labels(" ".join(later[:20] + ["oddly"] + later[21:])) == {"mit"}
