@@ -7,8 +7,9 @@
 2. Index: every vector is encoded by every rotation; each code is cut into
    substrings of ``bits`` bits, and each substring is a table.  The number of
    tables follows from the chance that two vectors at the threshold differ in
-   a bit (angle / pi), so that at most ``MISS`` of the pairs there share no
-   entry; ``bits`` follows the number of rows.
+   a bit (angle / pi, measured after centring on pairs made from the sample), so
+   that at most ``MISS`` of the pairs there share no entry; ``bits`` follows the
+   number of rows, and is less where more than ``MOST_TABLES`` would be needed.
 3. Retrieve and rerank: rows of one label that share a table entry are compared
    with their original vectors, in double precision.  A pair is counted in the
    first table where it meets and nowhere else, so counts are sums over entries
@@ -46,20 +47,42 @@ THRESHOLD = 0.98
 SAMPLE_ROWS = 8192
 ROUNDS = 15
 MISS = 1e-4
+MOST_TABLES = 256
 ENTRY_ROWS = 2048
 
 
+def _differing(unit: np.ndarray, mean: np.ndarray, threshold: float, seed: int) -> np.ndarray:
+    """The chance of a differing bit, for pairs of a unit vector and one made at the threshold: of the raw angle at least."""
+    other = np.random.default_rng(seed).standard_normal(unit.shape)
+    other -= (unit * other).sum(axis=1, keepdims=True) * unit
+    other *= math.sqrt(1 - threshold ** 2) / np.maximum(np.linalg.norm(other, axis=1, keepdims=True), 1e-9)
+    a, b = unit - mean, threshold * unit + other - mean
+    cosine = (a * b).sum(axis=1) / np.maximum(np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1), 1e-12)
+    return np.maximum(np.arccos(np.clip(cosine, -1, 1)), math.acos(threshold)) / math.pi
+
+
+def _tables(differ: np.ndarray, bits: int) -> int:
+    """The least number of tables in which at most ``MISS`` of the pairs share no entry, or one more than ``MOST_TABLES`` if so many don't do."""
+    apart = 1 - (1 - np.minimum(differ, 0.999)) ** bits
+    for n in range(1, MOST_TABLES + 1):
+        if (apart ** n).mean() <= MISS:
+            return n
+    return MOST_TABLES + 1
+
+
 class Quantiser:
     """Rotations for binary codes and the tables cut from them."""
 
     def __init__(self, sample: np.ndarray, rows: int, threshold: float = THRESHOLD, seed: int = 2):
         d = self.width = sample.shape[1]
         self.bits = min(max(16, math.ceil(math.log2(max(rows, 2)))), 32, d)
-        same = (1 - math.acos(threshold) / math.pi) ** self.bits
-        self.tables = max(1, math.ceil(math.log(MISS) / math.log(1 - same)))
-        a_code = max(1, d // self.bits)
         unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
         self.mean = unit.mean(axis=0)
+        differ = _differing(unit[:1024], self.mean, threshold, seed)
+        while (tables := _tables(differ, self.bits)) > MOST_TABLES and self.bits > 1:
+            self.bits -= 1
+        self.tables = tables
+        a_code = max(1, d // self.bits)
         _, axes = np.linalg.eigh((unit - self.mean).T @ (unit - self.mean))  # columns: principal axes
         flat = (unit - self.mean) @ axes
         rng = np.random.default_rng(seed)

@@ -119,3 +119,20 @@ def test_recall_of_the_tables():
     q = Quantiser(a, 2000)
     assert (q.keys(a) == q.keys(b)).any(axis=1).mean() >= 0.99
     assert abs(q.keys(a).max() / 2 ** q.bits - 1) < 0.1
+
+
+def test_recall_with_a_common_direction():
+    from clickpipe.llm.itq_dedup import Quantiser
+
+    rng = np.random.default_rng(6)
+    common = np.zeros(64)
+    common[0] = 1
+    for share in (0.0, 0.9, 0.95):
+        a = rng.standard_normal((4000, 64))
+        a = share * common + math.sqrt(1 - share ** 2) * a / np.linalg.norm(a, axis=1, keepdims=True)
+        a /= np.linalg.norm(a, axis=1, keepdims=True)
+        b = rng.standard_normal((4000, 64))
+        b -= (a * b).sum(axis=1, keepdims=True) * a
+        b = 0.98 * a + math.sqrt(1 - 0.98 ** 2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+        q = Quantiser(a, 4000)
+        assert (q.keys(a) == q.keys(b)).any(axis=1).mean() >= 0.998
