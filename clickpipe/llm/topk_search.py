@@ -18,13 +18,16 @@ Defined cases: vectors that are null or hold null, NaN or infinite components,
 and rows with a null id, take no part; rows that repeat in full count once, and
 rows with the query's id aren't its candidates; vectors of different length are
 compared over the dimensions that both have; fewer than k candidates give fewer
-rows; ties go to the smaller id; an empty table gives no rows.  Components
-beyond 2**24 in size are refused, so that sums stay exact.
+rows; ties go to the smaller id; an empty table gives no rows.  Sums are
+taken in doubles, in 64-bit integers or in Python integers, whichever holds them
+exactly; beyond 64 bits the score is a decimal(38, 0).  Refused are components
+beyond 64 bits and sums that may pass 38 digits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -36,7 +39,6 @@ from clickpipe.llm.common import read_table, workers_import
 BLOCK_VECTORS = 8192
 BLOCK_QUERIES = 1024
 FIRST_STEP = 16
-LIMIT = 1 << 24
 
 
 def integer_components(vector: Column, scale: float = 256.0) -> Column:
@@ -81,7 +83,10 @@ class SortedLists:
             if len(new):
                 places = np.concatenate([places, new])
                 scores = np.concatenate([scores, self.rows[new] @ query])
-                best = np.lexsort((places, -scores))[:k]
+                if scores.dtype == object:
+                    best = np.array(sorted(range(len(places)), key=lambda i: (-scores[i], places[i]))[:k])
+                else:
+                    best = np.lexsort((places, -scores))[:k]
                 places, scores = places[best], scores[best]
             bound = (weight * np.where(up, self.sorted[n - to, dims], self.sorted[to - 1, dims])).sum() if len(dims) else -np.inf
             if len(places) == k and bound < scores[-1] or met.all():
@@ -90,8 +95,8 @@ class SortedLists:
         return places, scores
 
 
-def _matrix(lists: list[np.ndarray], width: int) -> np.ndarray:
-    out = np.zeros((len(lists), width))
+def _matrix(lists: list[np.ndarray], width: int, dtype: type = float) -> np.ndarray:
+    out = np.zeros((len(lists), width), dtype)
     for i, x in enumerate(lists):
         out[i, :len(x)] = x
     return out
@@ -108,9 +113,14 @@ def search(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_i
     rows = vectors.select(F.col(vec_id).cast("long").alias("_i"), F.col(vector).alias("_v"), F.coalesce(queries, F.lit(False)).alias("_q"))
     rows = rows.filter(F.col("_i").isNotNull()).dropDuplicates(["_i", "_v"])
     n = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("_q").cast("int")).alias("q"),
-                 F.max(F.array_max(F.transform("_v", F.abs))).alias("big")).first()
-    if (n["big"] or 0) > LIMIT:
-        raise ValueError(f"components beyond {LIMIT}")
+                 F.max(F.size("_v")).alias("d"), F.max(F.array_max("_v")).alias("most"), F.min(F.array_min("_v")).alias("least")).first()
+    big = max(n["most"] or 0, -(n["least"] or 0))
+    sums = (n["d"] or 0) * big ** 2
+    if big >= (1 << 63) - 1 or sums >= 10 ** 38:
+        raise ValueError("components beyond 64 bits, or sums beyond 38 digits")
+    dtype = float if sums <= 1 << 53 else np.int64 if sums < 1 << 63 else object
+    number = "decimal(38,0)" if dtype is object else "long"
+    whole = (lambda x: [Decimal(int(s)) for s in x]) if dtype is object else (lambda x: x.astype(np.int64))
     v_blocks, q_blocks = -(-max(n["n"], 1) // BLOCK_VECTORS), -(-max(n["q"] or 0, 1) // BLOCK_QUERIES)
     block = lambda m, salt: F.pmod(F.xxhash64("_i", F.lit(salt)), F.lit(m)).cast("int")
     all_of = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
@@ -123,15 +133,15 @@ def search(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_i
             stored = stored.sort_values("_i", kind="stable")
             ids = stored["_i"].to_numpy()
             width = max(max(map(len, stored["_v"])), max(map(len, asked["_v"])))
-            lists = SortedLists(_matrix(list(stored["_v"]), width))
-            for query_id, query in zip(asked["_i"], _matrix(list(asked["_v"]), width), strict=True):
+            lists = SortedLists(_matrix(list(stored["_v"]), width, dtype))
+            for query_id, query in zip(asked["_i"], _matrix(list(asked["_v"]), width, dtype), strict=True):
                 lo, hi = np.searchsorted(ids, [query_id, query_id + 1])
                 places, scores = lists.search(query, k, np.arange(lo, hi))
-                out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[places], "score": scores.astype(np.int64)}))
+                out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[places], "score": whole(scores)}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
 
     found = (asked.groupBy("_qb", "_vb").cogroup(stored.groupBy("_qb", "_vb"))
-             .applyInPandas(block_search, "query_id long, vec_id long, score long"))
+             .applyInPandas(block_search, f"query_id long, vec_id long, score {number}"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

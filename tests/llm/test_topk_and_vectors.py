@@ -136,3 +136,15 @@ def test_recall_with_a_common_direction():
         b = 0.98 * a + math.sqrt(1 - 0.98 ** 2) * b / np.linalg.norm(b, axis=1, keepdims=True)
         q = Quantiser(a, 4000)
         assert (q.keys(a) == q.keys(b)).any(axis=1).mean() >= 0.998
+
+
+def test_search_with_large_components(spark):
+    rng = np.random.default_rng(7)
+    for high, dims in ((1 << 26, 40), (1 << 27, 40), (1 << 40, 3)):  # sums beyond 2**53 and beyond 2**63
+        rows = [(i, [int(x) for x in rng.integers(-high, high, dims)]) for i in range(60)]
+        got = [tuple(r) for r in search(spark.createDataFrame(rows, "vec_id long, _v array<long>"), F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect()]
+        want = []
+        for q in (0, 50):
+            best = sorted((-sum(a * b for a, b in zip(rows[q][1], x, strict=True)), i) for i, x in rows if i != q)[:5]
+            want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+        assert got == want
