@@ -15,7 +15,9 @@ so that a very short text isn't extreme by being short.
 
 Defined cases: null text is read as empty; an empty text gets a score like any
 other; labels other than 0 and 1, and null ones, don't train; several labels
-of one id all count; a class without labelled rows raises ``ValueError``;
+of one id all count; where a class has no labelled rows
+there is no density and every score is the prior (share of label 1, 0.5 without
+labelled rows; ``fit`` itself raises ``ValueError``); an empty table gives no rows;
 ties at the threshold count as predicted 1; repeated rows and extra columns
 pass through.
 """
@@ -95,6 +97,24 @@ class QuadraticDiscriminant:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.least(gap, F.lit(700.0)), F.lit(-700.0))))
 
 
+@dataclass(frozen=True)
+class PriorOnly:
+    """For labels of one class at most: the score is the prior."""
+
+    prior: float
+
+    def score(self, x: list[Column]) -> Column:
+        return F.lit(self.prior)
+
+
+class MissingClass(ValueError):
+    """Labelled rows of one class only, or none; ``prior`` is the share of label 1."""
+
+    def __init__(self, prior: float):
+        super().__init__("labelled rows of both classes are needed")
+        self.prior = prior
+
+
 def fit(rows: DataFrame, label: str, columns: list[str], to_pooled: float = TO_POOLED,
         to_diagonal: float = TO_DIAGONAL) -> QuadraticDiscriminant:
     """Fits on the rows with label 0 or 1, by one aggregation of moments."""
@@ -104,7 +124,7 @@ def fit(rows: DataFrame, label: str, columns: list[str], to_pooled: float = TO_P
                     *[F.sum(F.col(columns[i]) * F.col(columns[j])).alias(f"p{i}_{j}") for i, j in pairs]).collect())
     by_class = {r["k"]: r for r in moments}
     if set(by_class) != {0, 1}:
-        raise ValueError("labelled rows of both classes are needed")
+        raise MissingClass(float(next(iter(by_class), 0.5)))
     count, mean, scatter = {}, {}, {}
     for k, r in by_class.items():
         count[k] = r["n"]
@@ -130,15 +150,18 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def train(stats: DataFrame, labels: DataFrame) -> QuadraticDiscriminant:
+def train(stats: DataFrame, labels: DataFrame) -> QuadraticDiscriminant | PriorOnly:
     """Fits ``labels.quality`` on all labelled rows of ``stats`` (``doc_id`` and
     the statistics) outside the held-out fold; only numbers are shuffled, no text."""
     wanted = labels.select(F.col("doc_id").alias("_id"), F.col("quality").alias("_y")).filter("_y IS NOT NULL")
     rows = stats.select("doc_id", *STATISTICS).filter(~held_out()).join(wanted, F.col("doc_id") == F.col("_id"))
-    return fit(rows, "_y", STATISTICS)
+    try:
+        return fit(rows, "_y", STATISTICS)
+    except MissingClass as e:
+        return PriorOnly(e.prior)
 
 
-def classify(stats: DataFrame, model: QuadraticDiscriminant, threshold: float = THRESHOLD) -> DataFrame:
+def classify(stats: DataFrame, model: QuadraticDiscriminant | PriorOnly, threshold: float = THRESHOLD) -> DataFrame:
     """Replaces the statistics by ``score`` and ``predicted`` (1 from the threshold on)."""
     rest = [c for c in stats.columns if c not in ("score", "predicted", *STATISTICS)]
     scored = stats.select(*rest, model.score([F.col(c) for c in STATISTICS]).alias("score"))

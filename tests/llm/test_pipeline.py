@@ -44,3 +44,9 @@ def test_stages(spark):
 def test_run_is_repeatable(spark):
     one, two = (corpus_pipeline.run(spark, SMALL).groupBy("doc_id", "n_tokens").count() for _ in range(2))
     assert one.exceptAll(two).count() == two.exceptAll(one).count() == 0
+
+
+def test_empty_tables(spark, tmp_path):
+    for t in ("documents", "labels"):
+        read_table(spark, SMALL, t).limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

@@ -455,3 +455,14 @@ def test_license_labels_need_what_sets_a_licence_apart():
         assert labels("\n".join(texts)) == {label}
     later = license_scan.TEMPLATES["mit"][-1].split()
     assert labels(" ".join(later[:20] + ["oddly"] + later[21:])) == {"mit"}
+
+
+def test_quality_without_both_classes(spark, tmp_path):
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    for name, some, known in (("none", docs.limit(0), labels), ("bare", docs, labels.limit(0)), ("good", docs, labels.filter("quality = 1"))):
+        some.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        known.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    rows = {n: quality_qda.op10_quality_qda(spark, f"{tmp_path}/{n}") for n in ("none", "bare", "good")}
+    assert rows["none"].count() == 0
+    for n, prior in (("bare", 0.5), ("good", 1.0)):
+        assert rows[n].count() == docs.count() and rows[n].filter(f"score <> {prior} OR predicted <> 1").count() == 0
