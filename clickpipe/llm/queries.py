@@ -6,6 +6,7 @@ from clickpipe.llm.byte_bpe import op5_byte_bpe
 from clickpipe.llm.license_scan import op3_license_scan
 from clickpipe.llm.line_dedup import op4_line_dedup
 from clickpipe.llm.main_text import op7_main_text
+from clickpipe.llm.pii_bootstrap import op13_pii_bootstrap
 from clickpipe.llm.quality_qda import op10_quality_qda
 from clickpipe.llm.source_mix import op8_source_mix
 from clickpipe.llm.suffix_dedup import op9_suffix_dedup
@@ -21,6 +22,7 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_qda": op10_quality_qda,
+    "op13_pii_bootstrap": op13_pii_bootstrap,
 }
 
 ORACLE_SQL = {
