@@ -126,3 +126,25 @@ def test_links_in_slices_equal_those_at_once(files, odd_texts, monkeypatch):
 
 def test_empty_table(shared, files):
     assert ta.align(shared.createDataFrame([], "doc_id long, text string"), files).collect() == []
+
+
+def test_encoding_by_ranks_equals_the_library(files):
+    tok = ta.Tokenizers(*files)
+    assert tok.ranked is not None
+    rnd = random.Random(8)
+    few = [chr(i) for i in range(0x250)] + [chr(i) for i in range(0x2000, 0x20C0)] + ["\u3000", "\u0600", "\U0001F600"]
+    texts = ["".join(rnd.choices(few, k=rnd.randint(1, 30))) for _ in range(3000)]
+    texts += ["".join(rnd.choices([*" \n\t\x85\xa0\x1c'", "s", "ll", "re", "a", "1", "\u00b2", ".", "\u2581", "\u3000", "\u00aa"], k=rnd.randint(1, 12))) for _ in range(4000)]
+    texts += [f"{x}{c}{y}" for c in few for x, y in (("a", "a"), (" ", " "), ("1", "1"), (" a", "\n"))]
+    want = [x.ids for x in tok.a.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [tok._encode_a(t) for t in texts] == want
+    assert sum(ta._ODD.search(t) is None for t in texts) > 4000
+
+
+def test_other_vocabularies_are_not_ranked(files):
+    import json
+
+    read = json.loads(files[0])
+    table = ta.Tokenizers(*files).a_bytes
+    for change in ({"pre_tokenizer": {"type": "Whitespace"}}, {"normalizer": {"type": "NFC"}}, {"model": read["model"] | {"merges": read["model"]["merges"][1:]}}):
+        assert ta._ranked(json.dumps(read | change), table) is None
