@@ -34,6 +34,19 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Removes tables that ``saved`` wrote.  Only once all that was made of them is written
+    too: nothing can be made of them again."""
+    for df in tables:
+        files = df.inputFiles()
+        if files:
+            folders = {f.rsplit("/", 1)[0] for f in files}
+            sc = df.sparkSession.sparkContext
+            for folder in folders:
+                path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df

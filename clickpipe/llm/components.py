@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpipe.llm.common import saved
+from clickpipe.llm.common import discard, saved
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -44,7 +44,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     now = saved(now, "components")
     state = _state(now)
     while state[0]:
-        now = saved(_small_star(_large_star(now)), "components")
+        old, now = now, saved(_small_star(_large_star(now)), "components")
+        discard(old)
         before, state = state, _state(now)
         if state == before:
             break

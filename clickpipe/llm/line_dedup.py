@@ -1,84 +1,133 @@
-"""Fuzzy line dedup by MinHash, with DataFrame functions only.
+"""Fuzzy line dedup by MinHash.
 
 A line is lower-cased and trimmed; every line that isn't blank takes part.  Its
 set holds each run of ``SHINGLE`` characters (a shorter line is its own single
 shingle).
 
-Signature: shingles are ordered by a 64-bit hash and the ``KEEP`` smallest are
-kept (bottom-k MinHash).  Bands are the runs of ``ROWS`` neighbours in that
-order: for two sets of similarity s the order of their union is a row of draws,
-each shared with probability s, and a band is shared where so many shared ones
-follow each other.  At 0.8 the smallest 28 hold such a run with probability
-0.99 at least.  Sets of at most 15 shingles also have runs of three, those of at
-most five runs of two; by counting the gaps, such sets at 0.8 always share a band.
-
-Equal lines are one node first (a 64-bit hash of the line), with its first
-place.  Each node is held against the node of each of its band buckets that meets
-most others, by the exact Jaccard index of both shingle sets; union-find
-(``components``) over the verified pairs; then the nodes of a bucket that still
-lie in different components are compared too, in blocks of lists, so no candidate
-pair is left undecided and no rows of pairs are made.  Of each
-component the line at the first place stays (smallest document id, then text
+Equal lines are one node first (a 64-bit hash of the line), with its first place.
+Signature: ``BANDS`` bands of ``ROWS`` least values of the shingles' hashes, each under
+a mask of its own; two sets of similarity 0.8 share a band with probability 0.991.
+Sets of at most ``SMALL`` shingles have runs of neighbours in their sorted hashes as
+further keys; by counting the gaps, two such sets at 0.8 always share a run.
+
+Each node is held against the node of each of its buckets that meets most others,
+by the exact Jaccard index of both shingle sets; union-find (``components``) over
+the verified pairs; this is done ``CENTRES`` times, each time against a centre in
+another component.  Nodes of a bucket that still lie apart are compared block by
+block, so no candidate pair is left undecided and no rows of pairs are made.  Of
+each component the line at the first place stays (smallest document id, then text
 hash, then line number); all its other places are dropped.
 
+Lines are cut, normalised, joined and aggregated by DataFrame functions; signatures
+and the Jaccard index are made in Arrow batches (README: why not natively).
 Buckets, places and pairs are aggregated on the map side before they are
-shuffled or joined on hashes, where the engine splits hot keys; texts are
-shuffled once, to fetch the candidates' lines.
+shuffled or joined on hashes, where the engine splits hot keys; tables are removed
+once what was made of them is written.
 
 Defined cases: null text is read as empty and has one blank line; blank lines are left
-alone; a document that has only lines under ``SHORT`` characters and would lose
-all of them stays whole; repeated rows of one id are told apart by nothing, so the places of their
-equal lines are one place and both stay or go; null ids come after all others;
-an empty table gives no rows; extra columns pass through ``dedup_lines``.
+alone; a document that loses a line and keeps none with a letter or digit goes, however
+short its lines; repeated rows (equal id and text) are numbered: the first is judged
+by its places, the others lose every line that takes part; null ids come after
+all others; a very long line is one line; an empty table gives no rows; extra columns
+pass through ``dedup_lines``, names of its own never clash with them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickpipe.llm.common import read_table, saved, tucked, untucked, whole_text
+from clickpipe.llm.common import discard, read_table, saved, tucked, untucked, whole_text, workers_import
 from clickpipe.llm.components import components
+from clickpipe.llm.rolling import mix
 
 SHINGLE = 5
-STEP = 32
-KEEP = 28
-ROWS = 4
-SHORT = 16
+BANDS = 12
+ROWS = 5
+SMALL = 18
+CHUNK = 1 << 17
+CENTRES = 2
 BLOCK = 256
 THRESHOLD = 0.8
 
+_rng = np.random.default_rng(0x11FE)
+_FACTORS = _rng.integers(1, 1 << 62, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MASKS = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
 
 def normal(line: Column) -> Column:
     """The form in which lines are compared."""
     return F.trim(F.lower(line))
 
 
-def shingle_hashes(line: Column) -> Column:
-    """Distinct hashes of every run of ``SHINGLE`` characters of a line.
-
-    The line is cut into overlapping pieces first, as the place of a character is
-    found by counting from the start."""
-    pieces = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{SHINGLE},{STEP + SHINGLE - 1}}})).{{1,{STEP}}}"), F.lit(1))
-    runs = F.transform(pieces, lambda p: F.transform(F.sequence(F.lit(1), F.length(p) - (SHINGLE - 1)),
-                                                     lambda i: F.xxhash64(F.substring(p, i, F.lit(SHINGLE)))))
-    return F.when(F.length(line) < SHINGLE, F.array(F.xxhash64(line))).otherwise(F.array_distinct(F.flatten(runs)))
-
-
-def _once(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once, however often it is named."""
-    return F.transform(F.array(value), use)[0]
-
-
-def band_keys(hashes: Column) -> Column:
-    """One key for each run of neighbours among the smallest hashes."""
-
-    def runs(least: Column, rows: int, most: int) -> Column:
-        at = F.sequence(F.lit(1), F.size(least) - (rows - 1))
-        return F.when(F.size(least).between(rows, most), F.transform(at, lambda i: F.xxhash64(F.lit(rows), F.slice(least, i, rows)))).otherwise(F.array().cast("array<bigint>"))
-
-    least = F.slice(F.sort_array(hashes), 1, KEEP)  # sorts plain longs, unlike array_sort
-    return _once(least, lambda x: F.concat(runs(x, 1, 1), runs(x, 2, 5), runs(x, 3, 15), runs(x, ROWS, KEEP)))
+def shingles(line: str) -> set[str]:
+    """Every run of ``SHINGLE`` characters; a shorter line is its own."""
+    return {line[i:i + SHINGLE] for i in range(len(line) - SHINGLE + 1)} or {line}
+
+
+def alike(a: set[str], b: set[str], threshold: float) -> bool:
+    """Whether the exact Jaccard index reaches the threshold."""
+    small, large = sorted((len(a), len(b)))
+    if small < threshold * large:  # an upper bound
+        return False
+    both = len(a & b)
+    return both >= threshold * (small + large - both)
+
+
+def _runs(hashes: np.ndarray, rows: int) -> list[int]:
+    parts = mix(hashes)
+    out = np.full(len(hashes) - rows + 1, rows, np.uint64)
+    for i in range(rows):
+        out = mix(out * _SPREAD + parts[i:len(parts) - rows + 1 + i])
+    return out.tolist()
+
+
+def band_keys(lines: list[str]) -> list[list[int]]:
+    """The bucket keys of every line, as unsigned numbers."""
+    lengths = np.array([len(x) for x in lines], np.int64)
+    pad = "\0" * (SHINGLE - 1)
+    codes = np.frombuffer((pad.join(lines) + pad).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    places = max(0, len(codes) - SHINGLE + 1)
+    at = np.zeros(places, np.uint64)
+    for i, factor in enumerate(_FACTORS):
+        at += mix(codes[i:i + places]) * factor
+    windows = np.maximum(lengths - (SHINGLE - 1), 1)
+    first = np.cumsum(windows) - windows
+    starts = np.cumsum(lengths + SHINGLE - 1) - (lengths + SHINGLE - 1)
+    hashes = mix(at[np.repeat(starts - first, windows) + np.arange(int(windows.sum()))])
+    top = (hashes >> np.uint64(32)).astype(np.uint32)
+    keys = np.empty((BANDS, len(lines)), np.uint64)
+    for band in range(BANDS):
+        key = np.full(len(lines), band, np.uint64)
+        for mask in _MASKS[band * ROWS:(band + 1) * ROWS]:
+            key = mix(key * _SPREAD + np.minimum.reduceat(top ^ mask, first))
+        keys[band] = key
+    out = keys.T.tolist()
+    for i in np.flatnonzero(windows <= 4 * SMALL).tolist():
+        own = np.unique(hashes[first[i]:first[i] + windows[i]])
+        if len(own) <= SMALL:
+            for rows, most in ((1, 1), (2, 5), (3, SMALL)):
+                if rows <= len(own) <= most:
+                    out[i] += _runs(own, rows)
+    return out
+
+
+def _chunks(lines: list[str]) -> Iterator[list[str]]:
+    held, size = [], 0
+    for x in lines:
+        held.append(x)
+        size += len(x)
+        if size >= CHUNK:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def lines_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -94,106 +143,150 @@ def _place() -> Column:
     return F.struct(F.col("_d").isNull().alias("_null"), "_d", "_r", "_no")
 
 
-def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """Nodes (``_h``, ``_place``: first place) and, of every node alike to another
-    that isn't its component's root, the root (``_h``, ``_root``)."""
-    lines = lines_of(docs, text, doc_id)
-    nodes = saved(lines.select("_h", _place().alias("_place"), band_keys(shingle_hashes(F.col("_line"))).alias("_keys"))
-                  .groupBy("_h").agg(F.min("_place").alias("_place"), F.first("_keys").alias("_keys")), "line-nodes")
-    rows = nodes.select("_h", F.explode("_keys").alias("_key"))
-    full = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_m")).filter("_m > 1")
-    members = saved(rows.join(full, "_key"), "line-members")
-    met = members.groupBy("_h").agg(F.sum("_m").alias("_met"))
-    wanted = nodes.select("_h", "_place").join(met.select("_h"), "_h", "left_semi").select("_h", "_place._d", "_place._r", "_place._no")
-    same = lambda a, b: (a["_h"] == b["_h"]) & (a["_r"] == b["_r"]) & (a["_no"] == b["_no"]) & a["_d"].eqNullSafe(b["_d"])
-    sets = lines.alias("l").join(wanted.alias("w"), same(_of("l"), _of("w")), "left_semi").select("_h", "_line").dropDuplicates(["_h"])
-    sets = saved(sets, "line-sets")  # texts: their hashes would take eight times as much
-
-    # each node against the node of each of its buckets that meets most others
-    ranked = members.select("_h", "_key").join(met, "_h")
-    centre = ranked.groupBy("_key").agg(F.max(F.struct("_met", "_h")).alias("_x")).select("_key", F.col("_x._h").alias("b"))
-    first = ranked.join(centre, "_key").filter("_h <> b").select(F.col("_h").alias("a"), "b").distinct()
-    both = (first.join(sets.select(F.col("_h").alias("a"), F.col("_line").alias("_la")), "a")
-            .join(sets.select(F.col("_h").alias("b"), F.col("_line").alias("_lb")), "b"))
-    pair = F.struct(shingle_hashes(F.col("_la")).alias("a"), shingle_hashes(F.col("_lb")).alias("b"))
-    links = saved(both.filter(_once(pair, lambda p: alike(p["a"], p["b"], threshold))).select("a", "b"), "line-links")
-    placed = members.select("_h", "_key").join(components(links).withColumnRenamed("node", "_h"), "_h", "left")
-    placed = placed.select("_h", "_key", F.coalesce("root", "_h").alias("_c"))
-    more = saved(_bucket_links(placed, sets, threshold), "line-links")
-    found = components(links.unionByName(more)).select(F.col("node").alias("_h"), F.col("root").alias("_root"))
-    return nodes.select("_h", "_place"), found
-
-
-def alike(a: Column, b: Column, threshold: float) -> Column:
-    """Whether the exact Jaccard index of two sets of hashes reaches the threshold."""
-    both = F.size(F.array_intersect(a, b))
-    near = F.least(F.size(a), F.size(b)) >= threshold * F.greatest(F.size(a), F.size(b))  # cheaper, and an upper bound
-    return near & (both >= threshold * (F.size(a) + F.size(b) - both))
-
-
-def _bucket_links(placed: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Links between components that a bucket still holds apart.
+def _keyed(nodes: DataFrame) -> DataFrame:
+    """``_h`` and ``_key`` of every bucket of every node."""
+    workers_import(nodes.sparkSession)
 
-    A bucket is dealt into blocks of about ``BLOCK`` nodes; each pair of blocks is
-    one row that holds both lists and compares them in place, so that no rows of
-    pairs are made.  ``placed``: ``_h``, ``_key`` and the component ``_c``."""
-    apart = placed.groupBy("_key").agg(F.min("_c").alias("_lo"), F.max("_c").alias("_hi"), F.count(F.lit(1)).alias("_m")).filter("_lo <> _hi")
-    blocks = F.ceil(F.col("_m") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("_h"), blocks).cast("int")
-    dealt = (placed.join(apart.select("_key", "_m"), "_key").withColumn("_part", own)
-             .withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .select("_h", "_c", "_key", F.least("_part", "_other").alias("_i"), F.greatest("_part", "_other").alias("_j"), "_part").join(sets, "_h"))
-    item = F.struct("_h", "_c", "_line")
-    grouped = dealt.groupBy("_key", "_i", "_j").agg(F.collect_list(F.when(F.col("_part") == F.col("_i"), item)).alias("_a"),
-                                                    F.collect_list(F.when(F.col("_part") == F.col("_j"), item)).alias("_b"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [k for part in _chunks(batch.column("_line").to_pylist()) for k in band_keys(part)]
+            ends = np.cumsum([0, *map(len, keys)], dtype=np.int32)
+            flat = np.array([k for row in keys for k in row], np.uint64).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("_h"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["_h", "_keys"])
+
+    made = nodes.select("_h", "_line").mapInArrow(run, "_h long, _keys array<long>")
+    return saved(made, "line-keys")
 
-    def hashed(items: str) -> Column:
-        return F.transform(items, lambda x: F.struct(x["_h"].alias("_h"), x["_c"].alias("_c"), shingle_hashes(x["_line"]).alias("_s")))
 
-    def partners(x: Column, others: Column) -> Column:
-        found = F.filter(others, lambda y: (y["_c"] != x["_c"]) & ((F.col("_i") < F.col("_j")) | (y["_h"] < x["_h"])) & alike(x["_s"], y["_s"], threshold))
-        return F.transform(found, lambda y: F.struct(x["_h"].alias("a"), y["_h"].alias("b")))
+def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (``a``, ``b``) whose lines are alike."""
+    workers_import(pairs.sparkSession)
+    both = (pairs.join(texts.select(F.col("_h").alias("a"), F.col("_line").alias("_la")), "a")
+            .join(texts.select(F.col("_h").alias("b"), F.col("_line").alias("_lb")), "b"))
 
-    lists = F.struct(hashed("_a").alias("_a"), hashed("_b").alias("_b"))
-    pairs = _once(lists, lambda p: F.flatten(F.transform(p["_a"], lambda x: partners(x, p["_b"]))))
-    return grouped.select(F.explode(pairs).alias("_l")).select("_l.a", "_l.b").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre, own = None, set()
+        for batch in batches:
+            keep = []
+            for b, x, y in zip(*(batch.column(c).to_pylist() for c in ("b", "_la", "_lb")), strict=True):
+                if b != centre:
+                    centre, own = b, shingles(y)
+                # No set needed where the shorter line can't hold enough shingles.
+                keep.append(max(1, len(x) - SHINGLE + 1) >= threshold * len(own) and alike(shingles(x), own, threshold))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    return saved(both.select("a", "b", "_la", "_lb").mapInArrow(run, "a long, b long"), "line-links")
 
-def _of(name: str):
-    class Columns:
-        def __getitem__(self, c: str) -> Column:
-            return F.col(f"{name}.{c}")
 
-    return Columns()
+def _bucket_links(apart: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links between components that a bucket still holds apart.
+
+    A bucket is dealt into blocks of about ``BLOCK`` nodes; a task holds two blocks at a
+    time and compares them in place.  ``apart``: ``_h``, ``_key``, component ``_c`` and the
+    bucket's size ``_m``."""
+    workers_import(apart.sparkSession)
+    blocks = F.ceil(F.col("_m") / BLOCK).cast("int")
+    dealt = (apart.withColumn("_part", F.pmod(F.xxhash64("_h"), blocks).cast("int"))
+             .withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+             .select("_h", "_c", "_key", F.least("_part", "_other").alias("_i"), F.greatest("_part", "_other").alias("_j"), "_part").join(texts.select("_h", "_line"), "_h"))
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = [(h, c, p, shingles(x)) for h, c, p, x in zip(*(table.column(k).to_pylist() for k in ("_h", "_c", "_part", "_line")), strict=True)]
+        one = table.column("_i")[0].as_py() == table.column("_j")[0].as_py()
+        low = table.column("_i")[0].as_py()
+        found = []
+        for h, c, p, s in rows:
+            for g, d, q, t in rows:
+                if c != d and (g < h if one else p == low != q) and alike(s, t, threshold):
+                    found.append((h, g))
+        return pa.table([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+
+    return saved(dealt.groupBy("_key", "_i", "_j").applyInArrow(run, "a long, b long").distinct(), "line-links")
+
+
+def _linked(members: DataFrame, links: list[DataFrame]) -> DataFrame:
+    """``_h``, ``_key``, ``_met`` and component ``_c`` of the buckets that hold several components, with their size."""
+    placed = members.join(components(reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "_h"), "_h", "left")
+    placed = placed.select("_h", "_key", "_met", F.coalesce("root", "_h").alias("_c"))
+    apart = placed.groupBy("_key").agg(F.min("_c").alias("_lo"), F.max("_c").alias("_hi"), F.count(F.lit(1)).alias("_m")).filter("_lo <> _hi")
+    return placed.join(apart.select("_key", "_m"), "_key")
 
 
-def places(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
+def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """Nodes (``_h``, ``_place``: first place, ``_copies``: its places) and, of every node alike to
+    another that isn't its component's root, the root (``_h``, ``_root``)."""
+    lines = lines_of(docs, text, doc_id)
+    nodes = lines.groupBy("_h").agg(F.min(_place()).alias("_place"), F.count(F.lit(1)).alias("_copies"), F.first("_line").alias("_line"))
+    nodes = saved(nodes, "line-nodes")
+    keys = _keyed(nodes)
+    rows = keys.select("_h", F.explode("_keys").alias("_key"))
+    full = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    members = saved(rows.join(full, "_key"), "line-members")
+    discard(keys)
+    met = members.groupBy("_h").agg(F.sum("_n").alias("_met"))
+    texts = saved(nodes.select("_h", "_line").join(met.select("_h"), "_h", "left_semi"), "line-texts")
+    apart, links, tried = saved(members.join(met, "_h").select("_h", "_key", "_met"), "line-members"), [], None
+    discard(members)
+    whole = apart
+    for _ in range(CENTRES):
+        # each node against the node of each of its buckets that meets most others
+        at = [c for c in ("_c",) if c in apart.columns]
+        centre = apart.groupBy("_key").agg(F.max(F.struct("_met", "_h", *at)).alias("_x"))
+        pairs = apart.join(centre, "_key").filter("_h <> _x._h" + (" AND _c <> _x._c" if at else ""))
+        pairs = pairs.select(F.least("_h", "_x._h").alias("a"), F.greatest("_h", "_x._h").alias("b")).distinct()
+        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = saved(pairs, "line-pairs")
+        links.append(_verified(pairs, texts, threshold))
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        apart = saved(_linked(whole, links), "line-apart")
+    links.append(_bucket_links(apart, texts, threshold))
+    found = components(reduce(DataFrame.unionByName, links)).select(F.col("node").alias("_h"), F.col("root").alias("_root"))
+    discard(texts, whole, apart, tried)
+    return nodes.select("_h", "_place", "_copies"), found
+
+
+def places(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD, only_classes: bool = False) -> DataFrame:
     """Every line that takes part: ``_d``, ``_r``, ``_no``, ``class_id`` (root of its
-    component, a line hash) and ``kept``."""
+    component, a line hash) and ``kept``.  ``only_classes`` leaves out lines that are
+    their class's only place."""
     nodes, found = classes(docs, text, doc_id, threshold)
-    named = nodes.join(found, "_h", "left").select("_h", "_place", F.coalesce("_root", "_h").alias("_root"))
-    named = saved(named, "line-named")
-    firsts = named.groupBy("_root").agg(F.min("_place").alias("_first"))
-    known = named.join(firsts, "_root").select("_h", "_root", "_first")
+    named = nodes.join(found, "_h", "left").select("_h", "_place", "_copies", F.coalesce("_root", "_h").alias("_root"))
+    firsts = named.groupBy("_root").agg(F.min("_place").alias("_first"), F.sum("_copies").alias("_places"))
+    known = named.join(firsts if not only_classes else firsts.filter("_places > 1"), "_root").select("_h", "_root", "_first")
+    known = saved(known, "line-named")
     rows = lines_of(docs, text, doc_id).select("_h", "_d", "_r", "_no").join(known, "_h")
     return rows.select("_d", "_r", "_no", F.col("_root").alias("class_id"), (_place() == F.col("_first")).alias("kept"))
 
 
+def _gone(found: DataFrame) -> DataFrame:
+    """The dropped lines of each document: ``_d``, ``_r``, ``_gone`` (line number and class, in order)."""
+    lines = found.filter("NOT kept").groupBy("_d", "_r").agg(F.collect_set(F.struct(F.col("_no").alias("line_no"), "class_id")).alias("_gone"))
+    return lines.withColumn("_gone", F.array_sort("_gone"))
+
+
+def _same(a: str, b: str) -> Column:
+    return (F.col(f"{a}._r") == F.col(f"{b}._r")) & F.col(f"{a}._d").eqNullSafe(F.col(f"{b}._d"))
+
+
 def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_chars: str | None = "n_chars",
                 threshold: float = THRESHOLD) -> DataFrame:
     """The documents without their dropped lines.
 
-    A document that loses every line with a letter or digit goes, unless none of
-    its lines has ``SHORT`` characters; ``n_chars``, if named, is set to the new length; untouched texts stay byte for byte.
-    """
-    gone = (places(docs, text, doc_id, threshold).filter("NOT kept").groupBy("_d", "_r").agg(F.collect_set("_no").alias("_gone")))
-    rows = tucked(docs, F.col(doc_id).alias("_id"), F.xxhash64(whole_text(text)).alias("_r2"), F.col(text).alias("_t"))
-    rows = rows.join(gone, (F.col("_r") == F.col("_r2")) & F.col("_id").eqNullSafe(F.col("_d")), "left")
-    own_lines = F.split(whole_text("_t"), "\n")
-    left = F.filter(own_lines, lambda x, i: ~F.array_contains("_gone", i))
+    ``n_chars``, if named, is set to the new length; untouched texts stay byte for byte.
+    Of repeated rows with a line that takes part, one stays."""
+    gone = saved(_gone(places(docs, text, doc_id, threshold, only_classes=True)), "line-gone")
+    rows = tucked(docs, F.col(doc_id).alias("_d"), F.xxhash64(whole_text(text)).alias("_r"), F.col(text).alias("_t"))
+    again = rows.groupBy("_d", "_r").agg(F.count(F.lit(1)).alias("_m")).filter("_m > 1")
+    again = saved(again.select("_d", "_r"), "line-repeated")
+    if not again.isEmpty():
+        same = _same("x", "y")
+        taking = whole_text("_t").rlike(r"\S")
+        one = rows.alias("x").join(again.alias("y"), same, "left_semi")
+        rows = (rows.alias("x").join(again.alias("y"), same, "left_anti")
+                .unionByName(one.filter(~taking)).unionByName(one.filter(taking).dropDuplicates(["_d", "_r"])))
+    rows = rows.alias("x").join(gone.alias("y"), _same("x", "y"), "left").select("x.*", F.transform("y._gone", lambda g: g["line_no"]).alias("_gone"))
+    left = F.filter(F.split(whole_text("_t"), "\n"), lambda x, i: ~F.array_contains("_gone", i))
     rows = rows.withColumn("_kept", F.array_join(left, "\n"))
-    small = ~F.col("_kept").rlike(r"[\p{L}\p{N}]") & ~F.exists(own_lines, lambda x: F.length(normal(x)) >= SHORT)
-    rows = rows.withColumn("_gone", F.when(~small, F.col("_gone")))
     rows = rows.filter(F.col("_gone").isNull() | F.col("_kept").rlike(r"[\p{L}\p{N}]"))
     new = {text: F.when(F.col("_gone").isNull(), F.col("_t")).otherwise(F.col("_kept"))}
     if n_chars and n_chars in docs.columns:
@@ -205,10 +298,18 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_c
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
     """Per document: how many of its lines take part and stay, and number and class of those that go."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    gone = F.when(~F.col("kept"), F.struct(F.col("_no").alias("line_no"), "class_id"))
-    found = (places(docs).groupBy("_d", "_r")
-             .agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col("kept").cast("long")).alias("_k"), F.array_sort(F.collect_list(gone)).alias("_gone")))
-    rows = docs.select("doc_id", F.xxhash64(whole_text()).alias("_r2"))
-    rows = rows.join(found, (F.col("_r") == F.col("_r2")) & F.col("doc_id").eqNullSafe(F.col("_d")), "left")
-    return rows.select("doc_id", F.coalesce("_n", F.lit(0)).cast("long").alias("n_lines"), F.coalesce("_k", F.lit(0)).cast("long").alias("n_kept"),
-                       F.coalesce("_gone", F.array().cast("array<struct<line_no:int,class_id:bigint>>")).alias("dropped"))
+    lines = F.filter(F.split(whole_text(), "\n"), lambda x: normal(x).rlike(r"\S"))
+    rows = docs.select(F.col("doc_id").alias("_d"), F.xxhash64(whole_text()).alias("_r"), F.size(lines).cast("long").alias("_n"))
+    counted = rows.groupBy("_d", "_r").agg(F.count(F.lit(1)).alias("_m"), F.first("_n").alias("_n"))
+    counted = saved(counted, "line-documents")
+    found = saved(places(docs, only_classes=True), "line-places")
+    none = F.array().cast("array<struct<line_no:int,class_id:bigint>>")
+    # Rows after the first of equal ones lose every line; all their lines are in a class of several places.
+    again = counted.filter("_m > 1").select("_d", "_r")
+    every = found.alias("x").join(again.alias("y"), _same("x", "y"), "left_semi").groupBy("_d", "_r").agg(
+        F.collect_set(F.struct(F.col("_no").alias("line_no"), "class_id")).alias("_all"))
+    out = counted.alias("x").join(_gone(found).alias("y"), _same("x", "y"), "left").select("x.*", "_gone")
+    out = out.alias("x").join(every.alias("y"), _same("x", "y"), "left").select("x.*", F.array_sort("_all").alias("_all"))
+    out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_m")))
+    dropped = F.coalesce(F.when(F.col("_copy") > 1, F.col("_all")).otherwise(F.col("_gone")), none)
+    return out.select(F.col("_d").alias("doc_id"), F.col("_n").alias("n_lines"), (F.col("_n") - F.size(dropped)).alias("n_kept"), dropped.alias("dropped"))
