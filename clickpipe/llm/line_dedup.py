@@ -6,7 +6,7 @@ shingle).
 
 Equal lines are one node first (a 64-bit hash of the line), with its first place.
 Signature: ``BANDS`` bands of ``ROWS`` least values of the shingles' hashes, each under
-a mask of its own; two sets of similarity 0.8 share a band with probability 0.991.
+a mask of its own; two sets of similarity 0.8 share a band with probability 0.992.
 Sets of at most ``SMALL`` shingles have runs of neighbours in their sorted hashes as
 further keys; by counting the gaps, two such sets at 0.8 always share a run.
 
@@ -41,19 +41,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickpipe.llm.common import discard, read_table, saved, tucked, untucked, whole_text, workers_import
 from clickpipe.llm.components import components
 from clickpipe.llm.rolling import mix
 
 SHINGLE = 5
-BANDS = 12
-ROWS = 5
+BANDS = 16
+ROWS = 6
 SMALL = 18
 CHUNK = 1 << 17
 CENTRES = 2
 BLOCK = 256
 THRESHOLD = 0.8
+#: Rows of two numbers that are broadcast at most (16 MB); larger tables are shuffled.
+BROADCAST_ROWS = 1 << 20
 
 _rng = np.random.default_rng(0x11FE)
 _FACTORS = _rng.integers(1, 1 << 62, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -80,6 +83,16 @@ def alike(a: set[str], b: set[str], threshold: float) -> bool:
     return both >= threshold * (small + large - both)
 
 
+def _far(line: str, other: set[str], threshold: float) -> bool:
+    """Whether the first part of a line already holds more shingles that ``other`` lacks than any
+    set as alike as the threshold can: at most the (1 - threshold)th part of its own."""
+    windows = len(line) - SHINGLE + 1
+    if windows < 40:
+        return False
+    missing = {line[i:i + SHINGLE] for i in range(int(windows * (1 - threshold) * 1.5))} - other
+    return len(missing) > (1 - threshold) * windows + 1e-6 * windows  # the product may round down
+
+
 def _runs(hashes: np.ndarray, rows: int) -> list[int]:
     parts = mix(hashes)
     out = np.full(len(hashes) - rows + 1, rows, np.uint64)
@@ -143,19 +156,27 @@ def _place() -> Column:
     return F.struct(F.col("_d").isNull().alias("_null"), "_d", "_r", "_no")
 
 
-def _keyed(nodes: DataFrame) -> DataFrame:
-    """``_h`` and ``_key`` of every bucket of every node."""
-    workers_import(nodes.sparkSession)
+def occurrences(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``_h``, ``_d``, ``_r``, ``_no`` and bucket keys of every line that takes part; no text."""
+    workers_import(docs.sparkSession)
+    lines = lines_of(docs, text, doc_id).select("_h", "_d", "_r", "_no", "_line")
+    rest = lines.columns[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = [k for part in _chunks(batch.column("_line").to_pylist()) for k in band_keys(part)]
             ends = np.cumsum([0, *map(len, keys)], dtype=np.int32)
             flat = np.array([k for row in keys for k in row], np.uint64).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("_h"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["_h", "_keys"])
+            made = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([*map(batch.column, rest), made], names=[*rest, "_keys"])
+
+    schema = T.StructType([lines.schema[c] for c in rest] + [T.StructField("_keys", T.ArrayType(T.LongType()))])
+    return saved(lines.mapInArrow(run, schema), "line-occurrences")
+
 
-    made = nodes.select("_h", "_line").mapInArrow(run, "_h long, _keys array<long>")
-    return saved(made, "line-keys")
+def _few(df: DataFrame) -> DataFrame:
+    """A written table, marked for a broadcast if it is small enough."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -171,11 +192,13 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
             for b, x, y in zip(*(batch.column(c).to_pylist() for c in ("b", "_la", "_lb")), strict=True):
                 if b != centre:
                     centre, own = b, shingles(y)
-                # No set needed where the shorter line can't hold enough shingles.
-                keep.append(max(1, len(x) - SHINGLE + 1) >= threshold * len(own) and alike(shingles(x), own, threshold))
+                # No set needed where the line can't hold enough shingles, or where its start lacks too many.
+                fits = max(1, len(x) - SHINGLE + 1) >= threshold * len(own) and not _far(x, own, threshold)
+                keep.append(fits and alike(shingles(x), own, threshold))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return saved(both.select("a", "b", "_la", "_lb").mapInArrow(run, "a long, b long"), "line-links")
+    both = both.select("a", "b", "_la", "_lb").sortWithinPartitions("b")
+    return saved(both.mapInArrow(run, "a long, b long"), "line-links")
 
 
 def _bucket_links(apart: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -212,50 +235,57 @@ def _linked(members: DataFrame, links: list[DataFrame]) -> DataFrame:
     return placed.join(apart.select("_key", "_m"), "_key")
 
 
-def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+def classes(docs: DataFrame, occ: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """Nodes (``_h``, ``_place``: first place, ``_copies``: its places) and, of every node alike to
     another that isn't its component's root, the root (``_h``, ``_root``)."""
-    lines = lines_of(docs, text, doc_id)
-    nodes = lines.groupBy("_h").agg(F.min(_place()).alias("_place"), F.count(F.lit(1)).alias("_copies"), F.first("_line").alias("_line"))
-    nodes = saved(nodes, "line-nodes")
-    keys = _keyed(nodes)
-    rows = keys.select("_h", F.explode("_keys").alias("_key"))
-    full = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    members = saved(rows.join(full, "_key"), "line-members")
-    discard(keys)
+    nodes = saved(occ.groupBy("_h").agg(F.min(_place()).alias("_place"), F.count(F.lit(1)).alias("_copies")), "line-nodes")
+    rows = occ.select("_h", F.explode("_keys").alias("_key"))
+    buckets = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min("_h").alias("a"), F.max("_h").alias("b")).filter("a <> b")
+    buckets = saved(buckets, "line-buckets")
+    # Two lines in a bucket are a pair already; only larger buckets need their members.
+    pairs = buckets.filter("_n = 2").select("a", "b").distinct()
+    large = _few(saved(buckets.filter("_n > 2").select("_key", "_n"), "line-buckets"))
+    members = saved(rows.join(large, "_key").distinct(), "line-members")
     met = members.groupBy("_h").agg(F.sum("_n").alias("_met"))
-    texts = saved(nodes.select("_h", "_line").join(met.select("_h"), "_h", "left_semi"), "line-texts")
-    apart, links, tried = saved(members.join(met, "_h").select("_h", "_key", "_met"), "line-members"), [], None
+    whole = saved(members.join(met, "_h").select("_h", "_key", "_met"), "line-members")
     discard(members)
-    whole = apart
+    wanted = pairs.select(F.col("a").alias("_h")).union(pairs.select("b")).union(whole.select("_h")).distinct()
+    wanted = saved(wanted, "line-wanted")
+    texts = lines_of(docs, text, doc_id).select("_h", "_line").join(_few(wanted), "_h", "left_semi").groupBy("_h").agg(F.first("_line").alias("_line"))
+    texts = saved(texts, "line-texts")
+    discard(wanted)
+    apart, links, tried = whole, [], None
     for _ in range(CENTRES):
         # each node against the node of each of its buckets that meets most others
         at = [c for c in ("_c",) if c in apart.columns]
         centre = apart.groupBy("_key").agg(F.max(F.struct("_met", "_h", *at)).alias("_x"))
-        pairs = apart.join(centre, "_key").filter("_h <> _x._h" + (" AND _c <> _x._c" if at else ""))
-        pairs = pairs.select(F.least("_h", "_x._h").alias("a"), F.greatest("_h", "_x._h").alias("b")).distinct()
-        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = saved(pairs, "line-pairs")
-        links.append(_verified(pairs, texts, threshold))
-        tried = pairs if tried is None else tried.unionByName(pairs)
+        near = apart.join(centre, "_key").filter("_h <> _x._h" + (" AND _c <> _x._c" if at else ""))
+        near = near.select(F.least("_h", "_x._h").alias("a"), F.greatest("_h", "_x._h").alias("b"))
+        near = near.union(pairs).distinct() if tried is None else near.distinct().join(tried, ["a", "b"], "left_anti")
+        near = saved(near, "line-pairs")
+        links.append(_verified(near, texts, threshold))
+        tried = near if tried is None else tried.unionByName(near)
         apart = saved(_linked(whole, links), "line-apart")
     links.append(_bucket_links(apart, texts, threshold))
     found = components(reduce(DataFrame.unionByName, links)).select(F.col("node").alias("_h"), F.col("root").alias("_root"))
-    discard(texts, whole, apart, tried)
-    return nodes.select("_h", "_place", "_copies"), found
+    discard(texts, whole, apart, tried, buckets)
+    return nodes, found
 
 
 def places(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD, only_classes: bool = False) -> DataFrame:
     """Every line that takes part: ``_d``, ``_r``, ``_no``, ``class_id`` (root of its
     component, a line hash) and ``kept``.  ``only_classes`` leaves out lines that are
     their class's only place."""
-    nodes, found = classes(docs, text, doc_id, threshold)
+    occ = occurrences(docs, text, doc_id)
+    nodes, found = classes(docs, occ, text, doc_id, threshold)
     named = nodes.join(found, "_h", "left").select("_h", "_place", "_copies", F.coalesce("_root", "_h").alias("_root"))
     firsts = named.groupBy("_root").agg(F.min("_place").alias("_first"), F.sum("_copies").alias("_places"))
     known = named.join(firsts if not only_classes else firsts.filter("_places > 1"), "_root").select("_h", "_root", "_first")
     known = saved(known, "line-named")
-    rows = lines_of(docs, text, doc_id).select("_h", "_d", "_r", "_no").join(known, "_h")
-    return rows.select("_d", "_r", "_no", F.col("_root").alias("class_id"), (_place() == F.col("_first")).alias("kept"))
+    rows = occ.select("_h", "_d", "_r", "_no").join(known, "_h")
+    rows = saved(rows.select("_d", "_r", "_no", F.col("_root").alias("class_id"), (_place() == F.col("_first")).alias("kept")), "line-places")
+    discard(occ, nodes, known)
+    return rows
 
 
 def _gone(found: DataFrame) -> DataFrame:
@@ -302,7 +332,7 @@ def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
     rows = docs.select(F.col("doc_id").alias("_d"), F.xxhash64(whole_text()).alias("_r"), F.size(lines).cast("long").alias("_n"))
     counted = rows.groupBy("_d", "_r").agg(F.count(F.lit(1)).alias("_m"), F.first("_n").alias("_n"))
     counted = saved(counted, "line-documents")
-    found = saved(places(docs, only_classes=True), "line-places")
+    found = places(docs, only_classes=True)
     none = F.array().cast("array<struct<line_no:int,class_id:bigint>>")
     # Rows after the first of equal ones lose every line; all their lines are in a class of several places.
     again = counted.filter("_m > 1").select("_d", "_r")
