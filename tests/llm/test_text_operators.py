@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -478,6 +479,78 @@ def test_main_text_ratios_decide_inside_main():
     assert main_text.main_text('<body><main><p>See <a href="x">this page</a>, it has more of all that, and more.</p></main></body>') == "See this page, it has more of all that, and more."
 
 
+COMMENTS = ["comment-body", "post-comments", "user-comments", "reader-comments", "comment-thread", "discussion", "responses", "comments", "comment-list"]
+
+
+def test_main_text_leaves_out_comments_and_teasers():
+    long = "".join(f"<p>Paragraph {i} of the article, with words, and commas, and more. It goes on, and on, for a while, and still on.</p>" for i in range(6))
+    want = re.sub("</?p>", "\n", long).replace("\n\n", "\n").strip()
+    said = "".join(f"<p>I think, therefore, I comment, a lot, and at length, about it all, number {i}.</p>" for i in range(4))
+    for name in [*COMMENTS, "cookie-message", "more-stories"]:
+        for each in (f'<div class="{name}">{said}</div>', "".join(f'<div class="{name}"><p>{x}</p></div>' for x in said.replace("</p>", "").split("<p>")[1:])):
+            assert main_text.main_text(f"<body><article>{long}</article>{each}</body>") == want, name
+            assert main_text.main_text(f'<body><div class="story">{long}</div>{each}</body>') == want, name
+    for each in (f'<div class="zzz">{said}</div>', f"<section><h3>What others say</h3>{said}</section>"):  # no name gives them away
+        assert main_text.main_text(f"<body><main><article>{long}</article></main>{each}</body>") == want
+    items = "".join(f'<div class="u"><span>Reader {i}</span><p>I think, therefore, I say a lot, and at length, about it all, number {i}.</p></div>' for i in range(4))
+    assert main_text.main_text(f'<body><div class="story">{long}</div><div>{items}</div></body>') == want
+    wp = "".join(f'<li><article class="comment-body"><p>I think, therefore, I comment, a lot, and at length, number {i}.</p></article></li>' for i in range(4))
+    assert main_text.main_text(f"<body><article>{long}</article><ol>{wp}</ol></body>") == want
+
+
+def test_main_text_keeps_the_article_whole():
+    part = lambda i: f"<p>Paragraph {i} of the article, with words, and commas, and more. It goes on, and on, for a while, and still on.</p>"
+    want = lambda n: "\n".join(re.sub("<[^>]*>", "", part(i)) for i in range(n))
+    long = "".join(map(part, range(6)))
+    assert main_text.main_text(f'<body><div class="post"><div class="post-header"><h1>Title</h1></div>{long}</div></body>') == "Title\n" + want(6)
+    sections = "".join(f"<section><h2>Part {i}</h2>{part(i)}</section>" for i in range(5))
+    assert main_text.main_text(f'<body><div id="content">{sections}</div></body>') == "\n".join(f"Part {i}\n{re.sub('<[^>]*>', '', part(i))}" for i in range(5))
+    figure = "<figure><img src=x><figcaption>A picture of it, in colour.</figcaption></figure>"
+    assert main_text.main_text(f"<body><article>{part(0)}{figure}{part(1)}</article></body>").split("\n")[1] == "A picture of it, in colour."
+    menu = '<ul><li><a href="a">One</a></li><li><a href="b">Two</a></li></ul>'
+    for tag in ("form", "fieldset", "label", "dialog"):
+        assert main_text.main_text(f'<body><{tag} action="x"><nav>{menu}</nav><article>{long}</article><input><button>Go</button></{tag}></body>') == want(6)
+        assert main_text.main_text(f'<body><{tag} id="aspnetForm"><div>{long}</div><button>Go</button></{tag}></body>') == want(6)
+        own = f"<{tag}>Your name, your mail, and what you want to tell us, please. <button>Send</button></{tag}>"
+        assert main_text.main_text(f"<body><article>{long}{own}</article></body>") == want(6)
+
+
+def test_main_text_ids_make_no_paths_of_their_own():
+    import time
+
+    text = "Paragraph of the article, with words, and commas, and more. It goes on, and on, for a while, and still on."
+    page = "<body><article>" + "".join(f'<p id="p{i}" class="c{i}">{text}</p>' for i in range(4000)) + "</article></body>"
+    start = time.process_time()
+    assert main_text.main_text(page) == "\n".join([text] * 4000)
+    assert time.process_time() - start < 2
+    letters = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    many = "<body><article>" + "".join(f'<div class="{letters(i)}"><p>{text}</p></div>' for i in range(4000)) + "</article></body>"
+    start = time.process_time()
+    assert main_text.main_text(many) == "\n".join([text] * 4000)
+    assert time.process_time() - start < 6
+
+
+def test_main_text_smoothing_equals_brute_force():
+    import math
+
+    rnd = random.Random(11)
+    paths = list({tuple(rnd.choice("abc") for _ in range(rnd.randint(0, 9))) for _ in range(300)})
+    count = [rnd.randint(1, 9) for _ in paths]
+    fused = {p: rnd.random() * 100 for p in range(len(paths)) if rnd.random() < 0.9}
+    got = main_text.smoothed(paths, count, fused)
+    for p in fused:
+        total = value = 0.0
+        for q in fused:
+            same = 0
+            while same < min(len(paths[p]), len(paths[q])) and paths[p][same] == paths[q][same]:
+                same += 1
+            steps = len(paths[p]) + len(paths[q]) - 2 * same
+            if steps <= main_text.REACH:
+                w = math.exp(-steps ** 2 / 2) * count[q]
+                total, value = total + w, value + w * fused[q]
+        assert abs(got[p] - value / total) < 1e-9
+
+
 def test_license_labels_need_what_sets_a_licence_apart():
     found = license_scan.Automaton(license_scan.TEMPLATES, license_scan.PHRASES)
     labels = lambda text: {x[0] for x in found.scan(text)[2]}
