@@ -8,7 +8,7 @@ rows each column has lost, in one pass.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,11 +22,16 @@ def check_policy(policy: str) -> str:
     return policy
 
 
-def guarded(value: Column, bad: Column, column: str, policy: str) -> Column:
-    """``value``, or under ``error`` a failure where ``bad`` holds."""
-    if policy != "error":
-        return value
-    return F.when(bad, F.raise_error(F.lit(f"invalid value in column {column}"))).otherwise(value)
+def failing(df: DataFrame, bad: Mapping[str, Column]) -> DataFrame:
+    """The rows, or a failure that names the column where one of ``bad`` holds.
+
+    The check is a filter, so that no action can do without it: a projection of
+    other columns, or a count, fails as well."""
+    check = F.lit(True)
+    for column, wrong in bad.items():
+        error = F.raise_error(F.lit(f"invalid value in column {column}")).cast("boolean")
+        check = F.when(F.coalesce(wrong, F.lit(False)), error).otherwise(check)
+    return df.filter(check)
 
 
 def apply_policy(df: DataFrame, columns: Sequence[str], policy: str) -> DataFrame:
@@ -35,7 +40,7 @@ def apply_policy(df: DataFrame, columns: Sequence[str], policy: str) -> DataFram
         return df.dropna(subset=list(columns))
     if policy == "keep":
         return df
-    return df.withColumns({c: guarded(F.col(c), F.col(c).isNull(), c, policy) for c in columns})
+    return failing(df, {c: F.col(c).isNull() for c in columns})
 
 
 def count_invalid(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from clickpipe.sources.invalid import apply_policy, check_policy, guarded
+from clickpipe.sources.inference import infer_types, with_types
+from clickpipe.sources.invalid import apply_policy, check_policy, failing
 from clickpipe.sources.schemas import SCHEMAS
 
 PANDAS_INDEX_COLUMN = "_c0"
@@ -31,11 +32,13 @@ def conform(df: DataFrame, schema: StructType, invalid: str = "keep") -> DataFra
     ``invalid`` is the policy for malformed values and for nulls in columns that
     the schema declares as not null."""
     check_policy(invalid)
-    out = []
-    for f in schema.fields:
-        value = F.col(f.name).try_cast(f.dataType)
-        bad = value.isNull() if not f.nullable else value.isNull() & F.col(f.name).isNotNull()
-        out.append(guarded(value, bad, f.name, invalid).alias(f.name))
+    out = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    if invalid == "error":
+        bad = {}
+        for f in schema.fields:
+            empty = F.col(f.name).try_cast(f.dataType).isNull()
+            bad[f.name] = empty if not f.nullable else empty & F.col(f.name).isNotNull()
+        return failing(df, bad).select(out)
     if invalid == "skip":
         malformed = [F.col(f.name).try_cast(f.dataType).isNull() & F.col(f.name).isNotNull() for f in schema.fields]
         df = df.filter(~reduce(lambda a, b: a | b, malformed))
@@ -57,18 +60,21 @@ def read_csv(spark: SparkSession, path: str | Sequence[str],
 
     ``path`` is one path or several; several are read each by its own header and
     united by column name.  With ``schema`` the columns are matched by name and
-    converted (see ``conform``); with ``infer_schema=True`` Spark samples the
-    files for types (one extra pass, as in the original job).  A pandas index
-    column is dropped.
+    converted (see ``conform``); with ``infer_schema=True`` one more pass over all
+    paths together finds the types (``sources.inference``), so paths that disagree
+    get their common type; a column that a path lacks is null there.  A pandas
+    index column is dropped.
     """
+    inferred = schema is None and infer_schema
+
     def one(p: str) -> DataFrame:
-        if schema is None and infer_schema:
-            df = spark.read.option("header", True).option("inferSchema", True).csv(p)
-        else:
-            df = _read_strings(spark, p)
+        df = _read_strings(spark, p)
         return df.drop(PANDAS_INDEX_COLUMN) if PANDAS_INDEX_COLUMN in df.columns else df
 
-    df = reduce(lambda a, b: a.unionByName(b), [one(p) for p in ([path] if isinstance(path, str) else path)])
+    parts = [one(p) for p in ([path] if isinstance(path, str) else path)]
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=inferred), parts)
+    if inferred:
+        return with_types(df, infer_types(df))
     return df if schema is None else conform(df, schema, invalid)
 
 
@@ -78,18 +84,22 @@ def read_catalog(spark: SparkSession, name: str) -> DataFrame:
 
 
 def load_table(spark: SparkSession, name: str, source: str = "catalog",
-               path: str | None = None, table: str | None = None,
-               schema: StructType | None = None, invalid: str = "keep") -> DataFrame:
+               path: str | Sequence[str] | None = None, table: str | None = None,
+               schema: StructType | None = None, invalid: str = "keep",
+               infer_schema: bool = False) -> DataFrame:
     """S3: load one of the three inputs from CSV, parquet or the catalog.
 
     ``name`` is the logical table (``event``, ``train``, ``promoted_content``)
     and selects the declared schema; ``table``/``path`` say where it lives;
-    ``invalid`` is the policy for malformed or missing values.
+    ``invalid`` is the policy for malformed or missing values.  ``infer_schema``
+    (CSV only) takes the types from the files in place of the declared schema.
     """
     schema = schema or SCHEMAS.get(name)
     if source == "csv":
         if path is None:
             raise ValueError("csv source needs a path")
+        if infer_schema:
+            return read_csv(spark, path, infer_schema=True)
         return read_csv(spark, path, schema=schema, invalid=invalid)
     if source == "parquet":
         if path is None:

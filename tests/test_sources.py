@@ -103,3 +103,45 @@ def test_csv_headers_and_invalid_policy(spark, tmp_path):
     (tmp_path / "a" / "z.csv").write_text("display_id,ad_id,clicked\n1,2,0\n")
     with pytest.raises(Exception):
         read_csv(spark, both[0], schema=TRAIN_SCHEMA).collect()
+
+
+def test_inferred_types_over_paths_that_disagree(spark, tmp_path):
+    from clickpipe.sources.inference import infer_types
+
+    files = {"a": "id,n,big,x,t\n1,7,1,1.5,a\n2,,2147483648,2,b\n", "b": ",id,n,big,x,t\n0,x3,8,3,1e3,\n1,4,+9,4,,\n", "c": "id,only\n5,\n"}
+    for name, lines in files.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "f.csv").write_text(lines)
+    paths = [str(tmp_path / c) for c in files]
+    df = read_csv(spark, paths, infer_schema=True)
+    assert dict(df.dtypes) == {"id": "string", "n": "int", "big": "bigint", "x": "double", "t": "string", "only": "string"}
+    assert {(r.id, r.n, r.big, r.x, r.t) for r in df.collect()} == {
+        ("1", 7, 1, 1.5, "a"), ("2", None, 2147483648, 2.0, "b"), ("x3", 8, 3, 1000.0, None), ("4", 9, 4, None, None), ("5", None, None, None, None)}
+    assert load_table(spark, "any", source="csv", path=paths, infer_schema=True).schema == df.schema
+    odd = spark.createDataFrame([("1.", "NaN", "1d", " 12 ", "9" * 30)], "a string, b string, c string, d string, e string")
+    assert [t.simpleString() for t in infer_types(odd).values()] == ["double", "string", "string", "int", "double"]
+
+
+def test_error_policy_fails_on_any_action(spark, tmp_path):
+    (tmp_path / "clicks.csv").write_text("display_id,ad_id,clicked\n1,5,1\n2,6,n/a\n3,7,0\n")
+    df = read_csv(spark, str(tmp_path / "clicks.csv"), schema=TRAIN_SCHEMA, invalid="error")
+    for action in (lambda: df.count(), lambda: df.select("display_id").collect(), lambda: df.filter("ad_id = 6").count(),
+                   lambda: df.agg(F.max("ad_id")).collect()):
+        with pytest.raises(Exception, match="invalid value in column clicked"):
+            action()
+
+
+def test_quarantine_counts_every_row(spark, tmp_path):
+    from clickpipe.sources.quarantine import quarantine, read_quarantine
+
+    raw = spark.createDataFrame([("1", "5", "1", "x"), ("2", None, "n/a", "y"), ("z", "6", "0", None), ("4", "7", "1", "q")],
+                                "display_id string, ad_id string, clicked string, extra string")
+    path = str(tmp_path / "q")
+    first = quarantine(raw, TRAIN_SCHEMA, path, batch="one")
+    assert {tuple(r) for r in first.accepted.collect()} == {(1, 5, 1, "one"), (4, 7, 1, "one")}
+    assert {(r.raw_display_id, r["column"], r.value, r.reason) for r in first.reasons().collect()} == {
+        ("2", "ad_id", None, "missing"), ("2", "clicked", "n/a", "malformed"), ("z", "display_id", "z", "malformed")}
+    quarantine(raw.filter("extra = 'x'"), TRAIN_SCHEMA, path, batch="two")
+    found = read_quarantine(spark, TRAIN_SCHEMA, path)
+    assert {tuple(r) for r in found.counts().collect()} == {("one", 4, 2, 2), ("two", 1, 1, 0)}
+    assert found.accepted.schema.fieldNames() == [*TRAIN_SCHEMA.names, "batch"]
