@@ -22,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickpipe.operators.hot_keys import hot_keys, join_hot, key_sketch
 from clickpipe.sources.invalid import apply_policy
 
 # The feature columns, in order, and the label's name.
@@ -30,35 +31,48 @@ LABEL = "label"
 TRUE_LABEL = "trueLabel"
 
 
+def _join(big: DataFrame, small: DataFrame, key: str, hot_share: float | None) -> DataFrame:
+    if hot_share is None:
+        return big.join(small, key, "inner")
+    return join_hot(big, small, key, hot_keys(key_sketch(big, key), hot_share))
+
+
 def join_impressions_clicks(event: DataFrame, train: DataFrame,
-                            keep_ad: bool = False) -> DataFrame:
+                            keep_ad: bool = False, hot_share: float | None = None) -> DataFrame:
     """``event`` join ``train`` on display_id.
 
     The original job drops ``train.ad_id`` here (``keep_ad=False``); the
-    corrected variant keeps it so the shown ad can be joined (J3).
+    corrected variant keeps it so the shown ad can be joined (J3).  With
+    ``hot_share`` the displays that hold such a share of the clicks are salted
+    (``operators.hot_keys``; one job finds them).
     """
     clicks = train.select("display_id", "clicked", *(["ad_id"] if keep_ad else []))
-    return event.join(clicks, "display_id", "inner")
+    columns = [*event.columns, *[c for c in clicks.columns if c != "display_id"]]
+    if hot_share is None:
+        return event.join(clicks, "display_id", "inner")
+    return _join(clicks, event, "display_id", hot_share).select(columns)
 
 
-def join_ads_by_document(data1: DataFrame, promoted_content: DataFrame) -> DataFrame:
+def join_ads_by_document(data1: DataFrame, promoted_content: DataFrame,
+                         hot_share: float | None = None) -> DataFrame:
     """Attach every ad whose landing document is the page's document.
 
     This reproduces the original job: each click label is copied onto all
-    ads of the page's document (fan-out = ads per document).
+    ads of the page's document (fan-out = ads per document).  ``hot_share`` as in J1.
     """
     ads = promoted_content.select("ad_id", "document_id", "campaign_id", "advertiser_id")
-    return data1.join(ads, "document_id", "inner")
+    return _join(data1, ads, "document_id", hot_share)
 
 
-def join_ads_by_ad(data1: DataFrame, promoted_content: DataFrame) -> DataFrame:
+def join_ads_by_ad(data1: DataFrame, promoted_content: DataFrame,
+                   hot_share: float | None = None) -> DataFrame:
     """Attach the attributes of the ad that was shown (no fan-out).
 
     ``data1`` must come from ``join_impressions_clicks(..., keep_ad=True)``.
     ``document_id`` stays the page's document.
     """
     ads = promoted_content.select("ad_id", "campaign_id", "advertiser_id")
-    return data1.join(ads, "ad_id", "inner")
+    return _join(data1, ads, "ad_id", hot_share)
 
 
 def feature_table(joined: DataFrame, cast: bool = True,
@@ -70,16 +84,18 @@ def feature_table(joined: DataFrame, cast: bool = True,
 
 def labelled_data(event: DataFrame, train: DataFrame, promoted_content: DataFrame,
                   join_on: str = "document", cast: bool = True,
-                  invalid: str = "keep") -> DataFrame:
+                  invalid: str = "keep", hot_share: float | None = None) -> DataFrame:
     """J1 + J2/J3 + R2/R3: the labelled feature table ``data``.
 
     ``invalid`` says what becomes of rows with a null feature or label
-    (``error``, ``skip`` or ``keep``, see ``sources.invalid``)."""
+    (``error``, ``skip`` or ``keep``, see ``sources.invalid``); ``hot_share`` salts
+    the join keys that hold such a share of the rows."""
     if join_on == "document":
-        joined = join_ads_by_document(join_impressions_clicks(event, train), promoted_content)
+        clicks = join_impressions_clicks(event, train, hot_share=hot_share)
+        joined = join_ads_by_document(clicks, promoted_content, hot_share)
     elif join_on == "ad":
-        joined = join_ads_by_ad(join_impressions_clicks(event, train, keep_ad=True),
-                                promoted_content)
+        clicks = join_impressions_clicks(event, train, keep_ad=True, hot_share=hot_share)
+        joined = join_ads_by_ad(clicks, promoted_content, hot_share)
     else:
         raise ValueError(f"join_on must be 'document' or 'ad', not {join_on!r}")
     return apply_policy(feature_table(joined, cast=cast), [*FEATURES, LABEL], invalid)
