@@ -10,6 +10,7 @@ rank-sum computation.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import vector_to_array
@@ -138,6 +139,8 @@ def auc_roc(pred: DataFrame, score_col: str = "score", label_col: str = TRUE_LAB
     scores = (pred.filter(F.col(score_col).isNotNull() & y.isNotNull())
               .groupBy(F.col(score_col).cast("double").alias("s"))
               .agg(count(y == 1).alias("pos"), count(y == 0).alias("neg")))
+    ensure_checkpoint_dir(pred.sparkSession)
+    scores = scores.checkpoint(eager=True)  # read for the count, the quantiles and the ranking
     distinct = scores.count()
     n_buckets = max(1, math.ceil(distinct / target_bucket_rows))
     if n_buckets == 1:
@@ -162,6 +165,70 @@ def auc_roc(pred: DataFrame, score_col: str = "score", label_col: str = TRUE_LAB
     return ranked.agg(F.try_divide(num, den).alias("auc"))
 
 
+def auc_by_group(pred: DataFrame, keys: Sequence[str], score_col: str = "score",
+                 label_col: str = TRUE_LABEL, target_bucket_rows: int = 1 << 18) -> DataFrame:
+    """E4 for many groups at once: ``(*keys, auc)``, exact, from one rank-sum.
+
+    As ``auc_roc``, with the running totals kept apart by group.  Each group's distinct
+    scores are cut at its own quantiles (a mergeable sketch per group), so that no window
+    holds more than about ``target_bucket_rows`` of them; the driver sees one number,
+    the size of the largest group.  The grouped scores are written once and read three times.
+    """
+    keys = list(keys)
+    ensure_checkpoint_dir(pred.sparkSession)
+    y = F.col(label_col)
+    w = F.col(WEIGHT) if WEIGHT in pred.columns else F.lit(1).cast("long")
+    count = lambda c: F.coalesce(F.sum(F.when(c, w)), F.lit(0).cast("long"))
+    scores = (pred.filter(F.col(score_col).isNotNull() & y.isNotNull())
+              .groupBy(*keys, F.col(score_col).cast("double").alias("s"))
+              .agg(count(y == 1).alias("pos"), count(y == 0).alias("neg"))).checkpoint(eager=True)
+    sizes = scores.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.agg(F.max("n")).first()[0] or 0
+    n_buckets = max(1, math.ceil(largest / target_bucket_rows))
+    bucketed = scores.withColumn("b", F.lit(0))
+    if n_buckets > 1:
+        probs = [i / n_buckets for i in range(1, n_buckets)]
+        cuts = scores.groupBy(*keys).agg(F.percentile_approx("s", probs, 4 * n_buckets).alias("_cuts"))
+        bucketed = (scores.join(cuts, keys)
+                    .withColumn("b", F.size(F.filter("_cuts", lambda c: c < F.col("s")))).drop("_cuts"))
+    totals = bucketed.groupBy(*keys, "b").agg(F.sum("neg").alias("bneg"))
+    before = Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, "b", F.coalesce(F.sum("bneg").over(before), F.lit(0)).alias("off"))
+    within = Window.partitionBy(*keys, "b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (bucketed.join(offsets, [*keys, "b"])
+              .withColumn("neg_below", F.col("off") + F.coalesce(F.sum("neg").over(within), F.lit(0))))
+    num = F.sum(F.col("pos") * (F.col("neg_below") + F.lit(0.5) * F.col("neg")))
+    den = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    return ranked.groupBy(*keys).agg(F.try_divide(num, den).alias("auc"))
+
+
+def metrics_by_group(pred: DataFrame, keys: Sequence[str], label_col: str = TRUE_LABEL,
+                     prediction_col: str = PREDICTION) -> DataFrame:
+    """A1, A2, E1-E3 and E5 for many groups of predictions at once, from one aggregate:
+    ``(*keys, n, accuracy, test_error, precision, recall, f1, rmse)``."""
+    p, y = F.col(prediction_col), F.col(label_col)
+    w = F.col(WEIGHT) if WEIGHT in pred.columns else F.lit(1).cast("long")
+    count = lambda c: F.coalesce(F.sum(F.when(c, w)), F.lit(0).cast("long"))
+    gap = p.cast("double") - y.cast("double")
+    c = pred.filter(p.isNotNull() & y.isNotNull()).groupBy(*keys).agg(
+        count((p == 1.0) & (y == 1)).alias("tp"), count((p == 1.0) & (y == 0)).alias("fp"),
+        count((p == 0.0) & (y == 0)).alias("tn"), count((p == 0.0) & (y == 1)).alias("fn"),
+        count(p == y).alias("correct"), count(F.lit(True)).alias("n"), F.sum(gap * gap * w).alias("squares"))
+    return c.select(*keys, "n", *_rates())
+
+
+def _rates() -> list[Column]:
+    """The rates of confusion counts, as in ``classification_metrics``, and the RMSE."""
+    tp, fp, tn, fn, n = (F.col(x) for x in ("tp", "fp", "tn", "fn", "n"))
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    positive = _f1(zero(_safe_div(tp, tp + fp)), zero(_safe_div(tp, tp + fn)))
+    negative = _f1(zero(_safe_div(tn, tn + fn)), zero(_safe_div(tn, tn + fp)))
+    accuracy = _safe_div(F.col("correct"), n)
+    f1 = _safe_div(positive * (tp + fn).cast("double"), n) + _safe_div(negative * (tn + fp).cast("double"), n)
+    return [accuracy.alias("accuracy"), (F.lit(1.0) - accuracy).alias("test_error"), _safe_div(tp, tp + fp).alias("precision"),
+            _safe_div(tp, tp + fn).alias("recall"), f1.alias("f1"), F.sqrt(F.col("squares") / n).alias("rmse")]
+
+
 def rmse(pred: DataFrame, label_col: str = "label", prediction_col: str = PREDICTION) -> DataFrame:
     """E5: root mean squared error of the prediction, one row ``(rmse)``."""
     d = F.col(prediction_col).cast("double") - F.col(label_col).cast("double")

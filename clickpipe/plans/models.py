@@ -13,10 +13,14 @@ values need fewer passes over the data.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
-                                       LogisticRegression, RandomForestClassifier)
+                                       LogisticRegression, MultilayerPerceptronClassifier,
+                                       RandomForestClassifier)
 
 from clickpipe.operators.assemble import LABEL
+from clickpipe.plans.closed_form import GroupedNaiveBayes, NormalEquations
 from clickpipe.plans.features import FEATURE_VECTOR
 
 # The original learner parameters.
@@ -26,6 +30,10 @@ LR_PARAMS = {"maxIter": 10, "regParam": 0.3}
 RF_PARAMS = {"impurity": "gini", "featureSubsetStrategy": "auto", "numTrees": 10,
              "maxDepth": 30, "maxBins": 128, "seed": 1234}
 
+# Six features, one hidden layer, two classes.
+MLP_LAYERS = (6, 8, 2)
+MLP_PARAMS = {"maxIter": 200, "blockSize": 128, "tol": 1e-6}
+
 TREE_MEMORY_MB = 32
 TREE_SCALE = {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": TREE_MEMORY_MB}
 
@@ -58,11 +66,35 @@ def random_forest(label_col: str = LABEL, features_col: str = FEATURE_VECTOR, **
     return RandomForestClassifier(**_common(label_col, features_col), **params)
 
 
+def naive_bayes(label_col: str = LABEL, features_col: str = FEATURE_VECTOR, **overrides):
+    """Gaussian or multinomial naive Bayes from one grouped aggregate."""
+    return GroupedNaiveBayes(**_common(label_col, features_col), **overrides)
+
+
+def linear_regression(label_col: str = LABEL, features_col: str = FEATURE_VECTOR, **overrides):
+    """Least squares from one Gramian aggregate."""
+    return NormalEquations(**_common(label_col, features_col), **overrides)
+
+
+def multilayer_perceptron(label_col: str = LABEL, features_col: str = FEATURE_VECTOR,
+                          layers: Sequence[int] = MLP_LAYERS, seed: int = 1234, **overrides):
+    """Layered learner: ``layers`` from the features to the classes.
+
+    Its gradient is a sum over blocks of ``blockSize`` rows of a partition, and its
+    first weights are drawn from ``seed``; on the prepared training input (dealt and
+    sorted by content) one seed is one model."""
+    return MultilayerPerceptronClassifier(**_common(label_col, features_col), layers=list(layers),
+                                          seed=seed, **{**MLP_PARAMS, **overrides})
+
+
 LEARNERS = {
     "dt": decision_tree,
     "gbt": gradient_boosted_trees,
     "lr": logistic_regression,
     "rf": random_forest,
+    "nb": naive_bayes,
+    "linear": linear_regression,
+    "mlp": multilayer_perceptron,
 }
 
 
