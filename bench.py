@@ -35,7 +35,7 @@ from clickpipe.sources.fixtures import fixture_tables  # noqa: E402
 
 # The forest's histogram budget is part of its model (see plans/models.py); the
 # bench states its own, so that a level of a deep tree needs few passes.
-TREE_MEMORY = {"maxMemoryInMB": int(os.environ.get("BENCH_TREE_MEMORY_MB", "256"))}
+TREE_MEMORY = {"maxMemoryInMB": int(os.environ.get("BENCH_TREE_MEMORY_MB", "512"))}
 
 
 def _learner(name, **params):

@@ -61,26 +61,35 @@ def prepare(tables: Mapping[str, DataFrame], join_on: str = "document", cast: bo
 
 # Bytes per training row as cached: six double features and the label.
 TRAIN_ROW_BYTES = 64
-ROWS_PER_PARTITION = 1 << 16
+# A small input is cut finely, so that several cores share it; each further partition sends a
+# whole histogram for every group of nodes, so larger ones hold more rows.
+FEW_PARTITIONS = 8
+FEW_ROWS = 1 << 16
+ROWS_PER_PARTITION = 1 << 18
 SMALL_PARTITIONS = 256
 TARGET_PARTITION_BYTES = 512 << 20
 
 
 def training_partitions(rows: int) -> int:
-    """Partitions of a training input: one per ``ROWS_PER_PARTITION`` rows up to
-    ``SMALL_PARTITIONS``, and beyond as many as hold 512 MB each.  A function of the
-    data alone: the learners' sums and draws go by partition."""
+    """Partitions of a training input: one per ``FEW_ROWS`` rows up to ``FEW_PARTITIONS``, one per
+    ``ROWS_PER_PARTITION`` up to ``SMALL_PARTITIONS``, and beyond as many as hold 512 MB each.
+    A function of the data alone: the learners' sums and draws go by partition."""
+    few = min(FEW_PARTITIONS, math.ceil(rows / FEW_ROWS))
     by_rows = min(SMALL_PARTITIONS, math.ceil(rows / ROWS_PER_PARTITION))
-    return max(1, by_rows, math.ceil(rows * TRAIN_ROW_BYTES / TARGET_PARTITION_BYTES))
+    return max(1, few, by_rows, math.ceil(rows * TRAIN_ROW_BYTES / TARGET_PARTITION_BYTES))
 
 
-def placed(train: DataFrame, partitions: int) -> DataFrame:
-    """The rows dealt by their content and sorted, the same on any cluster.
+def counted_rows(train: DataFrame) -> DataFrame:
+    """Distinct rows with their number ``_copies``, combined on the map side."""
+    return train.groupBy(*train.columns).agg(F.count(F.lit(1)).alias("_copies"))
 
-    Equal rows are counted first and numbered, so that a row that makes up a
-    large part of the input is spread like any other."""
-    columns = train.columns
-    counted = train.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+
+def placed(counted: DataFrame, partitions: int) -> DataFrame:
+    """The counted rows dealt by their content and sorted, the same on any cluster.
+
+    Equal rows are numbered, so that a row that makes up a large part of the input
+    is spread like any other."""
+    columns = [c for c in counted.columns if c != "_copies"]
     numbered = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
     return (numbered.repartition(partitions, *columns, "_copy")
             .sortWithinPartitions(*columns, "_copy").select(*columns))
@@ -96,12 +105,22 @@ def training_input(train: DataFrame, partitions: int | None = None, max_fit_rows
     depend on the session, so one seed means one model.  ``max_fit_rows``
     bounds the rows of the fit (an exact sample by content; default: all rows):
     tree models live on the driver and grow with their input.
+
+    The joins behind ``train`` run once: their grouped rows are cached, counted, and
+    let go when the placed rows are cached in turn.
     """
-    rows = train.count()
-    if max_fit_rows is not None and rows > max_fit_rows:
-        train = exact_n_sample(train, max_fit_rows / rows, seed=seed)
-        rows = max_fit_rows
-    data = placed(train, partitions or training_partitions(rows)).persist(StorageLevel.MEMORY_AND_DISK)
+    counted = counted_rows(train).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = counted.agg(F.sum("_copies")).first()[0] or 0
+        if max_fit_rows is not None and rows > max_fit_rows:
+            train = exact_n_sample(train, max_fit_rows / rows, seed=seed)
+            rows, source = max_fit_rows, counted_rows(train)
+        else:
+            source = counted
+        data = placed(source, partitions or training_partitions(rows)).persist(StorageLevel.MEMORY_AND_DISK)
+        data.count()
+    finally:
+        counted.unpersist()
     try:
         yield data
     finally:
