@@ -336,7 +336,7 @@ def q_lr_auc(spark, sf_dir):
     return auc_roc(_fit(spark, sf_dir, "lr"))
 
 
-def q_cv_grid(spark, sf_dir):
+def q_cv_grid_lr(spark, sf_dir):
     s = prepare(fixture_tables(spark, sf_dir))
     lr = logistic_regression()
     grid = lr_param_grid(lr)
@@ -415,7 +415,7 @@ QUERIES: dict[str, Query] = {
     "lr_auc": q_lr_auc,
     "show_predictions": q_show_predictions,
     "lr_evaluation": q_lr_evaluation,
-    "cv_grid": q_cv_grid,
+    "cv_grid_lr": q_cv_grid_lr,
     "cv_grid_rmse": q_cv_grid_rmse,
     "model_comparison_stumps": q_model_comparison_stumps,
     "cv_rmse_predict": q_cv_rmse_predict,

@@ -2,7 +2,9 @@
 
 import pytest
 
-from clickpipe.plans.registry import QUERIES
+from clickpipe.plans import more_queries, registry
+
+QUERIES = registry.QUERIES | more_queries.QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
