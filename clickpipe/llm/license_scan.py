@@ -144,6 +144,37 @@ TEMPLATES = {
     ),
 }
 
+# Notices that differ by name and version only.
+_GNU = {"gpl": ("program", "GNU General Public License", ("2", "3")), "lgpl": ("library", "GNU Lesser General Public License", ("2.1", "3")),
+        "agpl": ("program", "GNU Affero General Public License", ("3",))}
+_CREATIVE = {"cc-by": "Attribution", "cc-by-nc": "Attribution NonCommercial", "cc-by-sa": "Attribution ShareAlike", "cc-by-nd": "Attribution NoDerivatives",
+             "cc-by-nc-sa": "Attribution NonCommercial ShareAlike", "cc-by-nc-nd": "Attribution NonCommercial NoDerivatives"}
+_TAGS = {"apache": ("Apache-2.0",), "bsd": ("BSD-2-Clause", "BSD-3-Clause"), "cc0": ("CC0-1.0",), "epl": ("EPL-1.0", "EPL-2.0"), "isc": ("ISC",), "mit": ("MIT",),
+         "mpl": ("MPL-1.1", "MPL-2.0"), "unlicense": ("Unlicense",), "gpl": ("GPL-2.0", "GPL-3.0"), "lgpl": ("LGPL-2.1", "LGPL-3.0"), "agpl": ("AGPL-3.0",)}
+_MORE: dict[str, list[str]] = {label: [f"SPDX-License-Identifier: {tag}" for tag in tags] for label, tags in _TAGS.items()}
+for _label, (_what, _name, _versions) in _GNU.items():
+    for _version in _versions:
+        _MORE[_label].append(f"This {_what} is free software; you can redistribute it and/or modify it under the terms of the {_name} as published by the Free "
+                             f"Software Foundation; either version {_version} of the License, or (at your option) any later version.")
+    _MORE[_label].append(f"This {_what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+                         f"MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {_name} for more details.")
+for _label, _name in _CREATIVE.items():
+    _MORE[_label] = [f"This work is licensed under a Creative Commons {_name} {v} License" for v in ("3.0 Unported", "4.0 International")]
+# Openings and grants of the long licence texts.
+_MORE["gpl"] += [
+    "The GNU General Public License is a free, copyleft license for software and other kinds of works.",
+    "The licenses for most software are designed to take away your freedom to share and change it. By contrast, the GNU General Public License is intended "
+    "to guarantee your freedom to share and change free software--to make sure the software is free for all its users.",
+]
+_MORE["apache"] += [
+    "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, "
+    "irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such "
+    "Derivative Works in Source or Object form.",
+    "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, "
+    "irrevocable (except as stated in this section) patent license to make, have made, use, offer to sell, sell, import, and otherwise transfer the Work",
+]
+TEMPLATES = {label: (*TEMPLATES.get(label, ()), *_MORE.get(label, ())) for label in sorted({*TEMPLATES, *_MORE})}
+
 
 def words(text: str | None) -> list[bytes]:
     return WORD.findall(text.encode("utf-8").lower()) if text else []

@@ -14,10 +14,12 @@ are taken as long as their prefix sum of sizes comes nearer to the remainder,
 so that whole documents are taken and a source ends within half a document of
 its target.
 
-Prefix sums never gather a source in one task: the keys are cut into
-``buckets`` equal ranges of ``1 - exp(-key)``, sizes are added up per (source,
-bucket), and only the bucket where the remainder ends is sorted, one per
-source.  The number of buckets follows the number of rows (``ROWS_A_BUCKET``).
+The last document is the one of those left that is nearest in size to what is still
+open, where that brings the source nearer to its target; all others follow the keys.
+
+Prefix sums never gather a source in one task: the keys' leading bits number
+buckets, sizes are added up per (source, bucket), and the bucket where the remainder
+ends is cut again until it holds at most ``EDGE_ROWS`` rows; only that one is sorted.
 
 Defined cases: null text has size 0; null sources form one source; size 0 is
 taken 0 words; a source whose documents have no words gets target 0; an empty
@@ -39,7 +41,10 @@ from clickpipe.llm.common import read_table, saved, tucked, untucked, whole_text
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
 MOST = 2.0
-ROWS_A_BUCKET = 1_000
+#: A key's place key / (1 + key) in bits, how many of them a round adds, and the rows sorted at most
+#: (more only where so many keys are equal).
+KEY_BITS, DIGIT_BITS = 50, 10
+EDGE_ROWS = 20_000
 MADE = ("size", "source_size", "target", "copies", "taken")
 
 
@@ -88,6 +93,32 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float
     return table.select("_source", "_source_size", target.alias("_target"))
 
 
+def _edges(rows: DataFrame, plan: DataFrame) -> tuple[DataFrame, int]:
+    """The plan with the bucket ``_edge`` where each source's remainder ends and the words
+    ``_before`` it, and how many leading bits of ``_at`` number a bucket.
+
+    Each round cuts the edge buckets of the last one by ``DIGIT_BITS`` more bits, until none
+    holds more than ``EDGE_ROWS`` rows: whatever the weights do to the keys, the bucket that
+    is sorted in the end is small.  The driver sees one number a round."""
+    own = plan.select(F.col("_source").alias("_s"), "_left")
+    edges = saved(own.filter("_left > 0").select("_s", "_left", F.lit(0).cast("long").alias("_edge"), F.lit(0).cast("long").alias("_before")), "mix-edges")
+    level, largest = 0, None
+    while level < KEY_BITS and (largest is None or largest > EDGE_ROWS):
+        level += DIGIT_BITS
+        inside = rows.join(edges, F.col("_source").eqNullSafe(F.col("_s")) & (F.shiftright("_at", KEY_BITS - level + DIGIT_BITS) == F.col("_edge")))
+        sums = (inside.groupBy("_s", F.shiftright("_at", KEY_BITS - level).alias("_bucket"))
+                .agg(F.sum("size").alias("_sum"), F.count(F.lit(1)).alias("_n"), F.first("_left").alias("_left"), F.first("_before").alias("_start")))
+        upto = Window.partitionBy("_s").orderBy("_bucket")  # at most 2**DIGIT_BITS rows a source
+        found = (sums.withColumn("_before", F.col("_start") + F.sum("_sum").over(upto) - F.col("_sum"))
+                 .filter((F.col("_before") <= F.col("_left")) & (F.col("_left") < F.col("_before") + F.col("_sum")))
+                 .groupBy("_s").agg(F.max(F.struct("_bucket", "_before", "_left", "_n")).alias("_e")))
+        edges = saved(found.select("_s", "_e._left", F.col("_e._bucket").alias("_edge"), "_e._before", "_e._n"), "mix-edges")
+        largest = edges.agg(F.max("_n")).first()[0] or 0
+    known = edges.select(F.col("_s").alias("_t"), "_edge", "_before")
+    out = plan.withColumnRenamed("_source", "_s").join(known, F.col("_s").eqNullSafe(F.col("_t")), "left")
+    return saved(out.select("_s", "_source_size", "_target", "_epochs", "_left", "_edge", F.coalesce("_before", F.lit(0)).alias("_before")), "mix-plan"), level
+
+
 def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id",
         weights: Sequence[float] = WEIGHTS, budget: float = BUDGET, most: float = MOST, seed: int = 8, keep_text: bool = False) -> DataFrame:
     """The rows of ``docs``, without ``text`` unless it is to be kept, and with ``size``, ``source_size``,
@@ -97,25 +128,16 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     key = exponential_key(quality_weight(body), F.col(doc_id), body, seed=seed)
     rest = docs if keep_text else docs.drop(text)
     made = [F.col(doc_id).alias("_id"), F.col(source).alias("_source"), word_count(body).alias("size"), key.alias("_key")]
-    rows = tucked(docs, *made)
+    place = F.floor(F.col("_key") / (1.0 + F.col("_key")) * float(1 << KEY_BITS)).cast("long")
+    rows = tucked(docs, *made).withColumn("_at", place)
     rows = saved(rows if keep_text else rows.drop(f"_c{docs.columns.index(text)}"), "mix-rows")
     per_source = rows.groupBy("_source").agg(F.sum("size").alias("_source_size"), F.count(F.lit(1)).alias("_rows"))
     plan = targets(per_source.select("_source", "_source_size"), weights, budget, most)
     epochs = F.when(F.col("_source_size") > 0, F.floor(F.col("_target") / F.col("_source_size"))).otherwise(0).cast("long")
     plan = plan.withColumn("_epochs", epochs).withColumn("_left", F.col("_target") - F.col("_epochs") * F.col("_source_size"))
 
-    n = rows.count()
-    buckets = max(1, -(-n // ROWS_A_BUCKET))
-    rows = rows.withColumn("_bucket", F.floor((F.lit(1.0) - F.exp(-F.col("_key"))) * buckets).cast("long"))
-    upto = Window.partitionBy("_source").orderBy("_bucket")
-    edges = (rows.groupBy("_source", "_bucket").agg(F.sum("size").alias("_sum"))
-             .withColumn("_before", F.sum("_sum").over(upto) - F.col("_sum"))
-             .join(plan.select(F.col("_source").alias("_s"), "_left"), F.col("_source").eqNullSafe(F.col("_s"))).drop("_s")
-             .filter((F.col("_left") > 0) & (F.col("_before") <= F.col("_left")) & (F.col("_left") < F.col("_before") + F.col("_sum")))
-             .groupBy("_source").agg(F.max(F.struct("_bucket", "_before")).alias("_edge")))
-    plan = saved(plan.join(edges.withColumnRenamed("_source", "_s"), F.col("_source").eqNullSafe(F.col("_s")), "left")
-                 .select(F.col("_source").alias("_s"), "_source_size", "_target", "_epochs", "_left",
-                         F.col("_edge._bucket").alias("_edge"), F.coalesce("_edge._before", F.lit(0)).alias("_before")), "mix-plan")
+    plan, level = _edges(rows.select("_source", "size", "_at"), plan)
+    rows = rows.withColumn("_bucket", F.shiftright("_at", KEY_BITS - level)).drop("_at")
     rows = rows.join(plan, F.col("_source").eqNullSafe(F.col("_s"))).drop("_s")
 
     # no edge: nothing is left to fill, or all of it is
