@@ -9,8 +9,9 @@ another place, in the same text or another.
    only where their anchors agree.  Neighbouring windows share an anchor: a text
    becomes a row for each run of them, about one row per 85 bytes, with hashes
    of the anchor and of the run's bytes (its context).
-2. Rows whose anchor occurs once are done.  A context that occurs twice repeats
-   as a whole.  Where an anchor has several contexts, and one of them occurs
+2. Rows are merged by anchor and context first, on the map side, so a passage that stands
+   in a third of all texts is one row.  Anchors that occur once are done.  A context
+   that occurs twice repeats as a whole.  Where an anchor has several contexts, and one of them occurs
    once, one copy of each context is fetched from its text.
 3. Suffix sort: in a task, the suffixes at the window starts of many anchors are
    sorted, by anchor and offset, with a merge sort whose comparisons find the
@@ -42,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpipe.llm.common import NO_ID, read_table, saved, whole_text, workers_import
+from clickpipe.llm.common import NO_ID, discard, read_table, saved, whole_text, workers_import
 from clickpipe.llm.rolling import mix, prefix, ranges
 
 LENGTH = 200
@@ -265,9 +266,8 @@ def repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length:
     workers_import(docs.sparkSession)
     keyed = _keyed(docs, text, doc_id)
     all_ = saved(_occurrences(keyed, length), "suffix-anchors")
-    shared = all_.groupBy("_a").agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1").drop("_k")
-    rows = saved(all_.join(shared, "_a"), "suffix-shared")
-    contexts = rows.groupBy("_a", "_c").agg(F.count(F.lit(1)).alias("_k"), F.min(F.struct("_d", "_r", "_at", "_n", "_off")).alias("_x"))
+    # A hot anchor's occurrences are merged by context on the map side; joins are on contexts, not on them.
+    contexts = all_.groupBy("_a", "_c").agg(F.count(F.lit(1)).alias("_k"), F.min(F.struct("_d", "_r", "_at", "_n", "_off")).alias("_x"))
     contexts = saved(contexts, "suffix-contexts")
     mixed = contexts.groupBy("_a").agg(F.count(F.lit(1)).alias("_m"), F.min("_k").alias("_least")).filter("_m > 1 AND _least = 1").drop("_least")
     wanted = (contexts.join(mixed, "_a").groupBy("_x._d", "_x._r")
@@ -291,7 +291,8 @@ def repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length:
     found = saved(found.join(contexts.filter("_k = 1").select("_a", "_c"), ["_a", "_c"], "left_semi").unionByName(whole), "suffix-found")
     spans = F.transform(F.sequence(F.lit(1), F.size("_w") - 1, F.lit(2)), lambda i: F.struct(
         (F.col("_at") + F.element_at("_w", i)).alias("first"), (F.col("_at") + F.element_at("_w", i + 1)).alias("end")))
-    return (rows.join(found, ["_a", "_c"]).select("_d", "_r", spans.alias("_s"))
+    discard(contexts, fetched)
+    return (all_.join(found, ["_a", "_c"]).select("_d", "_r", spans.alias("_s"))
             .groupBy("_d", "_r").agg(F.flatten(F.collect_list("_s")).alias("_spans")))
 
 
