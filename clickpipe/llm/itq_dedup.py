@@ -26,7 +26,9 @@ components, rows with a null label and rows with a null id link with nothing
 (0 links, own component; a null id has a null component and isn't kept); rows
 that share an id are one vector, the smallest (label, vector) if they differ,
 and each of them is returned; vectors of different length are compared as if
-the shorter ended in zeros; an empty table gives no rows.
+the shorter ended in zeros; labels of any simple type are compared as they are
+written; very long vectors are compared whole; extra columns aren't returned; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -136,7 +138,7 @@ def _entries(rows: DataFrame, model: Quantiser) -> DataFrame:
                     pa.array(np.repeat(batch.column("_rep").to_numpy(), t)), batch.column("_label").take(pa.array(np.repeat(np.arange(n), t))),
                     pa.array(np.tile(np.arange(t, dtype=np.int32), n)), pa.array(keys.ravel())], names=["_rep", "_label", "_table", "_key"])
 
-    return rows.select("_rep", "_label", "_v").mapInArrow(run, "_rep long, _label int, _table int, _key long")
+    return rows.select("_rep", "_label", "_v").mapInArrow(run, "_rep long, _label string, _table int, _key long")
 
 
 def _linked(ids: np.ndarray, copies: np.ndarray, group: np.ndarray, part: np.ndarray, table: np.ndarray, split: np.ndarray,
@@ -229,7 +231,7 @@ def near_duplicates(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedd
                     threshold: float = THRESHOLD) -> DataFrame:
     """The ids with ``n_links``, ``component_id`` and ``kept``, one row per input row."""
     workers_import(df.sparkSession)
-    rows = df.select(F.col(vec_id).cast("long").alias("_i"), F.col(label).cast("int").alias("_label"), F.col(vector).alias("_v"))
+    rows = df.select(F.col(vec_id).cast("long").alias("_i"), F.col(label).cast("string").alias("_label"), F.col(vector).alias("_v"))
     sized = F.coalesce(F.exists("_v", lambda x: x != 0), F.lit(False))
     able = rows.filter(F.col("_i").isNotNull() & F.col("_label").isNotNull() & usable(F.col("_v")) & sized)
     able = able.groupBy("_i").agg(F.min(F.struct("_label", "_v")).alias("_x")).select("_i", "_x.*")
