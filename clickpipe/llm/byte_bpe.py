@@ -40,6 +40,8 @@ from pyspark.sql import types as T
 from clickpipe.llm.common import workers_import
 
 MEMO = 1 << 19
+#: Rows of a batch that are coded, and sent on, at a time.
+SLICE = 512
 MEMO_BYTES = 64
 BUCKET_KEYS = 4
 
@@ -200,8 +202,10 @@ def _append(df: DataFrame, source: str, name: str, kind: T.DataType, make) -> Da
     schema = T.StructType([df.schema[c] for c in rest] + [T.StructField(name, kind)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([*map(batch.column, rest), make(batch.column(source))], names=[*rest, name])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(lo, SLICE)
+                yield pa.RecordBatch.from_arrays([*map(batch.column, rest), make(batch.column(source))], names=[*rest, name])
 
     return df.mapInArrow(run, schema)
 
