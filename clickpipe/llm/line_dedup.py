@@ -6,7 +6,7 @@ shingle).
 
 Equal lines are one node first (a 64-bit hash of the line), with its first place.
 Signature: ``BANDS`` bands of ``ROWS`` least values of the shingles' hashes, each under
-a mask of its own; two sets of similarity 0.8 share a band with probability 0.992.
+a mask of its own; two sets of similarity 0.8 share a band with probability 0.991.
 Sets of at most ``SMALL`` shingles have runs of neighbours in their sorted hashes as
 further keys; by counting the gaps, two such sets at 0.8 always share a run.
 
@@ -14,7 +14,8 @@ Each node is held against the node of each of its buckets that meets most others
 by the exact Jaccard index of both shingle sets; union-find (``components``) over
 the verified pairs; this is done ``CENTRES`` times, each time against a centre in
 another component.  Nodes of a bucket that still lie apart are compared block by
-block, so no candidate pair is left undecided and no rows of pairs are made.  Of
+block (all but those of the bucket's largest component among themselves), so no
+candidate pair is left undecided and no rows of pairs are made.  Of
 each component the line at the first place stays (smallest document id, then text
 hash, then line number); all its other places are dropped.
 
@@ -48,8 +49,8 @@ from clickpipe.llm.components import components
 from clickpipe.llm.rolling import mix
 
 SHINGLE = 5
-BANDS = 16
-ROWS = 6
+BANDS = 20
+ROWS = 7
 SMALL = 18
 CHUNK = 1 << 17
 CENTRES = 2
@@ -204,35 +205,46 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
 def _bucket_links(apart: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Links between components that a bucket still holds apart.
 
-    A bucket is dealt into blocks of about ``BLOCK`` nodes; a task holds two blocks at a
-    time and compares them in place.  ``apart``: ``_h``, ``_key``, component ``_c`` and the
-    bucket's size ``_m``."""
+    The nodes of a bucket's largest component need no comparing with each other: they
+    are dealt into blocks of about ``BLOCK``, the others into blocks of their own, and a task
+    holds a block of others against a block of either kind, in place.  So a large
+    group of near copies with a few strangers is shipped about once.  ``apart``: ``_h``,
+    ``_key`` and component ``_c``."""
     workers_import(apart.sparkSession)
-    blocks = F.ceil(F.col("_m") / BLOCK).cast("int")
-    dealt = (apart.withColumn("_part", F.pmod(F.xxhash64("_h"), blocks).cast("int"))
-             .withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .select("_h", "_c", "_key", F.least("_part", "_other").alias("_i"), F.greatest("_part", "_other").alias("_j"), "_part").join(texts.select("_h", "_line"), "_h"))
+    sizes = apart.groupBy("_key", "_c").agg(F.count(F.lit(1)).alias("_n"))
+    shares = sizes.groupBy("_key").agg(F.max(F.struct("_n", "_c")).alias("_x"), F.sum("_n").alias("_m"))
+    shares = shares.select("_key", F.col("_x._c").alias("_major"), F.ceil(F.col("_x._n") / BLOCK).cast("int").alias("_k"),
+                           F.ceil((F.col("_m") - F.col("_x._n")) / BLOCK).cast("int").alias("_l"))
+    rows = apart.join(shares, "_key").withColumn("_of", F.col("_c") == F.col("_major"))
+    part = F.pmod(F.xxhash64("_h"), F.when(F.col("_of"), F.col("_k")).otherwise(F.col("_l"))).cast("int")
+    rows = rows.withColumn("_part", part)
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    cell = lambda i, j, large: F.struct(i.alias("i"), j.alias("j"), F.lit(large).alias("large"))
+    # Cells (i, j): others' block i against block j of the largest component, or i <= j both of others.
+    against = F.transform(upto(F.col("_l")), lambda i: cell(i, F.col("_part"), True))
+    own = F.concat(F.transform(upto(F.col("_k")), lambda j: cell(F.col("_part"), j, True)),
+                   F.transform(upto(F.col("_l")), lambda j: cell(F.least("_part", j), F.greatest("_part", j), False)))
+    dealt = rows.withColumn("_cell", F.explode(F.when(F.col("_of"), against).otherwise(own)))
+    dealt = dealt.select("_h", "_c", "_key", "_of", "_part", "_cell").join(texts.select("_h", "_line"), "_h")
 
     def run(table: pa.Table) -> pa.Table:
-        rows = [(h, c, p, shingles(x)) for h, c, p, x in zip(*(table.column(k).to_pylist() for k in ("_h", "_c", "_part", "_line")), strict=True)]
-        one = table.column("_i")[0].as_py() == table.column("_j")[0].as_py()
-        low = table.column("_i")[0].as_py()
-        found = []
-        for h, c, p, s in rows:
-            for g, d, q, t in rows:
-                if c != d and (g < h if one else p == low != q) and alike(s, t, threshold):
-                    found.append((h, g))
+        cell_ = table.column("_cell")[0].as_py()
+        rows_ = [(h, c, of, p, shingles(x)) for h, c, of, p, x in zip(*(table.column(k).to_pylist() for k in ("_h", "_c", "_of", "_part", "_line")), strict=True)]
+        left = [r for r in rows_ if not r[2] and r[3] == cell_["i"]]
+        right = [r for r in rows_ if (r[2] if cell_["large"] else not r[2] and r[3] == cell_["j"])]
+        once = not cell_["large"] and cell_["i"] == cell_["j"]
+        found = [(x[0], y[0]) for x in left for y in right if x[1] != y[1] and not (once and x[0] <= y[0]) and alike(x[4], y[4], threshold)]
         return pa.table([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
 
-    return saved(dealt.groupBy("_key", "_i", "_j").applyInArrow(run, "a long, b long").distinct(), "line-links")
+    return saved(dealt.groupBy("_key", "_cell").applyInArrow(run, "a long, b long").distinct(), "line-links")
 
 
 def _linked(members: DataFrame, links: list[DataFrame]) -> DataFrame:
-    """``_h``, ``_key``, ``_met`` and component ``_c`` of the buckets that hold several components, with their size."""
+    """``_h``, ``_key``, ``_met`` and component ``_c`` of the buckets that hold several components."""
     placed = members.join(components(reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "_h"), "_h", "left")
     placed = placed.select("_h", "_key", "_met", F.coalesce("root", "_h").alias("_c"))
-    apart = placed.groupBy("_key").agg(F.min("_c").alias("_lo"), F.max("_c").alias("_hi"), F.count(F.lit(1)).alias("_m")).filter("_lo <> _hi")
-    return placed.join(apart.select("_key", "_m"), "_key")
+    apart = placed.groupBy("_key").agg(F.min("_c").alias("_lo"), F.max("_c").alias("_hi")).filter("_lo <> _hi")
+    return placed.join(apart.select("_key"), "_key")
 
 
 def classes(docs: DataFrame, occ: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:

@@ -440,6 +440,25 @@ def test_line_dedup_short_documents_go_like_long_ones(spark):
     assert {r.doc_id: r.text for r in out.collect()} == {1: "short line", 3: "sixteen chars aa", 5: "new"}
 
 
+def test_line_dedup_large_groups_are_shipped_about_once(spark, tmp_path, monkeypatch):
+    """Buckets of one large component and strangers, and of strangers only: every pair decided, few rows."""
+    from clickpipe.llm.common import saved
+
+    monkeypatch.setattr(line_dedup, "BLOCK", 8)
+    rnd = random.Random(3)
+    base = "".join(rnd.choice("abcdefghij ") for _ in range(120))
+    lines = [base[:i] + "x" + base[i + 1:] for i in range(0, 100)] + ["".join(rnd.choice("klmnop") for _ in range(60)) for _ in range(10)]
+    lines += [lines[100] + "q", lines[101] + "q", base + "yy", base + "zz"]
+    groups = [0] * 100 + list(range(100, len(lines)))
+    rows = [(i, key, groups[i]) for i in range(len(lines)) for key in (1, 2)] + [(i, 3, groups[i]) for i in range(100, len(lines))]
+    apart = saved(spark.createDataFrame(rows, "_h long, _key long, _c long"), "test-apart")
+    texts = spark.createDataFrame(list(enumerate(lines)), "_h long, _line string")
+    got = {frozenset(r) for r in line_dedup._bucket_links(apart, texts, 0.8).collect()}
+    sets = [line_dedup.shingles(x) for x in lines]
+    want = {frozenset((i, j)) for i in range(len(lines)) for j in range(i) if groups[i] != groups[j] and line_dedup.alike(sets[i], sets[j], 0.8)}
+    assert got == want and len(want) > 100
+
+
 def test_line_dedup_recall_at_the_threshold():
     """Pairs just at 0.8 share a key at least 99 times in 100, at every size of set."""
     rnd = random.Random(6)
