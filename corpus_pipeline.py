@@ -6,6 +6,11 @@ them again.  All stages but the last return the columns of ``documents``.
 
 SQL can't express the stages (a fitted density, signatures, hashed sampling,
 byte merges); ``tests/llm/test_pipeline.py`` holds them against brute force.
+
+Defined cases, for every stage: null text is read as empty (each stage says below
+what becomes of it); nulls in other columns, very long texts and extra columns,
+whatever their names, pass through; repeated rows are rows of their own until the
+line stage keeps one of them; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -18,30 +23,35 @@ from clickpipe.llm.common import read_table, saved, tucked, untucked
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that the classifier, fitted on the labelled ones, accepts."""
-    stats = saved(quality_qda.with_statistics(docs.select("doc_id", "text")).drop("text"), "quality-statistics")
-    model = quality_qda.train(stats, read_table(spark, sf_dir, "labels", "doc_id", "quality"))
-    rows = quality_qda.with_statistics(tucked(docs, F.col("text")))
+    """Keeps the documents that the classifier, fitted on the labelled ones, accepts.
+
+    An empty text is scored like any other; without labels all are kept if the prior is at least the threshold."""
+    rows = tucked(docs, F.col("doc_id"), F.col("text"))
+    rows = saved(quality_qda.with_statistics(rows).drop("text"), "quality-statistics")  # one pass over the texts
+    model = quality_qda.train(rows, read_table(spark, sf_dir, "labels", "doc_id", "quality"))
     return quality_qda.classify(rows, model).filter("predicted = 1").select(*untucked(docs.columns))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops all but the first line of each component of alike lines."""
+    """Drops all but the first line of each component of alike lines.
+
+    Texts without a line that isn't blank stay; of repeated rows with one, one stays."""
     return line_dedup.dedup_lines(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each class of near-duplicates."""
+    """Keeps one document of each class of near-duplicates; texts without words stay."""
     return bag_minhash.keep_one(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats and samples whole documents to the sources' target weights."""
+    """Repeats and samples whole documents to the sources' target weights; null sources are
+    one source, and texts without words are taken as often as their source's epochs say."""
     return source_mix.mixed(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str, path: str | None = None) -> DataFrame:
-    """Token ids of every document, and whether they decode to its bytes."""
+    """Token ids of every document, and whether they decode to its bytes; an empty text has none."""
     import public_tokenizers
 
     codec = byte_bpe.make_codec(path or public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
