@@ -50,3 +50,29 @@ def test_empty_tables(spark, tmp_path):
     for t in ("documents", "labels"):
         read_table(spark, SMALL, t).limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_odd_rows_pass_every_stage(spark, tmp_path):
+    """Nulls in any column, empty and very long texts, repeated rows, and columns with clashing names."""
+    docs = read_table(spark, SMALL, "documents")
+    long = " ".join(f"word{i % 977} of a very long text, number {i}." for i in range(12_000))
+    odd = [(None, None, None, None, None), (900_001, None, "en", None, None), (900_002, "", None, "s1", 0), (900_003, long, "en", "s1", len(long)),
+           (900_004, "A plain sentence of several words, with a comma, and an end. Another one follows it here, of the same kind.", "en", "s1", 108)]
+    odd += [odd[-1]] * 3 + [odd[1]]
+    extra = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    names = ("_c0", "_t", "score", "predicted", "_gone", "_kept", "size", "target", "copies", "_u", "_id", "kept", "words", "n_tokens")
+    for c in names:
+        extra = extra.withColumn(c, F.lit(f"own {c}"))
+    extra = saved(extra, "test-odd")
+    read_table(spark, SMALL, "labels").write.parquet(f"{tmp_path}/labels.parquet")
+    before = extra
+    for name, stage in corpus_pipeline.STAGES:
+        after = saved(stage(spark, before, str(tmp_path)), "test-stage")
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert after.dtypes == extra.dtypes, name
+            assert all(r[0] == f"own {c}" for c in names for r in after.select(f"`{c}`").distinct().collect())
+            assert after.select("doc_id").subtract(before.select("doc_id")).count() == 0  # null counts as equal
+        if name == "line dedup":
+            assert after.filter("doc_id = 900004").count() <= 1
+        before = after
+    assert before.filter("NOT exact").count() == 0
