@@ -124,13 +124,37 @@ class GroupedNaiveBayesModel(Model, HasFeaturesCol, HasLabelCol, HasPredictionCo
                           F.get(classes, F.array_position("_raw", top).cast("int") - 1).alias(self.getPredictionCol()))
 
 
+def _condition(values: np.ndarray, ridge: float) -> float:
+    """Condition number from ascending eigenvalues and a penalty."""
+    low = values[0] + ridge
+    return float("inf") if low <= 0 else float((values[-1] + ridge) / low)
+
+
+def _comoments(rows: DataFrame, columns: list[Column], target: Column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Mean products of the columns' gaps from their means with each other and with the target, and the means."""
+    k = len(columns)
+    named = rows.select(*[c.alias(f"u{i}") for i, c in enumerate(columns)], target.alias("u"))
+    cells = [(i, j) for i in range(k) for j in range(i, k)]
+    found = named.agg(*[F.covar_pop(f"u{i}", f"u{j}").alias(f"g{i}_{j}") for i, j in cells],
+                      *[F.covar_pop(f"u{i}", "u").alias(f"t{i}") for i in range(k)],
+                      *[F.avg(f"u{i}").alias(f"m{i}") for i in range(k)]).first()
+    gram = np.zeros((k, k))
+    for i, j in cells:
+        gram[i, j] = gram[j, i] = found[f"g{i}_{j}"]
+    target, means = (np.array([found[f"{c}{i}"] for i in range(k)], float) for c in "tm")
+    return gram, target, means
+
+
 class NormalEquations(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
     """Least squares with an intercept, from one Gramian aggregate.
 
     ``regParam`` is the ridge penalty on standardised features, per row.  Constant
-    features get the coefficient 0.  The condition number of the remaining
-    features' correlations is checked: above ``maxCondition`` the fit fails and
-    names the features of the smallest eigenvector."""
+    features get the coefficient 0.  Where the condition number of the remaining
+    features' correlations is above ``maxCondition`` (it grows with the square of
+    the range of two features that differ by a bounded amount), a second aggregate
+    takes the Gramian of an orthogonal basis of them.  Features that are dependent
+    to the last digits stay so in that basis: its condition number is checked in
+    turn, and the fit fails and names the features of the smallest eigenvector."""
 
     regParam = Param(Params._dummy(), "regParam", "ridge penalty", TypeConverters.toFloat)
     maxCondition = Param(Params._dummy(), "maxCondition", "largest condition number accepted", TypeConverters.toFloat)
@@ -158,23 +182,34 @@ class NormalEquations(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
             gram[i, j] = gram[j, i] = sums[f"g{i}_{j}"]
         scale = np.sqrt(np.maximum(np.diag(gram)[:k], 0))
         live = np.flatnonzero(scale > 1e-12 * np.maximum(1, np.abs(mean)))
-        weights, condition = np.zeros(k), 1.0
+        weights, shift, condition, ridge = np.zeros(k), 0.0, 1.0, self.getOrDefault(self.regParam)
         if len(live):
             shared = gram[np.ix_(live, live)] / np.outer(scale[live], scale[live])
+            target, basis, offsets = gram[live, k] / scale[live], np.eye(len(live)), np.zeros(len(live))
             values, vectors = np.linalg.eigh(shared)
-            low = values[0] + self.getOrDefault(self.regParam)
-            condition = float("inf") if low <= 0 else float((values[-1] + self.getOrDefault(self.regParam)) / low)
+            condition = _condition(values, ridge)
+            if condition > self.getOrDefault(self.maxCondition):
+                # The sums' last digits hide what sets these features apart: a second pass sums
+                # the products of an orthogonal basis of them, where they are of one size.
+                basis = vectors / np.sqrt(np.maximum(values, 1e-15 * values[-1]))
+                turned = [_total([(z[i] - F.lit(float(mean[i]))) * F.lit(float(basis[a, j] / scale[i])) for a, i in enumerate(live)]) for j in range(len(live))]
+                shared, target, offsets = _comoments(rows, turned, z[k])
+                shared = shared + ridge * basis.T @ basis
+                values, vectors = np.linalg.eigh(shared)
+                condition, ridge = _condition(values, 0.0), 0.0
             if condition > self.getOrDefault(self.maxCondition):
-                guilty = [int(live[i]) for i in np.flatnonzero(np.abs(vectors[:, 0]) > 0.1)]
+                weak = basis @ vectors[:, 0]
+                guilty = [int(live[i]) for i in np.flatnonzero(np.abs(weak) > 0.1 * np.linalg.norm(weak))]
                 raise ValueError(f"features {guilty} are nearly dependent (condition number {condition:.3g})")
-            inner = shared + self.getOrDefault(self.regParam) * np.eye(len(live))
-            weights[live] = np.linalg.solve(inner, gram[live, k] / scale[live]) / scale[live]
-        model = NormalEquationsModel(weights.tolist(), float(sums[f"m{k}"] - weights @ mean), condition)
+            inner = shared + ridge * np.eye(len(live))
+            solved = np.linalg.solve(inner, target)
+            weights[live], shift = basis @ solved / scale[live], float(offsets @ solved)
+        model = NormalEquationsModel(weights.tolist(), float(sums[f"m{k}"] - shift - weights @ mean), condition)
         return self._copyValues(model)
 
 
 class NormalEquationsModel(Model, HasFeaturesCol, HasLabelCol, HasPredictionCol):
-    """``coefficients``, ``intercept`` and the ``condition`` number of the fit."""
+    """``coefficients``, ``intercept`` and the ``condition`` number of the equations solved."""
 
     regParam = NormalEquations.regParam
     maxCondition = NormalEquations.maxCondition

@@ -161,3 +161,23 @@ def test_naive_bayes_equals_sql(spark, duck):
     pred = fit_and_score("nb", prepare(fixture_tables(spark, "/root/testdata/sf0.001")))[1]
     got = sorted(map(tuple, pred.select("display_id", "ad_id", "trueLabel", "prediction", "score").collect()))
     assert len(got) == len(want) and all(a[:4] == b[:4] and abs(a[4] - b[4]) < 1e-9 for a, b in zip(got, want))
+
+
+def test_linear_regression_of_nearly_equal_features(spark):
+    """Two ids, one four times the other and a remainder, over a range where the correlations'
+    condition number is beyond 1e10: the residual is still free of every feature."""
+    i = F.col("id")
+    rows = spark.range(0, 400000, 1, 4).select((i * 977 % 1000003).alias("d"), (i * 31 % 4).alias("r"))
+    rows = rows.select(F.array(F.col("d") / 1e6, (4 * F.col("d") + F.col("r")) / 4e6, (F.col("d") % 7) / 6).alias("x"),
+                       (F.col("r") + F.col("d") % 7 > 4).cast("double").alias("label"))
+    from pyspark.ml.functions import array_to_vector
+
+    train = rows.select(array_to_vector("x").alias("features"), "label")
+    model = NormalEquations().fit(train)
+    x = vector_to_array("features")
+    moments = residual_moments(model.transform(train).select("label", "prediction", *[x[j].alias(f"s{j}") for j in range(3)]), ["s0", "s1", "s2"])
+    assert all(abs(r.moment) < 1e-10 for r in moments.collect())
+    picked = rows.collect()
+    z = np.array([[1.0, (r.x[1] - r.x[0]) * 4e6, r.x[0], r.x[2]] for r in picked])
+    want = np.linalg.lstsq(z, np.array([r.label for r in picked]), rcond=None)[0]  # by the remainder itself
+    assert model.coefficients[1] / 4e6 == pytest.approx(want[1], rel=1e-4) and model.condition < 10
