@@ -181,3 +181,34 @@ def test_linear_regression_of_nearly_equal_features(spark):
     z = np.array([[1.0, (r.x[1] - r.x[0]) * 4e6, r.x[0], r.x[2]] for r in picked])
     want = np.linalg.lstsq(z, np.array([r.label for r in picked]), rcond=None)[0]  # by the remainder itself
     assert model.coefficients[1] / 4e6 == pytest.approx(want[1], rel=1e-4) and model.condition < 10
+
+
+def test_naive_bayes_maps_from_one_aggregate(spark, monkeypatch):
+    df = build_vectors(spark, [([float(i % 5), float(i % 3)], float(i % 2)) for i in range(60)])
+    nb, calls, sums = GroupedNaiveBayes(), [], GroupedNaiveBayes._sums
+    monkeypatch.setattr(GroupedNaiveBayes, "_sums", lambda self, data: calls.append(1) or sums(self, data))
+    grid = bayes_param_grid(nb)
+    models = nb.fit(df, grid)
+    assert len(calls) == 1
+    for pmap, model in zip(grid, models, strict=True):
+        one = nb.fit(df, pmap)
+        assert (one.kind, one.prior, one.first, one.second) == (model.kind, model.prior, model.first, model.second)
+
+
+def test_auc_scores_each_row_once(spark):
+    """Neither the ranking nor the counts evaluate the score or prediction of a row twice."""
+    done = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def scored(i):
+        done.add(1)
+        return None if i == 7 else float(i % 50) / 50
+
+    base = spark.range(0, 400, 1, 2).select(scored("id").alias("score"), (F.col("id") % 3 == 0).cast("int").alias("trueLabel"))
+    ranked = auc_roc(base).first().auc
+    assert done.value == 400
+    grouped = auc_by_group(base.withColumn("g", F.lit(1)), ["g"]).first().auc
+    assert grouped == pytest.approx(ranked, abs=1e-12) and done.value == 800
+    counted = base.withColumn("prediction", F.col("score"))
+    assert classification_metrics(counted).first().n == 399 and done.value == 1200
+    assert metrics_by_group(counted, ["trueLabel"]).agg(F.sum("n")).first()[0] == 399 and done.value == 1600
