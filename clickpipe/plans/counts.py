@@ -3,17 +3,21 @@
 The joins copy a display's clicks onto every ad of its document, so the training half holds
 equal rows.  A learner whose sums are weighted fits the distinct rows, weighted by their
 number, as it fits the copies, with fewer rows in every pass.  Learners that draw rows
-(forests) or take no weight (the layered one) keep the copies.
+(forests) keep the copies, and so does the layered one, which takes no weight, unless its
+fit on counted rows (``layered``) is asked for.
 """
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression
+from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
+                                       MultilayerPerceptronClassifier)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickpipe.plans.layered import fit_layered
+
 COPIES = "_copies"
 #: The gap between weighted and plain deviations up to which logistic regression takes counts: it
 #: shrinks with the rows (by about one a row), and shows in models that stop before they converge.
@@ -52,6 +56,8 @@ def use_counts(learner, data: DataFrame) -> bool:
 
 def fit_counted(learner, data: DataFrame, share: float | None = None):
     """The learner's model of rows with their number ``_copies``; its parameters are the learner's."""
+    if isinstance(learner, MultilayerPerceptronClassifier):
+        return fit_layered(learner, data, COPIES)
     weighted = {learner.weightCol: COPIES}
     if not isinstance(learner, LogisticRegression) or not learner.getStandardization() or not learner.getRegParam():
         return learner.fit(data, weighted)

@@ -13,6 +13,7 @@ from clickpipe.operators.categories import find_categories
 from clickpipe.operators.dictionary import build_dictionary, encode
 from clickpipe.plans import node_table
 from clickpipe.plans.closed_form import residual_moments
+from clickpipe.plans.counts import fit_pipeline_counted
 from clickpipe.plans.evaluate import auc_roc, metrics_table, probability_score
 from clickpipe.plans.features import build_pipeline
 from clickpipe.plans.models import make_learner
@@ -171,8 +172,8 @@ def xor_split(spark, sf_dir) -> Split:
 def q_mlp_xor(spark, sf_dir):
     """The layered learner on a label that no single cut and no linear score can tell."""
     split = xor_split(spark, sf_dir)
-    with training_input(split.train) as data:
-        model = build_pipeline(make_learner("mlp", layers=[2, 8, 2]), features=["a", "b"]).fit(data)
+    with training_input(split.train.select("a", "b", LABEL), counted_copies=True) as data:
+        model = fit_pipeline_counted(build_pipeline(make_learner("mlp", layers=[2, 8, 2]), features=["a", "b"]), data)
     return metrics_table(probability_score(model.transform(split.test)))
 
 
