@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
-                                       MultilayerPerceptronClassifier)
+                                       MultilayerPerceptronClassifier, RandomForestClassifier)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +38,12 @@ def takes_counts(learner) -> bool:
                 and not learner.isDefined(learner.validationIndicatorCol)))
 
 
+def reads_features_only(learner) -> bool:
+    """Whether the learner passes several times over its features and label, and no other column."""
+    kinds = (DecisionTreeClassifier, GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier)
+    return isinstance(learner, kinds) and not any(learner.hasParam(p) and learner.isDefined(learner.getParam(p)) for p in ("weightCol", "validationIndicatorCol"))
+
+
 def penalty_share(data: DataFrame) -> float:
     """The factor on an L2 penalty under which counted rows have the penalty of their copies.
 

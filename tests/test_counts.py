@@ -8,7 +8,7 @@ from clickpipe.plans.counts import takes_counts
 from clickpipe.plans.features import build_pipeline
 from clickpipe.plans.models import make_learner
 from clickpipe.plans.tuning import cross_validate
-from clickpipe.plans.workflow import compare_models, fit_pipeline, prepare, training_input, tune
+from clickpipe.plans.workflow import _fit_shared, compare_models, fit_pipeline, prepare, training_input, tune
 
 
 @pytest.fixture(scope="module")
@@ -96,3 +96,34 @@ def test_which_learners_take_counts():
 def test_comparison_over_both_kinds_of_input(tables):
     found = compare_models(prepare(tables), {"lr": {}, "rf": {"numTrees": 2, "maxDepth": 3}}).collect()
     assert [r.model for r in found] == ["lr", "rf"] and all(r.accuracy > 0.5 for r in found)
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_forest_reads_features_made_once(rows, monkeypatch, shared):
+    """The learner's passes read cached features, not the stages before it; the model is that of the copies."""
+    params = {"numTrees": 3, "maxDepth": 4}
+    with training_input(rows) as data:
+        plain = build_pipeline(make_learner("rf", **params)).fit(data)
+    seen, fit = [], Estimator.fit
+
+    def spied(self, dataset, params=None):
+        if type(self).__name__ == "RandomForestClassifier":
+            seen.append((dataset.columns, dataset.storageLevel.useMemory, dataset.count()))
+        return fit(self, dataset, params)
+
+    monkeypatch.setattr(Estimator, "fit", spied)
+    if shared:
+        with training_input(rows, counted_copies=True) as data:
+            fitted = _fit_shared(build_pipeline(make_learner("rf", **params)), data)
+    else:
+        fitted = fit_pipeline("rf", rows, **params)
+    assert seen == [(["features", "label"], True, rows.count())]
+    assert fitted.stages[1].originalMin == plain.stages[1].originalMin and fitted.stages[1].originalMax == plain.stages[1].originalMax
+    assert fitted.stages[-1].toDebugString.split("\n", 1)[1] == plain.stages[-1].toDebugString.split("\n", 1)[1]
+
+
+def test_forest_of_bounded_rows_is_that_of_the_sample(rows):
+    with training_input(rows, max_fit_rows=200) as data:
+        plain = build_pipeline(make_learner("rf", numTrees=2, maxDepth=3)).fit(data).stages[-1]
+    fitted = fit_pipeline("rf", rows, max_fit_rows=200, numTrees=2, maxDepth=3).stages[-1]
+    assert fitted.toDebugString.split("\n", 1)[1] == plain.toDebugString.split("\n", 1)[1]
