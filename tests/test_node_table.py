@@ -54,3 +54,36 @@ def test_categorical_splits(spark):
 def test_other_models_are_refused(split):
     with pytest.raises(ValueError):
         node_table.predict(fit_pipeline("lr", split.train).stages[-1], split.test)
+
+
+def test_equal_vectors_are_walked_once(spark, split, monkeypatch):
+    """Copies, a negative zero and vectors of both storages: every row stays, a vector is walked once."""
+    from pyspark.ml.linalg import Vectors
+
+    model = fit_pipeline("rf", split.train, numTrees=2, maxDepth=4)
+    kinds = [Vectors.dense([0.0, 0.2, 0.4, 0.6, 0.8, 1.0]), Vectors.dense([-0.0, 0.2, 0.4, 0.6, 0.8, 1.0]),
+             Vectors.dense([0.5, 0.0, 0.0, 0.0, 0.0, 0.0]), Vectors.sparse(6, [0], [0.5])]
+    rows = spark.createDataFrame([(i, kinds[i % 4]) for i in range(200)], ["no", "features"])
+    seen, walk = [], node_table.leaves
+
+    def leaves(df, *args, **named):
+        seen.append(df.count())
+        return walk(df, *args, **named)
+
+    monkeypatch.setattr(node_table, "leaves", leaves)
+    own = model.stages[-1].transform(rows).select("no", F.col("prediction").alias("own"))
+    found = node_table.predict(model.stages[-1], rows)
+    assert found.columns == ["no", "features", "raw", "prediction"]
+    row = found.join(own, "no").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("own") == F.col("prediction")).alias("same")).first()
+    assert row.n == row.same == 200 and seen == [2]
+
+
+def test_learners_of_tree_nodes_share_one_training_input(spark, monkeypatch):
+    from clickpipe.plans import more_queries, workflow
+
+    made, plain = [], workflow.counted_rows
+    monkeypatch.setattr(workflow, "counted_rows", lambda df: made.append(1) or plain(df))
+    monkeypatch.setattr(more_queries, "NODE_LEARNERS", {"dt": {"maxDepth": 2}, "rf": {"numTrees": 2, "maxDepth": 2}})
+    rows = more_queries.q_tree_nodes(spark, "/root/testdata/sf0.001").collect()
+    assert [r.learner for r in rows] == ["dt", "rf"] and all(r.n_rows == r.n_equal > 0 for r in rows)
+    assert len(made) == 1
