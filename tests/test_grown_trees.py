@@ -129,3 +129,20 @@ def test_many_rows_are_fitted_without_copies(spark, monkeypatch, shared):
         assert model.transform(rows).filter("prediction IN (0, 1)").count() == rows.count()
     fit_pipeline("dt", rows, maxDepth=1)  # few levels: Spark's own
     assert len(seen) == 1
+
+
+def test_forest_of_stumps_deals_no_copies(spark, monkeypatch):
+    """What a forest writes to disk grows with the distinct rows, not with their copies."""
+    from clickpipe.plans import workflow
+
+    rows = spark.createDataFrame([(*[float((i * k) % 23) for k in (1, 3, 5, 7, 11, 13)], int((i * 5) % 23 < 9)) for i in range(60) for _ in range(9)],
+                                 ", ".join(f"{c} double" for c in NAMES) + ", label int")
+    monkeypatch.setattr(counts, "GROWN_ROWS", 100)
+
+    def dealt(*args, **named):
+        raise AssertionError("copies were dealt")
+
+    monkeypatch.setattr(workflow, "placed", dealt)
+    model = fit_pipeline("rf", rows, maxDepth=1, featureSubsetStrategy="all")
+    assert {t.depth for t in model.stages[-1].trees} == {1}
+    assert model.transform(rows).filter("prediction = label").count() > 0.9 * rows.count()
